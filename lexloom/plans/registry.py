@@ -105,8 +105,22 @@ class Inputs:
             return ordered.split_row_number(
                 self.orders, ["o_custkey"], [F.floor(F.col("o_orderkey") / ordered.CHUNK)],
                 ["o_orderkey"], "pos").withColumn("pos", (F.col("pos") - 1).cast("int"))
+        if name == "legal_paras":
+            return self._legal_paras()
         return self.sql(VIEWS[name])
 
+    def _legal_paras(self):
+        """Rows of the ``legal_paras`` view, with one pass over each input table."""
+        body = self.sql("""SELECT l_orderkey AS document_id, inline(array(
+            struct(rn*10 AS ord, concat('Article ', CAST(rn AS STRING), '. Objecte ', CAST(l_partkey AS STRING)) AS text),
+            struct(rn*10+1 AS ord, concat('D''acord amb l''article ', CAST(rn AS STRING), ' de la Llei ', CAST(l_partkey % 120 + 1 AS STRING), '/', CAST(year(l_shipdate) AS STRING),
+              '; vist el Decret ', CAST(l_suppkey % 97 + 1 AS STRING), '/', CAST(year(l_shipdate) AS STRING), '. Text amb paraules') AS text))) FROM lineitem_rn""")
+        frame = self.sql("""SELECT o_orderkey AS document_id, inline(array_compact(array(
+            struct(0 AS ord, concat('Atesa la proposta ', CAST(o_custkey AS STRING)) AS text),
+            CASE WHEN o_orderkey % 3 = 0 THEN struct(5 AS ord, concat('Capítol ', CAST(o_orderkey % 9 + 1 AS STRING)) AS text) END,
+            struct(2000000000 AS ord, concat('Barcelona, ', CAST(day(o_orderdate) AS STRING), ' de maig de ', CAST(year(o_orderdate) AS STRING)) AS text)))) FROM orders""")
+        return body.unionByName(frame)
+
     def sql(self, text) -> DataFrame:
         for used in names_in(text):
             getattr(self, used)
