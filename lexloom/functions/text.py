@@ -9,6 +9,11 @@ def col(c):
     return c if isinstance(c, Column) else F.col(c)
 
 
+def bind(value, use):
+    """``use(value)`` with the value computed once however often it is mentioned."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
 def nonblank(c):
     """NULL for a missing or blank string; anything else unchanged."""
     c = col(c).cast("string")
@@ -121,11 +126,10 @@ def slug(c):
 
 def article_number(c):
     """PRJ23: ordinal words one to five become digits, 'únic' stays a word."""
-    n = F.lower(F.trim(F.coalesce(col(c), F.lit(""))))
-    out = F.when(n.isin("únic", "único"), "Únic")
-    for word, digit in rules.ARTICLE_NUMBERS.items():
-        out = out.when(n == word, digit)
-    return out.when(n.rlike(r"(?U)^[\p{L}\p{N}]+$"), F.upper(n)).otherwise(n)
+    words = {**rules.ARTICLE_NUMBERS, "únic": "Únic", "único": "Únic"}
+    known = F.create_map(*[F.lit(x) for kv in words.items() for x in kv])
+    return bind(F.lower(F.trim(F.coalesce(col(c), F.lit("")))), lambda n: F.coalesce(
+        F.try_element_at(known, n), F.when(n.rlike(r"(?U)^[\p{L}\p{N}]+$"), F.upper(n)).otherwise(n)))
 
 
 def article_from_title(c):

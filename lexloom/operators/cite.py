@@ -42,7 +42,8 @@ def affected_sections(c, faithful=True):
     annexes = F.transform(F.regexp_extract_all(low, F.lit(rules.ANNEX_MENTION), F.lit(1)),
                           lambda t: F.when(_strip_marks(t) == "", "Annex").otherwise(F.concat(F.lit("Annex "), tx.capitalise(_strip_marks(t)))))
     disps = F.transform(F.regexp_extract_all(low, F.lit(rules.DISPOSITION_MENTION), F.lit(1)), name("Disposicio "))
-    return F.array_distinct(F.concat(F.when(F.size(articles) > 0, articles).otherwise(single), annexes, disps))
+    listed = tx.bind(articles, lambda a: F.when(F.size(a) > 0, a).otherwise(single))
+    return F.array_distinct(F.concat(listed, annexes, disps))
 
 
 def doc_ref(c):
@@ -74,12 +75,10 @@ def _refs(clause):
 def cited_refs(paras, keep, text="text"):
     """References of each clause crossed with the articles that clause names ('' if none)."""
     df = clauses(paras.filter(F.col(text).rlike(rules.CITED_REF)), text, keep)
-    df = df.withColumn("_refs", _refs(F.col("clause"))).filter(F.size("_refs") > 0)
-    arts = affected_sections("clause")
-    df = df.withColumn("_arts", F.when(F.size(arts) > 0, arts).otherwise(F.array(F.lit(""))))
-    df = df.select(*keep, "clause_no", "_arts", F.posexplode("_refs").alias("ref_no", "_r"))
+    df = df.select(*keep, "clause_no", "clause", F.posexplode(_refs(F.col("clause"))).alias("ref_no", "_r"))
+    arts = tx.bind(affected_sections("clause"), lambda a: F.when(F.size(a) > 0, a).otherwise(F.array(F.lit(""))))
     df = df.select(*keep, "clause_no", "ref_no", F.col("_r.t").alias("ref_type"), F.col("_r.v").alias("ref_value"),
-                   F.posexplode("_arts").alias("art_no", "article"))
+                   F.posexplode(arts).alias("art_no", "article"))
     ref = F.concat_ws(" ", "ref_type", "ref_value")
     return df.withColumns({"cited": ref, "cited_key": tx.section_key(ref)})
 
@@ -91,11 +90,13 @@ def number_index(docs, key="document_id", number="document_number", title="title
     Types are tested against the fixed list while indexing. The lookup is then an equi join
     on a unique key: a number shared by a third of the corpus stays one row per type.
     """
-    num, ttl = F.lower(tx.or_empty(number)), F.lower(tx.or_empty(title))
-    kinds = F.filter(F.array(*[F.lit(t) for t in rules.CITED_TYPES]), lambda t: F.lower(tx.or_empty(type_col)).contains(t) | ttl.contains(t))
-    nums = F.array_distinct(F.concat(F.regexp_extract_all(num, F.lit(f"({rules.REF_NUMBER})"), F.lit(1)), F.regexp_extract_all(ttl, F.lit(f"({rules.REF_NUMBER})"), F.lit(1))))
-    idx = (docs.select(F.col(key).alias("_id"), F.col(ord_col).alias("_ord"), F.explode(nums).alias("ref_number"), kinds.alias("_k"))
-           .select("_id", "_ord", "ref_number", F.explode("_k").alias("ref_kind")))
+    d = docs.select(F.col(key).alias("_id"), F.col(ord_col).alias("_ord"),
+                    F.lower(F.concat_ws("\u0001", tx.or_empty(number), tx.or_empty(title))).alias("_numbers"),
+                    F.lower(F.concat_ws("\u0001", tx.or_empty(type_col), tx.or_empty(title))).alias("_names"))
+    nums = F.array_distinct(F.regexp_extract_all("_numbers", F.lit(f"({rules.REF_NUMBER})"), F.lit(1)))
+    kinds = F.filter(F.array(*[F.lit(t) for t in rules.CITED_TYPES]), lambda t: F.contains(F.col("_names"), t))
+    idx = (d.select("_id", "_ord", "_names", F.explode(nums).alias("ref_number"))
+           .select("_id", "_ord", "ref_number", F.explode(kinds).alias("ref_kind")))
     pair = F.struct(F.col("_ord"), F.col("_id"))
     best = idx.groupBy("ref_number", "ref_kind").agg(F.min(pair).alias("a"))
     # second best: minimum over the rest, again a plain aggregate

@@ -30,17 +30,27 @@ def classify(df, text="text", html=False):
             .when(c.rlike(signature), "signature"))
     df = df.withColumn("kind", kind)
     k = F.col("kind")
-    num = _ex(c, article, 2)
-    title = (F.when(k == "chapter", F.concat_ws(" ", tx.capitalise(_ex(c, rules.CHAPTER_HEADER, 1)), _ex(c, rules.CHAPTER_HEADER, 2)))
+    patterns = {"chapter": rules.CHAPTER_HEADER, "article": article, "resolution": rules.RESOLUTION_HEADER,
+                "disposition": rules.DISPOSITION_HEADER, "annex": rules.ANNEX_HEADER}
+
+    def group(wanted):
+        out = F.when(k.isNull(), F.lit(None).cast("string"))
+        for name, n in wanted.items():
+            out = out.when(k == name, _ex(c, patterns[name], n))
+        return out
+
+    # captured pieces become columns first, so each regex runs once per header
+    df = df.withColumns({"_name": group({"chapter": 1, "resolution": 1, "disposition": 2}),
+                         "_num": group({"chapter": 2, "article": 2, "disposition": 3, "annex": 2}),
+                         "_rest": group({"chapter": 3, "article": 3, "resolution": 2, "disposition": 4, "annex": 3})})
+    name, num = tx.capitalise("_name"), F.col("_num")
+    title = (F.when(k == "chapter", F.concat_ws(" ", name, num))
              .when(k == "article", F.concat(F.lit("Article "), num if html else tx.article_number(num)))
-             .when(k == "resolution", tx.capitalise(_ex(c, rules.RESOLUTION_HEADER, 1)))
-             .when(k == "disposition", F.trim(F.concat_ws(" ", F.lit("Disposició"), tx.capitalise(_ex(c, rules.DISPOSITION_HEADER, 2)), _ex(c, rules.DISPOSITION_HEADER, 3))))
-             .when(k == "annex", F.trim(F.concat(F.lit("Annex "), _ex(c, rules.ANNEX_HEADER, 2))))
+             .when(k == "resolution", name)
+             .when(k == "disposition", F.trim(F.concat_ws(" ", F.lit("Disposició"), name, num)))
+             .when(k == "annex", F.trim(F.concat(F.lit("Annex "), num)))
              .when(k == "signature", "Signatures"))
-    heading = (F.when(k == "chapter", _ex(c, rules.CHAPTER_HEADER, 3)).when(k == "article", _ex(c, article, 3))
-               .when(k == "resolution", _ex(c, rules.RESOLUTION_HEADER, 2)).when(k == "disposition", _ex(c, rules.DISPOSITION_HEADER, 4))
-               .when(k == "annex", _ex(c, rules.ANNEX_HEADER, 3)))
-    df = df.withColumns({"title": title, "heading": F.nullif(heading, F.lit(""))})
+    df = df.withColumns({"title": title, "heading": F.nullif("_rest", F.lit(""))}).drop("_name", "_num", "_rest")
     return df.withColumn("chapter_label", F.when(k == "chapter", _chapter_label(F.col("title"), F.coalesce("heading", F.lit("")))))
 
 
@@ -50,30 +60,27 @@ def section_paragraphs(paras, key="document_id", ord_col="ord", text="text"):
     Section 0 is the implicit preamble. Long documents are scanned in chunks.
     """
     p = paras.select(key, F.col(ord_col).alias("ord"), tx.squeeze(text).alias("text")).filter(F.col("text") != "")
-    p = classify(p).withColumn("_head", F.col("kind").isNotNull().cast("long"))
-    p = scan(p, [key], "ord", sums={"section_no": "_head"}, carries={"chapter": "chapter_label"})
+    p = classify(p).withColumns({"_head": F.col("kind").isNotNull().cast("long"), "_one": F.lit(1)})
+    p = scan(p, [key], "ord", sums={"section_no": "_head", "para_no": "_one"}, carries={"chapter": "chapter_label"})
     content = F.col("kind").isNull() | (F.col("kind") == "signature")
-    return p.withColumn("content", content).drop("_head", "chapter_label")
+    return p.withColumn("content", content).drop("_head", "_one", "chapter_label")
 
 
 def section_rows(p, key="document_id", intro=("introduction", "Preàmbul", "Introducció"), drop_empty_intro=False):
     """One row per section from paragraph rows; an intro row for every document."""
-    head = F.struct("kind", "title", "heading", "chapter")
-    s = p.groupBy(key, "section_no").agg(
-        F.min_by(head, F.when(F.col("kind").isNotNull(), F.col("ord"))).alias("h"),
-        F.count_if("content").alias("n_paras"),
-        F.coalesce(F.sum(F.when(F.col("content"), F.length("text"))), F.lit(0)).alias("n_chars"))
-    s = s.select(key, "section_no", F.coalesce("h.kind", F.lit(intro[0])).alias("type"),
-                 F.coalesce("h.title", F.lit(intro[1])).alias("title"),
-                 F.when(F.col("h.kind").isNull(), F.lit(intro[2])).otherwise(F.col("h.heading")).alias("heading"),
-                 F.col("h.chapter").alias("chapter"), "n_paras", "n_chars")
-    if drop_empty_intro:
-        return s
-    bare = p.groupBy(key).agg(F.min("section_no").alias("_m")).filter("_m > 0")
-    empty = bare.select(key, F.lit(0).cast("long").alias("section_no"), F.lit(intro[0]).alias("type"), F.lit(intro[1]).alias("title"),
-                        F.lit(intro[2]).alias("heading"), F.lit(None).cast("string").alias("chapter"),
-                        F.lit(0).cast("long").alias("n_paras"), F.lit(0).cast("long").alias("n_chars"))
-    return s.unionByName(empty)
+    own = F.struct("section_no", F.lit(True).alias("real"))
+    none = F.struct(F.lit(0).cast("long").alias("section_no"), F.lit(False).alias("real"))
+    # a document that opens with a header still has a preamble, an empty one
+    opens = (F.col("para_no") == 1) & (F.col("section_no") == 1) & F.lit(not drop_empty_intro)
+    p = p.select("*", F.explode(F.when(opens, F.array(own, none)).otherwise(F.array(own))).alias("_x"))
+    real, content = F.col("_x.real"), F.col("_x.real") & F.col("content")
+    s = p.groupBy(key, F.col("_x.section_no").alias("section_no")).agg(
+        F.min_by(F.struct("kind", "title", "heading", "chapter"), F.when(real & F.col("kind").isNotNull(), F.col("ord"))).alias("h"),
+        F.count_if(content).alias("n_paras"), F.coalesce(F.sum(F.when(content, F.length("text"))), F.lit(0)).alias("n_chars"))
+    return s.select(key, "section_no", F.coalesce("h.kind", F.lit(intro[0])).alias("type"),
+                    F.coalesce("h.title", F.lit(intro[1])).alias("title"),
+                    F.when(F.col("h.kind").isNull(), F.lit(intro[2])).otherwise(F.col("h.heading")).alias("heading"),
+                    F.col("h.chapter").alias("chapter"), "n_paras", "n_chars")
 
 
 def section_text(p, key="document_id", sep="\n"):
@@ -173,17 +180,17 @@ def page_paragraphs(blocks, key="page_id"):
     b = b.withColumn("kind", F.when((F.col("kind") == "chapter") & (F.col("_last") == "signature"), F.lit(None)).otherwise(F.col("kind")))
     borrow = F.col("_bare") & F.coalesce("_next_plain", F.lit(False))
     b = b.withColumns({"heading": F.when(borrow, F.col("_next_text")).otherwise(F.col("heading")), "_borrow": borrow,
-                       "_head": F.col("kind").isNotNull().cast("long"), "_att": (~is_text).cast("long"),
+                       "_head": F.col("kind").isNotNull().cast("long"), "_att": (~is_text).cast("long"), "_one": F.lit(1),
                        "_section_title": F.when(F.col("kind").isNotNull(), F.col("title")),
                        "chapter_label": F.when(F.col("kind").isNotNull(), F.col("chapter_label")),
                        "_borrow_at": F.when(borrow, F.col("ord") + 1)})
-    b = scan(b, [key], "ord", sums={"section_no": "_head", "_att_no": "_att"},
+    b = scan(b, [key], "ord", sums={"section_no": "_head", "para_no": "_one", "_att_no": "_att"},
              carries={"chapter": "chapter_label", "section_title": "_section_title", "_taken": "_borrow_at"})
     taken = F.coalesce(F.col("_taken") == F.col("ord"), F.lit(False)) & ~F.col("_borrow")
     att = F.concat(F.lit("att_"), F.col("_att_no").cast("string"))
     kind = F.when(F.col("kind") == "resolution", "article").otherwise(F.col("kind"))
     return b.select(
-        key, "ord", "section_no", kind.alias("kind"), "title", "heading", "chapter", "block", "html",
+        key, "ord", "section_no", "para_no", kind.alias("kind"), "title", "heading", "chapter", "block", "html",
         F.coalesce("section_title", F.lit("Preamble")).alias("section_title"), F.when(~is_text, att).alias("attachment_id"),
         F.when(is_text, F.col("text")).otherwise(F.concat(F.lit("[ATTACHMENT: "), att, F.lit("]"))).alias("text"),
         ((F.col("kind").isNull() | (F.col("kind") == "signature")) & ~taken).alias("content"))
