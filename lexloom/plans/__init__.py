@@ -4,3 +4,4 @@ from lexloom.plans.registry import ORACLES, QUERIES  # noqa: F401
 from lexloom.plans import projections  # noqa: F401
 from lexloom.plans import filtering, flattening  # noqa: F401
 from lexloom.plans import extraction  # noqa: F401
+from lexloom.plans import matching  # noqa: F401
