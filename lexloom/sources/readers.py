@@ -62,7 +62,7 @@ LAW_XML = ("metadatos struct<identificador:string,titulo:string,fecha_publicacio
 
 def read_gazette_xml(spark, path, row_tag="documento"):
     """SRC3: national law files. Returns (laws, paragraphs, references)."""
-    df = spark.read.format("xml").option("rowTag", row_tag).option("attributePrefix", "_").option("valueTag", "_VALUE").option("mode", "PERMISSIVE").schema(LAW_XML).load(path)
+    df = spark.read.format("xml").option("rowTag", row_tag).option("multiLine", False).option("attributePrefix", "_").option("valueTag", "_VALUE").option("mode", "PERMISSIVE").schema(LAW_XML).load(path)
     df = df.filter(F.col("metadatos").isNotNull())
     m, law = F.col("metadatos"), F.col("metadatos.identificador").alias("law_id")
     laws = df.select(law, m["titulo"].alias("title"), m["fecha_publicacion"].alias("publication_date"), m["departamento"].alias("department"), m["rango"].alias("rango"))
