@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from lexloom.functions import text as tx
-from lexloom.operators.ordered import first_row, global_scan, split_row_number, top_k
+from lexloom.operators.ordered import first_row, global_scan, sorted_stream, split_row_number, top_k
 from lexloom.session import cut
 
 
@@ -41,7 +41,7 @@ def cluster_publications(pubs, keys, text, ord_col="ingest_ord", block=256):
 
     Equal descriptions always share a fate, so distinct ones are clustered. Rounds keep a hot
     group out of one task: a round takes the first ``block`` open descriptions of each group,
-    clusters them in place (at most ``block`` rows per task and group), and every other open
+    clusters them as a sorted stream (at most ``block`` rows per group), and every other open
     description is compared with those at most ``block`` representatives. That is the
     sequential greedy, because whatever comes before a block is already settled. Blank
     descriptions stay alone.
@@ -49,23 +49,27 @@ def cluster_publications(pubs, keys, text, ord_col="ingest_ord", block=256):
     df = pubs.withColumn("_t", tx.title_key(text))
     texts = df.filter("_t <> ''").groupBy(*keys, "_t").agg(F.min(ord_col).alias("_o"))
 
-    def greedy(pdf):
-        reps, chosen = [], []
-        for t, o in zip(pdf.sort_values("_o")["_t"], pdf.sort_values("_o")["_o"]):
-            rep = next((ro for rt, ro in reps if _similar(t, rt)), None)
-            if rep is None:
-                reps.append((t, o))
-                rep = o
-            chosen.append((t, rep))
-        res = pdf.sort_values("_o")[keys].copy()
-        res["_t"], res["_rep"] = [c[0] for c in chosen], [c[1] for c in chosen]
-        return res
+    def greedy(batches):
+        import pandas as pd
+        group, reps = object(), []
+        for pdf in batches:
+            out = []
+            for row in zip(*[pdf[k] for k in keys], pdf["_t"], pdf["_o"]):
+                k, t, o = row[:-2], row[-2], row[-1]
+                if k != group:
+                    group, reps = k, []
+                rep = next((ro for rt, ro in reps if _similar(t, rt)), None)
+                if rep is None:
+                    reps.append((t, o))
+                    rep = o
+                out.append((*k, t, rep))
+            yield pd.DataFrame(out, columns=[*keys, "_t", "_rep"])
 
     schema = ", ".join(f"`{k}` {texts.schema[k].dataType.simpleString()}" for k in keys) + ", _t string, _rep bigint"
     pending, done = cut(texts), None
     while True:
         head = top_k(pending, keys, ["_o"], block, "_k").drop("_k")
-        got = cut(head.groupBy(*keys).applyInPandas(greedy, schema))
+        got = cut(sorted_stream(head, keys, ["_o"], greedy, schema))
         done = got if done is None else done.unionByName(got)
         rest = pending.join(got.select(*keys, "_t"), keys + ["_t"], "left_anti")
         if rest.isEmpty():

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lexloom import rules
 from lexloom.functions import ids, text as tx
 from lexloom.operators import cite
-from lexloom.operators.ordered import first_row, split_row_number, top_k
+from lexloom.operators.ordered import first_row, sorted_stream, split_row_number, top_k
 from lexloom.session import cut
 
 
@@ -216,21 +216,27 @@ def _named_refs(c):
     return F.array_distinct(F.flatten(F.transform(found, lambda r: F.transform(F.sequence(head(r) + 1, F.length(r)), lambda k: F.substring(r, F.lit(1), k)))))
 
 
-def section_tokens(sections, key="document_id", no="section_no"):
-    """(document, section, token, weight): what an editorial link can find in a section.
+def section_tokens(sections, links, key="document_id", no="section_no"):
+    """(document, section, token, weight): what editorial links can find in a section.
 
     Number tokens weigh 40 in the title, 30 in the heading, 15 in the text; whole-number
-    tokens, which cited articles look for, weigh 15 anywhere.
+    tokens, which cited articles look for, weigh 15 anywhere. Only sections of documents
+    that some link acts from are read, and references without a number are looked up only
+    where a link has one.
     """
-    ti, he, te = (F.lower(tx.or_empty(c)) for c in ("title", "heading", "text"))
-    entries = []
-    for c, w in ((ti, 40), (he, 30), (te, 15)):
-        entries.append(F.transform(F.concat(_number_variants(c), _named_refs(c)), _weigh("R:", w)))
-    digits = F.array_distinct(F.regexp_extract_all(F.concat_ws(" ", he, te, ti), F.lit(r"(?U)\b(\d+)\b"), F.lit(1)))
-    entries.append(F.transform(digits, _weigh("D:", 15)))
-    df = sections.select(F.col(key).alias("doc"), F.col(no).alias("section_no"), F.explode(F.concat(*entries)).alias("x"))
-    # title beats heading beats text: the best place counts once
-    return df.groupBy("doc", "section_no", F.col("x.token").alias("token")).agg(F.max("x.w").alias("w"))
+    def tokens(docs, pick, digits):
+        s = sections.join(docs.select(F.col("doc").alias(key)).distinct(), key, "left_semi")
+        ti, he, te = (F.lower(tx.or_empty(c)) for c in ("title", "heading", "text"))
+        entries = [F.transform(pick(c), _weigh("R:", w)) for c, w in ((ti, 40), (he, 30), (te, 15))]
+        if digits:
+            found = F.array_distinct(F.regexp_extract_all(F.concat_ws(" ", he, te, ti), F.lit(r"(?U)\b(\d+)\b"), F.lit(1)))
+            entries.append(F.transform(found, _weigh("D:", 15)))
+        df = s.select(F.col(key).alias("doc"), F.col(no).alias("section_no"), F.explode(F.concat(*entries)).alias("x"))
+        # title beats heading beats text: the best place counts once
+        return df.groupBy("doc", "section_no", F.col("x.token").alias("token")).agg(F.max("x.w").alias("w"))
+
+    numberless = links.filter((F.col("_ref") != "") & ~F.col("_ref").rlike(rules.REF_NUMBER))
+    return tokens(links, _number_variants, True).unionByName(tokens(numberless, _named_refs, False))
 
 
 def _weigh(prefix, w):
@@ -254,7 +260,7 @@ def best_source_section(affs, sections, key="document_id", no="section_no"):
     wanted = F.concat(F.when(F.col("_ref") != "", F.array(F.concat(F.lit("R:"), "_ref"))).otherwise(F.array().cast("array<string>")),
                       F.transform(F.filter(F.transform("_arts", lambda x: F.regexp_replace(x, r"[^\p{Nd}]", "")), lambda x: x != ""), lambda x: F.concat(F.lit("D:"), x)))
     want = sigs.select("sig", "doc", F.explode(wanted).alias("token")).groupBy("sig", "doc", "token").agg(F.count(F.lit(1)).alias("times"))
-    hits = want.join(section_tokens(sections, key, no), ["doc", "token"])
+    hits = want.join(section_tokens(sections, sigs, key, no), ["doc", "token"])
     score = F.sum(F.col("w") * F.when(F.col("token").startswith("D:"), F.col("times")).otherwise(1))
     scored = hits.groupBy("sig", "doc", "section_no").agg(score.alias("score"))
     title = F.lower(tx.or_empty("title"))
@@ -380,8 +386,8 @@ def candidate_targets(texts, docs, k=15, rare=200, text="text", row_id="text_id"
                     tx.entity_key("title").alias("ttl"), F.substring(tx.or_empty("date_dogc"), -4, 4).alias("yr"))
     prof = d.select("num", "gaz", "ttl", "yr", "document_id", "ingest_ord").withColumn("pid", F.xxhash64("num", "gaz", "ttl", "yr"))
     members = top_k(prof.select("pid", "document_id", "ingest_ord"), ["pid"], ["ingest_ord"], k, "member")
-    p = prof.groupBy("pid", "num", "gaz", "ttl", "yr").agg(F.min("ingest_ord").alias("first_ord"))
-    words = p.select("pid", F.explode(_title_words(F.col("ttl"))).alias("tok"))
+    p = prof.groupBy("pid", "num", "gaz", "ttl", "yr").agg(F.min("ingest_ord").alias("first_ord")).withColumn("tw", _title_words(F.col("ttl")))
+    words = p.select("pid", F.explode("tw").alias("tok"))
     keep = words.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") <= rare).select("tok")
     words = words.join(keep, "tok", "left_semi")
     index = (words.select("pid", F.concat(F.lit("w:"), "tok").alias("tok"), F.lit(0).alias("pts"))
@@ -406,7 +412,7 @@ def candidate_targets(texts, docs, k=15, rare=200, text="text", row_id="text_id"
     base = pairs.groupBy("sig", "pid").agg(F.max(F.when(F.col("tok").startswith("n:"), F.col("pts"))).alias("n_pts"), F.max(F.when(F.col("tok").startswith("g:"), F.col("pts"))).alias("g_pts"))
     full = base.join(sigs, "sig").join(p, "pid")
     has = lambda pre, c: F.array_contains("toks", F.concat(F.lit(pre), c))
-    shared = F.size(F.array_intersect(F.transform(_title_words(F.col("ttl")), lambda w: F.concat(F.lit("w:"), w)), F.col("toks")))
+    shared = F.size(F.array_intersect(F.transform("tw", lambda w: F.concat(F.lit("w:"), w)), F.col("toks")))
     score = (F.coalesce("n_pts", F.lit(0)) + F.when(has("G:", F.col("gaz")), 90).otherwise(F.coalesce("g_pts", F.lit(0))) + shared * 5
              + F.when(has("t:", F.col("ttl")), 50).otherwise(0) + F.when((F.col("yr") != "") & has("y:", F.col("yr")), 5).otherwise(0))
     full = full.select("sig", "pid", "first_ord", score.alias("score"))
@@ -574,16 +580,20 @@ def align_citations(graph, found, block=64):
     more than block * block rows per key in a task, and the result is that of the
     sequential greedy however hot the node is.
     """
-    def greedy(pdf):
+    def greedy(batches):
         import pandas as pd
-        used, out = set(), []
-        for g, rows in pdf.sort_values(["g_ord", "f_ord"]).groupby("g_ord", sort=True):
-            for f in rows["f_ord"]:
-                if f not in used:
+        node = taken = object()
+        used = set()
+        for pdf in batches:
+            out = []
+            for n, g, f in zip(pdf["node_id"], pdf["g_ord"], pdf["f_ord"]):
+                if n != node:
+                    node, taken, used = n, object(), set()
+                if g != taken and f not in used:
                     used.add(f)
-                    out.append((pdf["node_id"].iloc[0], g, f))
-                    break
-        return pd.DataFrame(out, columns=["node_id", "g_ord", "f_ord"])
+                    taken = g
+                    out.append((n, g, f))
+            yield pd.DataFrame(out, columns=["node_id", "g_ord", "f_ord"])
 
     g = graph.select("node_id", F.col("ord").alias("g_ord"), F.col("title").alias("g_title"))
     f = found.select("node_id", F.col("ord").alias("f_ord"), F.col("title").alias("f_title"))
@@ -598,7 +608,7 @@ def align_citations(graph, found, block=64):
             free = free.join(done.select("node_id", "f_ord"), ["node_id", "f_ord"], "left_anti")
         near = top_k(free, ["node_id", "_key"], ["f_ord"], block, "_k")
         pairs = now.join(near, ["node_id", "_key"]).select("node_id", "g_ord", "f_ord").distinct()
-        got = cut(pairs.groupBy("node_id").applyInPandas(greedy, pairs.schema))
+        got = cut(sorted_stream(pairs, ["node_id"], ["g_ord", "f_ord"], greedy, pairs.schema))
         done = got if done is None else done.unionByName(got)
     match = done.join(g, ["node_id", "g_ord"]).join(f, ["node_id", "f_ord"]).select("node_id", F.lit("match").alias("status"), "g_title", "f_title", "g_ord", "f_ord")
     none = F.lit(None).cast("string")

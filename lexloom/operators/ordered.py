@@ -135,3 +135,12 @@ def top_k(df, keys, order, k, rank="rank"):
     (WindowGroupLimit), so at most k rows per key and partition are shuffled."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
+
+
+def sorted_stream(df, keys, order, fn, schema):
+    """Python over rows grouped by ``keys`` and sorted by ``order``, batch by batch.
+
+    Every key lies in one partition, in order, so ``fn`` sees its rows one after another and
+    keeps only the state it needs instead of whole groups.
+    """
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(fn, schema)
