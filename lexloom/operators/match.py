@@ -114,8 +114,8 @@ def title_occurrences(texts, titles, group, row_id, text):
     w = F.split(text, " ")
     grams = lambda i: F.struct(F.slice(w, i, longest).alias("tail"), F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.lit(_ANCHOR)), lambda k: F.array_join(F.slice(w, i, k), " "))).alias("anchors"))
-    pos = texts.filter(F.col(text) != "").select(*group, row_id, F.explode(F.transform(F.sequence(F.lit(1), F.size(w)), lambda i: grams(i))).alias("g"))
-    pos = pos.select(*group, row_id, F.col("g.tail").alias("_tail"), F.explode("g.anchors").alias("_anchor"))
+    pos = texts.filter(F.col(text) != "").select(*group, row_id, F.explode(F.transform(F.sequence(F.lit(1), F.size(w)), lambda i: grams(i))).alias("_win"))
+    pos = pos.select(*group, row_id, F.col("_win.tail").alias("_tail"), F.explode("_win.anchors").alias("_anchor"))
     pos = pos.join(anchors, group + ["_anchor"]).select(*group, row_id, "_tail", F.explode("_lens").alias("_n"))
     pos = pos.filter(F.size("_tail") >= F.col("_n")).withColumn("_title", F.array_join(F.slice("_tail", F.lit(1), F.col("_n")), " "))
     return pos.select(*group, row_id, "_title").distinct().join(t.select(*group, "_title"), group + ["_title"], "left_semi")

@@ -128,15 +128,18 @@ def topology(nodes, edges):
 
 
 def component_stats(sec, s2s, s2d, comp):
-    """Size, edge count and citation count of each component. comp: id, component."""
+    """Size, edge count and citation count of each component. comp: id, component.
+
+    Sizes are exact integers in tenths of a byte.
+    """
     per, fixed = rules.SECTION_BYTES
-    size = sec.join(comp, "id").groupBy("component").agg(F.sum(F.round(F.col("n_chars") * per).cast("long") + fixed).alias("section_bytes"))
+    size = sec.join(comp, "id").groupBy("component").agg(F.sum(F.col("n_chars") * round(per * 10) + fixed * 10).alias("section_tenths"))
     c = lambda k: comp.select(F.col("id").alias(k), "component")
     rel = (s2d.join(c("section"), "section").select("component", (F.col("type") != "HAS_SECTION").cast("int").alias("cites"))
            .unionByName(s2s.join(c("src"), "src").select("component", F.lit(1).alias("cites"))))
     rel = rel.groupBy("component").agg(F.count(F.lit(1)).alias("n_edges"), F.sum("cites").alias("n_citations"))
     s = size.join(rel, "component", "left").fillna(0, ["n_edges", "n_citations"])
-    return s.withColumns({"has_citation": F.col("n_citations") > 0, "fixed_bytes": F.col("section_bytes") + F.col("n_edges") * rules.EDGE_BYTES})
+    return s.withColumns({"has_citation": F.col("n_citations") > 0, "fixed_tenths": F.col("section_tenths") + F.col("n_edges") * rules.EDGE_BYTES * 10})
 
 
 def select_components(stats, comp_docs, docs, target_bytes):
@@ -151,26 +154,26 @@ def select_components(stats, comp_docs, docs, target_bytes):
     comp_docs: component, document (distinct). docs: document, n_chars.
     """
     per, fixed = rules.DOCUMENT_BYTES
-    cost = docs.select("document", (F.round(F.col("n_chars") * per).cast("long") + fixed).alias("doc_bytes"))
-    order = [F.col("has_citation").desc(), F.col("n_citations").desc(), F.col("section_bytes"), F.col("component")]
-    left = cut(global_scan(stats, order, {}, "rank").select("component", "rank", "fixed_bytes"))
+    cost = docs.select("document", (F.col("n_chars") * round(per * 10) + fixed * 10).alias("doc_tenths"))
+    order = [F.col("has_citation").desc(), F.col("n_citations").desc(), F.col("section_tenths"), F.col("component")]
+    left = cut(global_scan(stats, order, {}, "rank").select("component", "rank", "fixed_tenths"))
     need = cut(comp_docs.join(cost, "document"))
-    budget, chosen = target_bytes, None
+    budget, chosen = target_bytes * 10, None
     while True:
-        left = left.filter(F.col("fixed_bytes") <= budget)
-        first = need.join(left.select("component", "rank"), "component").groupBy("document").agg(F.min_by(F.struct("component", "doc_bytes"), "rank").alias("x"))
-        extra = first.groupBy(F.col("x.component").alias("component")).agg(F.sum("x.doc_bytes").alias("extra"))
-        priced = left.join(extra, "component", "left").withColumn("inc", F.col("fixed_bytes") + F.coalesce("extra", F.lit(0)))
+        left = left.filter(F.col("fixed_tenths") <= budget)
+        first = need.join(left.select("component", "rank"), "component").groupBy("document").agg(F.min_by(F.struct("component", "doc_tenths"), "rank").alias("x"))
+        extra = first.groupBy(F.col("x.component").alias("component")).agg(F.sum("x.doc_tenths").alias("extra"))
+        priced = left.join(extra, "component", "left").withColumn("inc", F.col("fixed_tenths") + F.coalesce("extra", F.lit(0)))
         run = cut(global_scan(priced, [F.col("rank")], {"cum": "inc"}, "_n"))
         last, spent, misfit = run.agg(F.max(F.when(F.col("cum") <= budget, F.col("rank"))), F.max(F.when(F.col("cum") <= budget, F.col("cum"))), F.min(F.when(F.col("cum") > budget, F.col("rank")))).first()
         if last is not None:
-            got = run.filter(F.col("rank") <= last).select("component", "rank", F.col("inc").alias("bytes"))
+            got = run.filter(F.col("rank") <= last).select("component", "rank", (F.col("inc") / 10).alias("bytes"))
             chosen = got if chosen is None else chosen.unionByName(got)
             budget -= spent
             paid = need.join(got.select("component"), "component", "left_semi").select("document").distinct()
             need = cut(need.join(paid, "document", "left_anti"))
         if misfit is None:
-            return chosen if chosen is not None else run.limit(0).select("component", "rank", F.col("inc").alias("bytes"))
+            return chosen if chosen is not None else run.limit(0).select("component", "rank", (F.col("inc") / 10).alias("bytes"))
         left = cut(left.filter(F.col("rank") > misfit))
 
 

@@ -49,7 +49,8 @@ def read_structured(spark, path, schema, glob="*_structured.json", one_per_file=
     df = (spark.read.schema(f"{schema}, _corrupt_record string").option("multiLine", one_per_file).option("pathGlobFilter", glob)
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
     df = df.select("*", F.col("_metadata.file_path").alias("file_path"))
-    bad = df.filter("_corrupt_record IS NOT NULL").select("file_path", "_corrupt_record")
+    # the source refuses queries on the corrupt column alone, so the key is read as well
+    bad = df.filter(F.col("_corrupt_record").isNotNull() & F.coalesce(key, F.lit("")).rlike("")).select("file_path", "_corrupt_record")
     ok = df.filter(F.col("_corrupt_record").isNull() & tx.present(key).isNotNull())
     return ok.drop("_corrupt_record", "file_path"), bad
 
@@ -60,9 +61,13 @@ LAW_XML = ("metadatos struct<identificador:string,titulo:string,fecha_publicacio
            "posteriores:struct<posterior:array<struct<_referencia:string,palabra:string,texto:string>>>>>")
 
 
-def read_gazette_xml(spark, path, row_tag="documento"):
-    """SRC3: national law files. Returns (laws, paragraphs, references)."""
-    df = spark.read.format("xml").option("rowTag", row_tag).option("multiLine", False).option("attributePrefix", "_").option("valueTag", "_VALUE").option("mode", "PERMISSIVE").schema(LAW_XML).load(path)
+def read_gazette_xml(spark, path, layout="files", row_tag="documento"):
+    """SRC3: national laws. Returns (laws, paragraphs, references).
+
+    ``files``: one law per file, as they are published. ``lines``: one law per line, which
+    lets a large file be split between tasks.
+    """
+    df = spark.read.format("xml").option("rowTag", row_tag).option("multiLine", layout == "files").option("attributePrefix", "_").option("valueTag", "_VALUE").option("mode", "PERMISSIVE").schema(LAW_XML).load(path)
     df = df.filter(F.col("metadatos").isNotNull())
     m, law = F.col("metadatos"), F.col("metadatos.identificador").alias("law_id")
     laws = df.select(law, m["titulo"].alias("title"), m["fecha_publicacion"].alias("publication_date"), m["departamento"].alias("department"), m["rango"].alias("rango"))
