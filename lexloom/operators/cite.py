@@ -123,11 +123,12 @@ def match_section(df, sections, target="target_id", article="article", key="docu
 
 
 # ---- CIT1 / CIT2 --------------------------------------------------------------------------------
-def extract_citations(section_paras, docs, sections, key="document_id"):
+def extract_citations(section_paras, docs, sections=None, key="document_id"):
     """CIT1: one row per (section, target or cited key, article).
 
     Works on paragraphs: a section's paragraphs are joined by line ends, which also end
-    clauses, so nothing is lost and no section text has to be assembled.
+    clauses, so nothing is lost and no section text has to be assembled. Without
+    ``sections`` the cited section is not looked up.
     """
     scanned = F.when(F.col("kind").isNotNull() & ~F.col("content"), F.col("heading")).otherwise(F.col("text"))
     paras = section_paras.select(key, "section_no", "ord", scanned.alias("text")).filter(F.col("text").isNotNull())
@@ -137,7 +138,7 @@ def extract_citations(section_paras, docs, sections, key="document_id"):
     one = refs.groupBy(key, "section_no", "_to", "article").agg(
         F.min_by(F.struct("target_id", "cited", "ref_type"), F.struct("ord", "clause_no", "ref_no", "art_no")).alias("x"))
     out = one.select(key, "section_no", "article", "x.*", F.col("x.target_id").isNotNull().alias("is_mapped"))
-    return match_section(out, sections, key=key)
+    return out if sections is None else match_section(out, sections, key=key)
 
 
 def simple_citations(sections, keep, text="text"):

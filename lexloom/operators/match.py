@@ -449,7 +449,11 @@ def candidates_for_items(items, docs, k=10, keys=("source_id", "item_no")):
     gaz_pts = lambda: F.when((F.col("q_gaz") != "") & (F.col("q_gaz") == F.col("gaz")), 90).otherwise(0)
     num_pts = F.when((F.col("q_num") != "") & (F.col("q_num") == F.col("num")), 100).when((F.col("q_num") != "") & F.array_contains("_in_title", F.col("q_num")), 80).otherwise(0)
     in_year = (F.col("q_year") == "") | F.array_contains("yrs", F.col("q_year"))
-    a = sigs.filter("q_num <> ''").join(by_num, F.col("q_num") == F.col("key")).filter(in_year).select(*sig_cols, "document_id", "ingest_ord", (F.col("pts") + gaz_pts() + typed()).alias("score"))
+    # by number the gazette plays no part, so far fewer distinct questions are ranked
+    short = ["q_num", "q_typ", "q_year"]
+    a = sigs.filter("q_num <> ''").select(*short).distinct().join(by_num, F.col("q_num") == F.col("key")).filter(in_year)
+    a = top_k(a.select(*short, "document_id", "ingest_ord", "gaz", (F.col("pts") + typed()).alias("base")), short, [F.col("base").desc(), "ingest_ord"], k, "_m")
+    a = sigs.join(a, short).select(*sig_cols, "document_id", "ingest_ord", (F.col("base") + gaz_pts()).alias("score"))
     b = sigs.filter("q_gaz <> ''").join(by_gaz, F.col("q_gaz") == F.col("gaz")).filter(in_year).select(*sig_cols, "document_id", "ingest_ord", (num_pts + gaz_pts() + typed()).alias("score"))
     best = top_k(a.unionByName(b).distinct(), sig_cols, [F.col("score").desc(), "ingest_ord"], k).select(*sig_cols, "rank", "document_id", "score")
     return i.join(best, sig_cols).select(*keys, "rank", "document_id", "score")

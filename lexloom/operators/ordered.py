@@ -34,15 +34,16 @@ def _mark(df, keys, found):
             .select("l.*", F.coalesce("_hot", F.lit(False)).alias("_hot")))
 
 
-def scan(df, keys, ord_col, sums=None, carries=None, leads=None, chunk=CHUNK, hot=None):
+def scan(df, keys, ord_col, sums=None, carries=None, leads=None, chunk=CHUNK, hot=None, count_on=None):
     """Running sums, last-seen values and next values over ``keys`` ordered by ``ord_col``.
 
     ``ord_col`` is an integer, unique within the keys. ``sums`` adds up to and including
     the row; ``carries`` gives the last non-NULL value at or before the row; ``leads``
     gives the value of the next row. Each maps an output name to a column name.
+    ``count_on`` may name a cheaper table with at least the same rows per key to count.
     """
     sums, carries, leads = sums or {}, carries or {}, leads or {}
-    found = hot_keys(df, keys, hot)
+    found = hot_keys(df if count_on is None else count_on, keys, hot)
     if found is None:
         w = Window.partitionBy(*keys).orderBy(ord_col)
         upto = w.rowsBetween(Window.unboundedPreceding, 0)

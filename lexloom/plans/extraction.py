@@ -21,9 +21,9 @@ def paragraphs(t):
     return segment.section_paragraphs(t.legal_paras)
 
 
-def citations(t):
+def citations(t, with_section=False):
     p = paragraphs(t)
-    return cite.extract_citations(p, t.legal_docs, segment.section_rows(p))
+    return cite.extract_citations(p, t.legal_docs, segment.section_rows(p) if with_section else None)
 
 
 @query("flagship_citation_share", f"""WITH {SQL_CITES} SELECT lower(kind) AS cited_type, count(*) AS citations, count(target_id) AS resolved,
@@ -115,7 +115,7 @@ h AS (SELECT document_id AS doc, min(section_no) AS section, split_part(text, '.
 SELECT r.document_id, r.section_no, r.target_id, concat(r.kind, ' ', r.num) AS cited, r.article, h.section AS target_section, r.target_id IS NOT NULL AS is_mapped
 FROM r LEFT JOIN h ON h.doc = r.target_id AND h.title = r.article""")
 def _(t):
-    return citations(t).select("document_id", "section_no", "target_id", "cited", "article", "target_section", "is_mapped")
+    return citations(t, True).select("document_id", "section_no", "target_id", "cited", "article", "target_section", "is_mapped")
 
 
 @query("cit2_simple_citations", """SELECT section_id, 0 AS cit_no, concat('ref_', replace(regexp_extract(text, 'la Llei (\\d+/\\d+)', 1), '/', '_')) AS target, concat('Llei ', regexp_extract(text, 'la Llei (\\d+/\\d+)', 1)) AS raw_text FROM legal_sections

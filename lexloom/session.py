@@ -38,9 +38,7 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
     sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        named = sc.getConf().get("lexloom.local.scratch", None) or getattr(sc, "_lexloom_dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None) or getattr(sc, "_lexloom_dir", None)
     if named is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
