@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from lexloom import rules
 from lexloom.functions import text as tx
 from lexloom.operators.filters import valid_article_token, valid_citation_ref
-from lexloom.operators.ordered import first_row
 
 
 # ---- CIT3 / CIT4: one editorial link or clause ------------------------------------------------

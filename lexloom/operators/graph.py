@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from lexloom import rules
 from lexloom.functions import doctype, ids, text as tx
 from lexloom.operators import cite, dedupe
 from lexloom.operators.ordered import first_row, global_scan

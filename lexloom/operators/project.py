@@ -2,9 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from lexloom import rules
 from lexloom.functions import doctype, ids, markup, text as tx
-from lexloom.operators import ordered
 
 
 def fill_document_types(df, force=False):

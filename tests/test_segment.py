@@ -2,7 +2,6 @@
 
 import re
 
-from pyspark.sql import functions as F
 
 from lexloom import rules
 from lexloom.functions import doctype, text as tx
