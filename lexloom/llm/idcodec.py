@@ -2,9 +2,9 @@
 
 Ids are predicted from the two ids before (order 2), the one before (order 1) and the block so far (order 0). One binary
 decision says whether the id is the prediction of the highest order that has one; its probability mixes the opinions of
-all three orders with weights that adapt. Other ids are coded by an adaptive order-0 model of their high byte, the low
-bits as they are. Blocks are reset independently and carry a checksum; all blocks of a batch are coded in step, one numpy
-lane each, with integer arithmetic only, so every machine decodes alike.
+orders 2 and 1 and the hit rate so far, with weights that adapt. Other ids are coded by an order-0 model of their high
+byte, refreshed as the block goes on, and the low bits as they are. Blocks are reset independently and carry a checksum;
+all blocks of a batch are coded in step, one numpy lane each, with integer arithmetic only, so every machine decodes alike.
 
 A file set is a table of blocks: part, block, n_ids, bits, crc32, payload, and the documents that begin in the block
 (doc_ids, doc_tokens). Parts are ranges of doc_id in ascending order.
@@ -26,8 +26,10 @@ from lexloom.session import scratch_path
 BLOCK = 4096  # ids
 LANES = 1024  # blocks coded in step
 _ORDER1, _ORDER2 = 1024, 2048  # context slots of a block
-_TOP, _BOT = np.uint32(1 << 24), np.uint32(1 << 16)
+_U, _W = np.uint32, np.uint64
+_TOP, _BOT = _W(1 << 56), _W(1 << 48)
 _RATE, _LEARN = 5, 10
+_HIT, _HIGH = 12, 15  # bits of the totals of both decisions
 
 
 @functools.cache
@@ -44,128 +46,133 @@ class _Model:
         self.low_bits = max(0, bits - 8)
         self.squash, self.stretch = _curves()
         self.lane = np.arange(n)
-        self.id1, self.c1 = np.zeros(n * _ORDER1, np.uint32), np.zeros(n * _ORDER1, np.uint8)
-        self.id2, self.c2 = np.zeros(n * _ORDER2, np.uint32), np.zeros(n * _ORDER2, np.uint8)
-        self.id0, self.c0 = np.zeros(n, np.uint32), np.zeros(n, np.uint8)
-        self.prob = np.full(3 * n * 32, 2048, np.int32)  # of a hit, by order, lane, agreement and confidence
-        self.weight = np.full((3, n), 1 << 14, np.int32)
+        self.base = (self.lane * _ORDER1, self.lane * _ORDER2)
+        self.slots = (np.zeros(n * _ORDER1, np.uint64), np.zeros(n * _ORDER2, np.uint64))  # id << 4 | confidence
+        self.prob = np.full((3, n * 32), 2048, np.int32)  # of a hit, by order, lane, agreement and confidence
+        self.weight = np.full((3, n), 3 << 13, np.int32)
         self.before1, self.before2 = np.zeros(n, np.uint32), np.zeros(n, np.uint32)
-        self.high = np.ones((n, 17, 16), np.int32)  # counts of the high byte's halves
+        self.seen = np.zeros((n, 256), np.int32)
+        self.sums = np.tile((np.arange(257) << (_HIGH - 8)).astype(np.uint16), (n, 1))  # before each high byte
+        self.step, self.due = 0, 16
 
     def predict(self, k):
         """Candidate ids and the probability (of 4096) that they come next."""
-        lane, n = self.lane[:k], len(self.lane)
-        h1 = (self.before1[:k] * np.uint32(0x9E3779B1)) >> np.uint32(22)
-        h2 = ((self.before1[:k] * np.uint32(0x85EBCA6B)) ^ (self.before2[:k] * np.uint32(0xC2B2AE35))) * np.uint32(0x9E3779B1) >> np.uint32(21)
-        self.at1, self.at2 = lane * _ORDER1 + h1, lane * _ORDER2 + h2
-        self.says = (self.id0[:k], self.id1[self.at1], self.id2[self.at2])
-        self.sure = (self.c0[:k], self.c1[self.at1], self.c2[self.at2])
-        self.guess = np.where(self.sure[2] > 0, self.says[2], np.where(self.sure[1] > 0, self.says[1], self.says[0]))
-        self.state, self.input = [], []
-        mixed = np.zeros(k, np.int64)
-        for i in range(3):
-            state = (i * n + lane) * 32 + (self.says[i] == self.guess) * 16 + self.sure[i]
-            self.state.append(state)
-            self.input.append(self.stretch[self.prob[state]])
-            mixed += self.input[i].astype(np.int64) * self.weight[i, :k]
-        self.p = self.squash[(mixed >> 16).clip(-2047, 2047) + 2047]
-        return self.guess, self.p
+        h1 = (self.before1[:k] * _U(0x9E3779B1)) >> _U(22)
+        h2 = ((self.before1[:k] * _U(0x85EBCA6B)) ^ (self.before2[:k] * _U(0xC2B2AE35))) * _U(0x9E3779B1) >> _U(21)
+        self.at = (self.base[0][:k] + h1, self.base[1][:k] + h2)
+        held = [t[i] for t, i in zip(self.slots, self.at)]
+        self.says = [(h >> _W(4)).astype(np.uint32) for h in held]
+        self.sure = [(h & _W(15)).astype(np.int64) for h in held]
+        self.guess = np.where(self.sure[1] > 0, self.says[1], self.says[0])
+        lane = self.lane[:k] << 5
+        self.state = [lane + ((says == self.guess) << 4) + sure for says, sure in zip(self.says, self.sure)] + [lane]
+        self.odds = [p[s] for p, s in zip(self.prob, self.state)]
+        self.input = [self.stretch[p] for p in self.odds]
+        mixed = sum((x >> 2) * (w[:k] >> 2) for x, w in zip(self.input, self.weight)) >> 12
+        self.p = self.squash[mixed.clip(-2047, 2047) + 2047]
+        return self.guess, self.p.astype(np.uint64)
 
     def update(self, ids, hit):
         k = len(ids)
-        target = np.where(hit, 4095, 0)
+        target = np.where(hit, np.int32(4095), np.int32(0))
         error = target - self.p
-        for i in range(3):
-            self.weight[i, :k] += (self.input[i] * error) >> _LEARN
-            self.prob[self.state[i]] += (target - self.prob[self.state[i]]) >> _RATE
-        for slot, says, sure, held, count in ((slice(0, k), self.says[0], self.sure[0], self.id0, self.c0), (self.at1, self.says[1], self.sure[1], self.id1, self.c1), (self.at2, self.says[2], self.sure[2], self.id2, self.c2)):
+        for x, w, p, state, odds in zip(self.input, self.weight, self.prob, self.state, self.odds):
+            w[:k] = (w[:k] + ((x * error) >> _LEARN)).clip(-(1 << 18), 1 << 18)
+            p[state] = odds + ((target - odds) >> _RATE)
+        for slots, at, says, sure in zip(self.slots, self.at, self.says, self.sure):
             same = says == ids
-            held[slot] = np.where(same | (sure > 1), says, ids)
-            count[slot] = np.where(same, np.minimum(sure + 1, 15), np.where(sure > 1, sure >> 1, 1))
+            keep = same | (sure > 1)
+            sure = np.where(same, np.minimum(sure + 1, 15), np.maximum(sure >> 1, 1))
+            slots[at] = (np.where(keep, says, ids).astype(np.uint64) << _W(4)) | sure.astype(np.uint64)
         self.before2[:k] = self.before1[:k]
         self.before1[:k] = ids
 
-    def nibbles(self, lanes, node):
-        """Running sums of the counts at a node: column s is the sum before symbol s."""
-        counts = self.high[lanes, node]
-        return np.concatenate((np.zeros((len(lanes), 1), np.int32), np.cumsum(counts, axis=1, dtype=np.int32)), axis=1)
+    def count(self, lanes, high):
+        self.seen[lanes, high] += 1
 
-    def count(self, lanes, node, symbol, total):
-        self.high[lanes, node, symbol] += 24
-        full = np.flatnonzero(total > 8192)
-        if len(full):
-            self.high[lanes[full], node[full]] = (self.high[lanes[full], node[full]] + 1) >> 1
+    def refresh(self):
+        """New order-0 sums at fixed steps: every symbol keeps a share, the last one takes what rounding leaves."""
+        self.step += 1
+        if self.step == self.due:
+            self.due += min(self.due, 256)
+            share = self.seen * ((1 << _HIGH) - 256) // np.maximum(self.seen.sum(axis=1, keepdims=True), 1) + 1
+            self.sums[:, 1:] = np.cumsum(share, axis=1)
+            self.sums[:, 256] = 1 << _HIGH
 
 
 class _Encoder:
     def __init__(self, n, size):
-        self.low, self.range = np.zeros(n, np.uint32), np.full(n, 0xFFFFFFFF, np.uint32)
-        self.out, self.at = np.zeros((n, size * 6 + 16), np.uint8), np.zeros(n, np.int64)
-
-    def code(self, lanes, cum, freq, total):
-        low, rng = self.low[lanes], self.range[lanes] // total
-        low += cum * rng
-        rng *= freq
-        idx = lanes
+        self.low, self.range = np.zeros(n, np.uint64), np.full(n, (1 << 64) - 1, np.uint64)
+        self.out, self.at = np.zeros((n, size * 6 + 32), np.uint8), np.zeros(n, np.int64)
+
+    def settle(self, k):
+        """Writes the leading bytes that can't change any more."""
+        low, rng, rows = self.low[:k], self.range[:k], None
         while True:
             same = (low ^ (low + rng)) < _TOP
-            tight = ~same & (rng < _BOT)
-            if tight.any():
-                rng = np.where(tight, (~low + np.uint32(1)) & (_BOT - np.uint32(1)), rng)
+            tight = rng < _BOT
             m = np.flatnonzero(same | tight)
             if not len(m):
                 break
-            w = idx[m]
-            self.out[w, self.at[w]] = low[m] >> np.uint32(24)
-            self.at[w] += 1
-            low[m] <<= np.uint32(8)
-            rng[m] <<= np.uint32(8)
-        self.low[lanes], self.range[lanes] = low, rng
+            if rows is None:
+                rows, low, rng = m, low[m], rng[m]
+            else:
+                self.low[rows], self.range[rows] = low, rng
+                rows, low, rng = rows[m], low[m], rng[m]
+            cut = tight[m] & ~same[m]
+            if cut.any():
+                rng = np.where(cut, (~low + _W(1)) & (_BOT - _W(1)), rng)
+            self.out[rows, self.at[rows]] = low >> _W(56)
+            self.at[rows] += 1
+            low, rng = low << _W(8), rng << _W(8)
+        if rows is not None:
+            self.low[rows], self.range[rows] = low, rng
 
     def end(self):
-        for _ in range(4):
-            self.out[np.arange(len(self.at)), self.at] = self.low >> np.uint32(24)
+        for _ in range(8):
+            self.out[np.arange(len(self.at)), self.at] = self.low >> _W(56)
             self.at += 1
-            self.low <<= np.uint32(8)
+            self.low <<= _W(8)
         return [self.out[i, :n].tobytes() for i, n in enumerate(self.at)]
 
 
 class _Decoder:
     def __init__(self, payloads):
         n = len(payloads)
-        self.data = np.zeros((n, max(map(len, payloads)) + 16), np.uint8)
+        self.data = np.zeros((n, max(map(len, payloads)) + 32), np.uint8)
         for i, p in enumerate(payloads):
             self.data[i, :len(p)] = np.frombuffer(p, np.uint8)
-        self.low, self.range, self.word = np.zeros(n, np.uint32), np.full(n, 0xFFFFFFFF, np.uint32), np.zeros(n, np.uint32)
-        self.at = np.full(n, 4, np.int64)
-        for i in range(4):
-            self.word = (self.word << np.uint32(8)) | self.data[:, i]
-
-    def point(self, lanes, total):
-        self._range = self.range[lanes] // total
-        return np.minimum((self.word[lanes] - self.low[lanes]) // self._range, np.uint32(total - 1) if np.isscalar(total) else (total - 1).astype(np.uint32))
-
-    def take(self, lanes, cum, freq):
-        low, rng, word = self.low[lanes], self._range, self.word[lanes]
-        low += cum * rng
-        rng = rng * freq
+        self.low, self.range, self.word = np.zeros(n, np.uint64), np.full(n, (1 << 64) - 1, np.uint64), np.zeros(n, np.uint64)
+        self.at = np.full(n, 8, np.int64)
+        for i in range(8):
+            self.word = (self.word << _W(8)) | self.data[:, i]
+
+    def settle(self, k):
+        low, rng, rows = self.low[:k], self.range[:k], None
         while True:
             same = (low ^ (low + rng)) < _TOP
-            tight = ~same & (rng < _BOT)
-            if tight.any():
-                rng = np.where(tight, (~low + np.uint32(1)) & (_BOT - np.uint32(1)), rng)
+            tight = rng < _BOT
             m = np.flatnonzero(same | tight)
             if not len(m):
                 break
-            w = lanes[m]
-            word[m] = (word[m] << np.uint32(8)) | self.data[w, np.minimum(self.at[w], self.data.shape[1] - 1)]
-            self.at[w] += 1
-            low[m] <<= np.uint32(8)
-            rng[m] <<= np.uint32(8)
-        self.low[lanes], self.range[lanes], self.word[lanes] = low, rng, word
-
-
-_U = np.uint32
+            if rows is None:
+                rows, low, rng = m, low[m], rng[m]
+            else:
+                self.low[rows], self.range[rows] = low, rng
+                rows, low, rng = rows[m], low[m], rng[m]
+            cut = tight[m] & ~same[m]
+            if cut.any():
+                rng = np.where(cut, (~low + _W(1)) & (_BOT - _W(1)), rng)
+            self.word[rows] = (self.word[rows] << _W(8)) | self.data[rows, np.minimum(self.at[rows], self.data.shape[1] - 1)]
+            self.at[rows] += 1
+            low, rng = low << _W(8), rng << _W(8)
+        if rows is not None:
+            self.low[rows], self.range[rows] = low, rng
+
+
+def _low_parts(bits):
+    """Widths in which the low bits are coded; the first shares a step with both decisions."""
+    return [min(16, bits - i) for i in range(0, bits, 16)]
 
 
 def encode(blocks):
@@ -183,23 +190,30 @@ def encode(blocks):
         now = ids[t, :k]
         guess, p = model.predict(k)
         hit = guess == now
-        p = p.astype(np.uint32)
-        coder.code(model.lane[:k], np.where(hit, _U(0), p), np.where(hit, p, _U(4096) - p), _U(4096))
+        share = coder.range[:k] >> _W(_HIT)
+        coder.low[:k] += np.where(hit, _W(0), p * share)
+        coder.range[:k] = share * np.where(hit, p, _W(1 << _HIT) - p)
         lanes = np.flatnonzero(~hit)
         if len(lanes):
-            missed = now[lanes]
-            high = (missed >> _U(model.low_bits)).astype(np.int64)
-            for node, symbol in ((np.zeros(len(lanes), np.int64), high >> 4), (1 + (high >> 4), high & 15)):
-                sums, rows = model.nibbles(lanes, node), np.arange(len(lanes))
-                cum = sums[rows, symbol]
-                coder.code(lanes, cum.astype(np.uint32), (sums[rows, symbol + 1] - cum).astype(np.uint32), sums[:, 16].astype(np.uint32))
-                model.count(lanes, node, symbol, sums[:, 16])
-            left = model.low_bits
-            while left:
-                n = min(left, 16)
+            missed, left = now[lanes], model.low_bits
+            high = (missed >> _U(left)).astype(np.int64)
+            begin = model.sums[lanes, high].astype(np.uint64)
+            low, share = coder.low[lanes], coder.range[lanes] >> _W(_HIGH)
+            low += begin * share
+            share *= model.sums[lanes, high + 1].astype(np.uint64) - begin
+            model.count(lanes, high)
+            for i, n in enumerate(_low_parts(left)):
+                if i:
+                    coder.low[lanes], coder.range[lanes] = low, share
+                    coder.settle(k)
+                    low, share = coder.low[lanes], coder.range[lanes]
                 left -= n
-                coder.code(lanes, (missed >> _U(left)) & _U((1 << n) - 1), _U(1), _U(1 << n))
+                share >>= _W(n)
+                low += ((missed >> _U(left)) & _U((1 << n) - 1)).astype(np.uint64) * share
+            coder.low[lanes], coder.range[lanes] = low, share
+        coder.settle(k)
         model.update(now, hit)
+        model.refresh()
     done = coder.end()
     payloads = [None] * len(blocks)
     for lane, i in enumerate(order):
@@ -217,31 +231,38 @@ def decode(payloads, sizes, bits):
     for t in range(width):
         k = int(np.searchsorted(-lengths, -t))
         guess, p = model.predict(k)
-        p = p.astype(np.uint32)
-        hit = coder.point(model.lane[:k], _U(4096)) < p
-        coder.take(model.lane[:k], np.where(hit, _U(0), p), np.where(hit, p, _U(4096) - p))
-        now = np.where(hit, guess, _U(0))
+        share = coder.range[:k] >> _W(_HIT)
+        split = p * share
+        hit = coder.word[:k] - coder.low[:k] < split
+        coder.low[:k] += np.where(hit, _W(0), split)
+        coder.range[:k] = share * np.where(hit, p, _W(1 << _HIT) - p)
+        now = guess.copy()
         lanes = np.flatnonzero(~hit)
         if len(lanes):
-            found, node, rows = np.zeros(len(lanes), np.uint32), np.zeros(len(lanes), np.int64), np.arange(len(lanes))
-            for _ in range(2):
-                sums = model.nibbles(lanes, node)
-                at = coder.point(lanes, sums[:, 16].astype(np.uint32))
-                symbol = (sums[:, 1:] <= at[:, None]).sum(axis=1)
-                cum = sums[rows, symbol]
-                coder.take(lanes, cum.astype(np.uint32), (sums[rows, symbol + 1] - cum).astype(np.uint32))
-                model.count(lanes, node, symbol, sums[:, 16])
-                found = (found << _U(4)) | symbol.astype(np.uint32)
-                node = 1 + symbol
-            left = model.low_bits
-            while left:
-                n = min(left, 16)
-                left -= n
-                at = coder.point(lanes, _U(1 << n))
-                coder.take(lanes, at, _U(1))
-                found = (found << _U(n)) | at
+            low, share, word = coder.low[lanes], coder.range[lanes] >> _W(_HIGH), coder.word[lanes]
+            at = np.minimum((word - low) // share, _W((1 << _HIGH) - 1)).astype(np.uint16)
+            # the high byte whose sums enclose the point: its upper half first, then among sixteen
+            half = (model.sums[lanes, 16:256:16] <= at[:, None]).sum(axis=1) << 4
+            high = half + (model.sums[lanes[:, None], half[:, None] + np.arange(1, 16)] <= at[:, None]).sum(axis=1)
+            begin = model.sums[lanes, high].astype(np.uint64)
+            low += begin * share
+            share *= model.sums[lanes, high + 1].astype(np.uint64) - begin
+            model.count(lanes, high)
+            found, left = high.astype(np.uint32), model.low_bits
+            for i, n in enumerate(_low_parts(left)):
+                if i:
+                    coder.low[lanes], coder.range[lanes] = low, share
+                    coder.settle(k)
+                    low, share, word = coder.low[lanes], coder.range[lanes], coder.word[lanes]
+                share >>= _W(n)
+                at = np.minimum((word - low) // share, _W((1 << n) - 1))
+                low += at * share
+                found = (found << _U(n)) | at.astype(np.uint32)
+            coder.low[lanes], coder.range[lanes] = low, share
             now[lanes] = found
+        coder.settle(k)
         model.update(now, hit)
+        model.refresh()
         ids[t, :k] = now
     out = [None] * len(payloads)
     for lane, i in enumerate(order):

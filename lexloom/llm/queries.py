@@ -1,10 +1,12 @@
 """Registered queries and SQL checks of the training-data operators."""
 
-from lexloom.llm import chat, langid, topk, urlfilter
+from lexloom.llm import chat, idcodec, langid, packing, topk, urlfilter
 
 QUERIES = {
     "op1_exact_topk": topk.op1_exact_topk,
+    "op5_token_binary": idcodec.op5_token_binary,
     "op6_url_filters": urlfilter.op6_url_filters,
+    "op8_packing": packing.op8_packing,
     "op9_language_id": langid.op9_language_id,
     "op10_chat_format": chat.op10_chat_format,
 }
