@@ -1,9 +1,10 @@
 """Registered queries and SQL checks of the training-data operators."""
 
-from lexloom.llm import chat, idcodec, langid, packing, topk, urlfilter
+from lexloom.llm import chat, idcodec, langid, packing, simhash, topk, urlfilter
 
 QUERIES = {
     "op1_exact_topk": topk.op1_exact_topk,
+    "op4_simhash": simhash.op4_simhash,
     "op5_token_binary": idcodec.op5_token_binary,
     "op6_url_filters": urlfilter.op6_url_filters,
     "op8_packing": packing.op8_packing,
