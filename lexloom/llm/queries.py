@@ -1,12 +1,14 @@
 """Registered queries and SQL checks of the training-data operators."""
 
-from lexloom.llm import chat, idcodec, langid, packing, simhash, topk, urlfilter
+from lexloom.llm import chat, decontaminate, idcodec, langid, linededup, packing, simhash, topk, urlfilter
 
 QUERIES = {
     "op1_exact_topk": topk.op1_exact_topk,
+    "op3_decontamination": decontaminate.op3_decontamination,
     "op4_simhash": simhash.op4_simhash,
     "op5_token_binary": idcodec.op5_token_binary,
     "op6_url_filters": urlfilter.op6_url_filters,
+    "op7_line_dedup": linededup.op7_line_dedup,
     "op8_packing": packing.op8_packing,
     "op9_language_id": langid.op9_language_id,
     "op10_chat_format": chat.op10_chat_format,
@@ -14,5 +16,6 @@ QUERIES = {
 ORACLES = {
     "op1_exact_topk": topk.ORACLE,
     "op6_url_filters": urlfilter.ORACLE,
+    "op7_line_dedup": linededup.ORACLE,
     "op10_chat_format": chat.ORACLE,
 }
