@@ -1,9 +1,10 @@
 """Registered queries and SQL checks of the training-data operators."""
 
-from lexloom.llm import chat, decontaminate, idcodec, langid, linededup, packing, simhash, topk, urlfilter
+from lexloom.llm import chat, decontaminate, idcodec, langid, linededup, packing, simhash, suffixdedup, topk, urlfilter
 
 QUERIES = {
     "op1_exact_topk": topk.op1_exact_topk,
+    "op2_suffix_dedup": suffixdedup.op2_suffix_dedup,
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_simhash": simhash.op4_simhash,
     "op5_token_binary": idcodec.op5_token_binary,
