@@ -32,7 +32,7 @@ def _letters():
 
 def _counted(codes):
     codes.sort()
-    at = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+    at = np.flatnonzero(np.concatenate((np.ones(min(1, len(codes)), bool), codes[1:] != codes[:-1])))
     return codes[at], np.diff(np.append(at, len(codes)))
 
 
