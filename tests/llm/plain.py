@@ -1,5 +1,6 @@
 """Plain versions of the operators, for small inputs."""
 
+import functools
 import hashlib
 import re
 import zlib
@@ -138,17 +139,34 @@ def distance(item, text):
     return int(best)
 
 
+@functools.lru_cache(None)
+def edits(items, text):
+    """Smallest edit distance of every item to any part of text: all tables side by side, a row of each per character."""
+    width = max(map(len, items))
+    table = np.zeros((len(items), width), np.int32)
+    for i, item in enumerate(items):
+        table[i, :len(item)] = [ord(c) for c in item]
+    steps, ends = np.arange(width + 1, dtype=np.int16), (np.arange(len(items)), np.array([len(x) for x in items]))
+    row = np.tile(steps, (len(items), 1))
+    best, unequal = row[ends], {}
+    for c in text:
+        if c not in unequal:
+            unequal[c] = (table != ord(c)).astype(np.int16)
+        new = np.zeros_like(row)
+        np.minimum(row[:, 1:] + 1, row[:, :-1] + unequal[c], out=new[:, 1:])
+        row = np.minimum.accumulate(new - steps, axis=1) + steps
+        best = np.minimum(best, row[ends])
+    return best.tolist()
+
+
 def leaks(docs, items):
     """{(doc_id, item_id): edits}"""
+    held = [(i, words(t)) for i, t in items if len(words(t).split()) >= 5]
     found = {}
-    for i, t in items:
-        item = words(t)
-        if len(item.split()) >= 5:
-            for d, text in docs:
-                if len(words(text)) >= len(item) * 0.9:
-                    n = distance(item, words(text))
-                    if n <= len(item) // 20:
-                        found[d, i] = n
+    for d, text in docs:
+        for (i, item), n in zip(held, edits(tuple(t for _, t in held), words(text))):
+            if n <= len(item) // 20:
+                found[d, i] = n
     return found
 
 
