@@ -1,7 +1,5 @@
 """Paragraphs, pages and whole texts into articles and sections."""
 
-import re
-
 from pyspark.sql import functions as F
 
 from lexloom import rules
@@ -212,67 +210,72 @@ def page_attachments(p, key="page_id"):
 
 
 # ---- SEG4 / SEG5: offsets in whole texts -----------------------------------------------------
-def _header_spans(text, patterns):
-    found = []
-    for kind, rx in patterns:
-        for m in rx.finditer(text):
-            title = m.group(1).strip()
-            if kind == "signature":
-                title = "Signatures: " + title[:rules.SPAN_SIGNATURE_CUT]
-            found.append((m.start(1), kind, title))
-    return sorted(found, key=lambda f: f[0])
+def _regex(pattern):
+    return f"(?iU){pattern}"
 
 
-def offset_sections(df, key="doc_id", text="text", ord_type="bigint"):
-    """SEG4: (type, title, start, end) spans that tile each text.
+def offset_sections(df, key="doc_id", text="text"):
+    """SEG4: (type, title, start, end) spans that tile each text; text before the first header is a body.
 
-    Header regexes run in Arrow batches; a text is read whole, one row at a time.
+    A pattern's hits and the text between them have the same order, so running sums of their lengths are the offsets.
+    Only lengths and titles leave the row that holds the text.
+    """
+    blank = F.coalesce(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")), F.lit("")) == ""
+    docs = df.select(key, F.col(text).alias("_text"), F.when(blank, 0).otherwise(F.length(text)).alias("_n"))
+    found = []
+    for kind, pattern in rules.SPAN_HEADERS:
+        rx = _regex(pattern)
+        gaps, hits, titles = F.split("_text", rx), F.regexp_extract_all("_text", F.lit(rx), F.lit(0)), F.regexp_extract_all("_text", F.lit(rx), F.lit(1))
+        found.append(_hits(kind, gaps, hits, titles))
+    hits = docs.filter("_n > 0").select(key, F.explode(F.concat(*found)).alias("_h")).select(key, "_h.*")
+    hits = scan(hits, [key, "type"], "no", sums={"_upto": "reach"})
+    title = F.regexp_replace("title", r"(?U)^\s+|\s+$", "")
+    title = F.when(F.col("type") == "signature", F.concat(F.lit("Signatures: "), F.substring(title, 1, rules.SPAN_SIGNATURE_CUT))).otherwise(title)
+    cut = rules.SPAN_TITLE_CUT
+    heads = hits.select(key, "type", F.when(F.length(title) <= cut, title).otherwise(F.concat(F.substring(title, 1, cut), F.lit("..."))).alias("title"),
+                        (F.col("_upto") - F.length("title")).alias("start_offset"))
+    first = heads.groupBy(key).agg(F.min("start_offset").alias("_first"))
+    sizes = docs.select(key, "_n").join(first, key, "left")
+    lead = sizes.filter("_first IS NULL OR _first > 0").select(key, F.lit("body").alias("type"), F.lit("Body").alias("title"), F.lit(0).cast("long").alias("start_offset"))
+    spans = scan(lead.unionByName(heads).withColumn("_one", F.lit(1)), [key], "start_offset", sums={"_no": "_one"}, leads={"_next": "start_offset"})
+    return spans.join(sizes.select(key, "_n"), key).select(
+        key, (F.col("_no") - 1).cast("int").alias("section_no"), "type", "title", F.col("start_offset").cast("int"), F.coalesce("_next", "_n").cast("int").alias("end_offset"))
+
+
+def _hits(kind, gaps, hits, titles):
+    """Array of (type, no, reach, title): reach is the length of a hit and of what lies between it and the one before."""
+    both = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: F.length(g) + F.length(h))
+    return F.transform(F.zip_with(both, titles, lambda n, t: F.struct(n.alias("reach"), t.alias("title"))),
+                       lambda x, i: F.struct(F.lit(kind).alias("type"), i.alias("no"), x["reach"].alias("reach"), x["title"].alias("title")))
+
+
+def _ends(gaps, hits):
+    """Where each hit ends, by running sums inside the row."""
+    reach = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: F.length(g) + F.length(h))
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
+    return F.aggregate(reach, none, lambda a, n: F.struct((a["at"] + n).alias("at"), F.array_append(a["all"], a["at"] + n).alias("all")), lambda a: a["all"])
+
+
+def isolate(df, key="doc_id", text="text", title="title", number="number"):
+    """SEG5: span of one document inside a whole-issue text.
+
+    Of the places that name the document's number, the one with most title words around it opens the span (the first of
+    equals); the next header far enough behind closes it. Without a number, or a place that names it, the span is the text.
     """
-    def spans(batches):
-        import pandas as pd
-        patterns = [(k, re.compile(p, re.IGNORECASE)) for k, p in rules.SPAN_HEADERS]
-        for pdf in batches:
-            out = []
-            for doc, txt in zip(pdf["k"], pdf["t"]):
-                txt = txt or ""
-                heads = _header_spans(txt, patterns) if txt.strip() else []
-                if not heads:
-                    out.append((doc, 0, "body", "Body", 0, len(txt) if txt.strip() else 0))
-                    continue
-                lead = [(0, "body", "Body")] if heads[0][0] > 0 else []
-                rows = lead + heads
-                ends = [r[0] for r in rows[1:]] + [len(txt)]
-                for i, ((start, kind, title), end) in enumerate(zip(rows, ends)):
-                    cut = rules.SPAN_TITLE_CUT
-                    out.append((doc, i, kind, title if len(title) <= cut else title[:cut] + "...", start, end))
-            yield pd.DataFrame(out, columns=[key, "section_no", "type", "title", "start_offset", "end_offset"])
-
-    schema = f"{key} {ord_type}, section_no int, type string, title string, start_offset int, end_offset int"
-    return df.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(spans, schema)
-
-
-def isolate(df, key="doc_id", text="text", title="title", number="number", key_type="bigint"):
-    """SEG5: span of one document inside a whole-issue text."""
-    def spans(batches):
-        import pandas as pd
-        header = re.compile(rules.ISSUE_NEXT_HEADER, re.IGNORECASE)
-        for pdf in batches:
-            out = []
-            for doc, txt, ttl, num in zip(pdf["k"], pdf["t"], pdf["ti"], pdf["nu"]):
-                txt, ttl, num = txt or "", ttl or "", num or ""
-                num = num.lstrip("0") if "/" in num else num
-                hits = [m.start() for m in re.finditer(rf"\b{re.escape(num)}\b", txt, re.IGNORECASE)]
-                if not hits:
-                    out.append((doc, 0, len(txt)))
-                    continue
-                words = [w.lower() for w in re.findall(r"\w{4,}", ttl) if w.lower() not in rules.ISSUE_TITLE_STOPWORDS]
-                window = lambda i: txt[max(0, i - 200):i + 500].lower()
-                best = max(hits, key=lambda i: (sum(w in window(i) for w in words), -i))
-                start = max(0, best - 100)
-                later = (m.start() for m in header.finditer(txt[start:]))
-                end = next((start + s for s in later if s > 800), len(txt))
-                out.append((doc, start, end))
-            yield pd.DataFrame(out, columns=[key, "start_offset", "end_offset"])
-
-    return df.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(title).alias("ti"), F.col(number).alias("nu")).mapInPandas(
-        spans, f"{key} {key_type}, start_offset int, end_offset int")
+    before, around, lead, least = rules.ISSUE_WINDOW
+    txt, num = tx.or_empty(text), F.trim(tx.or_empty(number))
+    num = F.when(num.contains("/"), F.regexp_replace(num, "^0+", "")).otherwise(num)
+    d = df.select(key, txt.alias("_t"), F.length(txt).alias("_n"), F.when(num != "", F.concat(F.lit("(?iU)\\b\\Q"), num, F.lit("\\E\\b"))).alias("_rx"),
+                  F.filter(F.regexp_extract_all(F.lower(tx.or_empty(title)), F.lit(r"(?U)\w{4,}"), F.lit(0)), lambda w: ~w.isin(rules.ISSUE_TITLE_STOPWORDS)).alias("_words"))
+    hits = F.regexp_extract_all("_t", F.col("_rx"), F.lit(0))
+    starts = F.zip_with(_ends(F.split(F.col("_t"), F.col("_rx")), hits), hits, lambda e, h: e - F.length(h))
+    window = lambda at: F.lower(F.substring(F.col("_t"), F.greatest(at - before, F.lit(0)) + 1, F.least(at, F.lit(before)) + around))
+    score = lambda at: F.size(F.filter("_words", lambda w: F.contains(window(at), w)))
+    best = F.array_max(F.transform(starts, lambda at: F.struct(score(at).alias("score"), (-at).alias("at"))))
+    d = d.withColumn("_start", F.greatest(-best["at"] - lead, F.lit(0)))
+    rx = _regex(rules.ISSUE_NEXT_HEADER)
+    rest = F.substring(F.col("_t"), F.col("_start") + 1, F.col("_n"))
+    heads = F.regexp_extract_all(rest, F.lit(rx), F.lit(0))
+    later = F.filter(F.zip_with(_ends(F.split(rest, rx), heads), heads, lambda e, h: e - F.length(h)), lambda at: at > least)
+    end = F.coalesce(F.col("_start") + F.get(later, F.lit(0)), F.col("_n"))
+    return d.select(key, F.coalesce("_start", F.lit(0)).cast("int").alias("start_offset"), F.when(F.col("_start").isNull(), F.col("_n")).otherwise(end).cast("int").alias("end_offset"))

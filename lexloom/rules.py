@@ -178,6 +178,8 @@ SPAN_TITLE_CUT, SPAN_SIGNATURE_CUT = 80, 40
 
 # ---- fixed values: whole-issue isolation ----------------------------------------------
 ISSUE_TITLE_STOPWORDS = ["ley", "decreto", "orden", "parcial", "modificación"]
+# characters before and after a number that are searched for title words; span start before it; least length of a span
+ISSUE_WINDOW = (200, 500, 100, 800)
 ISSUE_NEXT_HEADER = r"\n\s*#*\s*(?:LEY|DECRETO|ORDEN|RESOLUCIÓN|EDICTO|ANUNCIO|CVE|SUMARIO)\b"
 
 # ---- fixed values: candidate scoring --------------------------------------------------
