@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from lexloom.functions import text as tx
-from lexloom.operators.ordered import first_row, global_scan, sorted_stream, split_row_number, top_k
+from lexloom.operators.ordered import first_row, global_scan, split_row_number, top_k
 from lexloom.session import cut
 
 
@@ -26,63 +26,43 @@ def similar(a, b):
     return contained | overlap | (F.size(F.filter(both, lambda w: F.length(w) >= LONG_WORD)) >= SHARED_LONG)
 
 
-def _similar(a, b):
-    if len(a) >= MIN_CONTAINED and len(b) >= MIN_CONTAINED and (a in b or b in a):
-        return True
-    x, y = set(a.split()), set(b.split())
-    both = x & y
-    return bool(x and y) and (len(both) / max(len(x), len(y)) >= SIMILAR_RATIO
-                              or sum(len(w) >= LONG_WORD for w in both) >= SHARED_LONG)
-
-
-def cluster_publications(pubs, keys, text, ord_col="ingest_ord", block=256):
+def cluster_publications(pubs, keys, text, ord_col="ingest_ord", block=64):
     """DED2: greedy clusters per group; a row joins the first cluster whose representative
     (its first member) is similar. ``cluster`` is the representative's position.
 
-    Equal descriptions always share a fate, so distinct ones are clustered. Rounds keep a hot
-    group out of one task: a round takes the first ``block`` open descriptions of each group,
-    clusters them as a sorted stream (at most ``block`` rows per group), and every other open
-    description is compared with those at most ``block`` representatives. That is the
-    sequential greedy, because whatever comes before a block is already settled. Blank
-    descriptions stay alone.
+    NULL and blank text keys are one group, as a missing phase is a phase of its own. Equal
+    descriptions always share a fate, so distinct ones are clustered. Rounds keep a hot group
+    out of one task: a round takes the first ``block`` open descriptions of each group,
+    settles them among each other, and compares every other open description with the at most
+    ``block`` representatives found. That is the sequential greedy, because whatever comes
+    before a block is already settled. Blank descriptions stay alone.
     """
-    df = pubs.withColumn("_t", tx.title_key(text))
-    texts = df.filter("_t <> ''").groupBy(*keys, "_t").agg(F.min(ord_col).alias("_o"))
-
-    def greedy(batches):
-        import pandas as pd
-        group, reps = object(), []
-        for pdf in batches:
-            out = []
-            for row in zip(*[pdf[k] for k in keys], pdf["_t"], pdf["_o"]):
-                k, t, o = row[:-2], row[-2], row[-1]
-                if k != group:
-                    group, reps = k, []
-                rep = next((ro for rt, ro in reps if _similar(t, rt)), None)
-                if rep is None:
-                    reps.append((t, o))
-                    rep = o
-                out.append((*k, t, rep))
-            yield pd.DataFrame(out, columns=[*keys, "_t", "_rep"])
-
-    schema = ", ".join(f"`{k}` {texts.schema[k].dataType.simpleString()}" for k in keys) + ", _t string, _rep bigint"
-    pending, done = cut(texts), None
+    group = F.struct(*[(F.when(F.trim(k) != "", F.col(k)) if pubs.schema[k].dataType.typeName() == "string" else F.col(k)).alias(k) for k in keys])
+    df = pubs.withColumns({"_t": tx.title_key(text), "_g": group})
+    pending, done = cut(df.filter("_t <> ''").groupBy("_g", "_t").agg(F.min(ord_col).alias("_o"))), None
     while True:
-        head = top_k(pending, keys, ["_o"], block, "_k").drop("_k")
-        got = cut(sorted_stream(head, keys, ["_o"], greedy, schema))
+        head = top_k(pending, ["_g"], ["_o"], block, "_k")
+        near = head.alias("a").join(head.alias("b"), (F.col("a._g") == F.col("b._g")) & (F.col("b._k") < F.col("a._k")) & similar(F.col("a._t"), F.col("b._t")))
+        near = near.groupBy(F.col("a._g").alias("_g"), F.col("a._k").alias("_k")).agg(F.collect_set("b._k").alias("_near"))
+        head = head.join(near, ["_g", "_k"], "left").withColumn("_near", F.coalesce("_near", F.array().cast("array<int>")))
+        # a description opens a cluster unless an earlier opener is similar
+        opens = F.aggregate(F.sort_array(F.collect_list(F.struct("_k", "_near"))), F.array().cast("array<int>"),
+                            lambda a, x: F.when(F.arrays_overlap(a, x["_near"]), a).otherwise(F.array_append(a, x["_k"])))
+        head = head.join(head.groupBy("_g").agg(opens.alias("_opens")), "_g")
+        rep = F.array_min(F.array_intersect("_opens", F.array_append("_near", F.col("_k"))))
+        head = cut(head.select("_g", "_t", "_o", "_k", rep.alias("_r")))
+        firsts = head.filter("_k = _r").select("_g", F.col("_k").alias("_r"), F.col("_o").alias("_rep"), F.col("_t").alias("_rt"))
+        got = head.join(firsts, ["_g", "_r"]).select("_g", "_t", "_rep")
         done = got if done is None else done.unionByName(got)
-        rest = pending.join(got.select(*keys, "_t"), keys + ["_t"], "left_anti")
+        rest = pending.join(head.select("_g", "_t"), ["_g", "_t"], "left_anti")
         if rest.isEmpty():
             break
-        reps = (got.join(pending, keys + ["_t"]).filter(F.col("_o") == F.col("_rep"))
-                .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_rep", F.col("_t").alias("r")))).alias("_reps")))
-        rest = rest.join(reps, keys, "left")
-        hit = F.get(F.filter("_reps", lambda r: similar(F.col("_t"), r["r"])), F.lit(0))
-        rest = cut(rest.withColumn("_rep", hit["_rep"]).select(*keys, "_t", "_o", "_rep"))
-        done = done.unionByName(rest.filter("_rep IS NOT NULL").select(*keys, "_t", "_rep"))
+        reps = firsts.groupBy("_g").agg(F.sort_array(F.collect_list(F.struct("_rep", "_rt"))).alias("_reps"))
+        hit = F.get(F.filter("_reps", lambda r: similar(F.col("_t"), r["_rt"])), F.lit(0))
+        rest = cut(rest.join(reps, "_g", "left").withColumn("_rep", hit["_rep"]).select("_g", "_t", "_o", "_rep"))
+        done = done.unionByName(rest.filter("_rep IS NOT NULL").select("_g", "_t", "_rep"))
         pending = rest.filter("_rep IS NULL").drop("_rep")
-    joined = df.alias("l").join(done.alias("r"), [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys + ["_t"]], "left")
-    return joined.select(*[F.col(f"l.{c}") for c in pubs.columns], F.coalesce("r._rep", F.col(f"l.{ord_col}")).alias("cluster"))
+    return df.join(done, ["_g", "_t"], "left").select(*pubs.columns, F.coalesce("_rep", ord_col).alias("cluster"))
 
 
 def source_priority(known="known"):
