@@ -1,11 +1,9 @@
 """Order-dependent primitives that hold up when one key owns most of the rows.
 
-A window over a key runs in one task, which is fine until a key is hot. Keys are counted
-first (a pruned, map-side combined pass). Keys with at most ``HOT`` rows keep the plain
-window. A hot key is cut into chunks of its ordering column: each chunk is scanned on its
-own, the chunk totals (thousands of times fewer) are scanned per key and joined back.
-There are at most rows / HOT hot keys, which bounds their broadcast. Picks of a first, last
-or best row are aggregates, which combine before the shuffle.
+A window over a key runs in one task. So keys are always cut into chunks of their ordering
+column: each chunk is scanned on its own, the chunk totals (up to thousands of times fewer
+rows) are scanned per key and joined back. The plan doesn't depend on the data. Picks of a
+first, last or best row are aggregates, which combine before the shuffle.
 """
 
 from functools import reduce
@@ -15,43 +13,22 @@ from pyspark.sql import Window, functions as F
 from lexloom.session import cut
 
 CHUNK = 4096
-HOT = 1_000_000
 
 
 def _on(keys, left="l", right="r"):
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
 
 
-def hot_keys(df, keys, hot=None):
-    """Keys with more than ``hot`` rows, or None when there are none."""
-    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > (hot or HOT)).select(*keys)
-    return None if found.isEmpty() else found
-
-
-def _mark(df, keys, found):
-    r = found.select(*keys, F.lit(True).alias("_hot"))
-    return (df.alias("l").join(F.broadcast(r).alias("r"), _on(keys), "left")
-            .select("l.*", F.coalesce("_hot", F.lit(False)).alias("_hot")))
-
-
-def scan(df, keys, ord_col, sums=None, carries=None, leads=None, chunk=CHUNK, hot=None, count_on=None):
+def scan(df, keys, ord_col, sums=None, carries=None, leads=None, chunk=CHUNK):
     """Running sums, last-seen values and next values over ``keys`` ordered by ``ord_col``.
 
     ``ord_col`` is an integer, unique within the keys. ``sums`` adds up to and including
     the row; ``carries`` gives the last non-NULL value at or before the row; ``leads``
     gives the value of the next row. Each maps an output name to a column name.
-    ``count_on`` may name a cheaper table with at least the same rows per key to count.
     """
     sums, carries, leads = sums or {}, carries or {}, leads or {}
-    found = hot_keys(df if count_on is None else count_on, keys, hot)
-    if found is None:
-        w = Window.partitionBy(*keys).orderBy(ord_col)
-        upto = w.rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[F.sum(c).over(upto).alias(o) for o, c in sums.items()],
-                         *[F.last(c, ignorenulls=True).over(upto).alias(o) for o, c in carries.items()],
-                         *[F.lead(c).over(w).alias(o) for o, c in leads.items()])
     cols = df.columns
-    df = _mark(df, keys, found).withColumn("_chunk", F.when(F.col("_hot"), F.floor(F.col(ord_col) / chunk)).otherwise(F.lit(0)))
+    df = df.withColumn("_chunk", F.floor(F.col(ord_col) / chunk))
     ck = keys + ["_chunk"]
     here = Window.partitionBy(*ck).orderBy(ord_col)
     upto = here.rowsBetween(Window.unboundedPreceding, 0)
@@ -60,7 +37,7 @@ def scan(df, keys, ord_col, sums=None, carries=None, leads=None, chunk=CHUNK, ho
         *[F.sum(c).over(upto).alias(f"_s_{o}") for o, c in sums.items()],
         *[F.last(c, ignorenulls=True).over(upto).alias(f"_c_{o}") for o, c in carries.items()],
         *[F.lead(F.struct(c)).over(here).alias(f"_l_{o}") for o, c in leads.items()])
-    totals = df.filter("_hot").groupBy(*ck).agg(
+    totals = df.groupBy(*ck).agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.sum(c).alias(f"_ts_{o}") for o, c in sums.items()],
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(ord_col))).alias(f"_tc_{o}") for o, c in carries.items()],
@@ -80,19 +57,16 @@ def scan(df, keys, ord_col, sums=None, carries=None, leads=None, chunk=CHUNK, ho
         *[F.coalesce(F.col(f"_l_{o}"), F.col(f"_ol_{o}")).getField(c).alias(o) for o, c in leads.items()])
 
 
-def split_row_number(df, keys, coarse, order, out="rn", hot=None):
-    """``row_number`` over ``keys`` ordered by ``order``, hot keys numbered in pieces.
+def split_row_number(df, keys, coarse, order, out="rn"):
+    """``row_number`` over ``keys`` ordered by ``order``, keys numbered in pieces.
 
     ``coarse`` lists expressions that never decrease along ``order``; rows that share them
     form the pieces. ``order`` must be total within the keys.
     """
-    found = hot_keys(df, keys, hot)
-    if found is None:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
     cols, names = df.columns, [f"_g{i}" for i in range(len(coarse))]
-    df = _mark(df, keys, found).withColumns({n: F.when(F.col("_hot"), c) for n, c in zip(names, coarse)})
+    df = df.withColumns(dict(zip(names, coarse)))
     ck = keys + names
-    sizes = df.filter("_hot").groupBy(*ck).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = df.groupBy(*ck).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*ck, F.sum("_n").over(before).alias("_before"))
     local = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*ck).orderBy(*order)))

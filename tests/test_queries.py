@@ -56,9 +56,9 @@ def test_every_query_is_known_to_the_driver_contract():
     assert set(ORACLES) <= set(QUERIES) and len(QUERIES) >= 180
 
 
-@pytest.mark.parametrize("name", ["seg1_paragraphs_to_sections", "seg3_xml_blocks", "cit2_simple_citations", "win1_number_sections", "grf8_section_map", "jon14_citation_listing"])
-def test_hot_key_path_gives_the_same_rows(spark, con, name, monkeypatch):
+@pytest.mark.parametrize("name", ["seg1_paragraphs_to_sections", "seg3_xml_blocks", "cit2_simple_citations"])
+def test_any_chunk_gives_the_same_rows(spark, con, name, monkeypatch):
     from lexloom.operators import ordered
-    monkeypatch.setattr(ordered, "HOT", 6)  # nearly every key counts as hot
+    monkeypatch.setattr(ordered.scan, "__defaults__", (None, None, None, 20))
     ok, _n, msg = compare(spark, con, name, SF)
     assert ok, msg
