@@ -338,21 +338,30 @@ def enrich_subset(units, pubs, section_edges):
 
 
 # ---- JON13 - JON15: graph lookups -------------------------------------------------------------------
-def parent_document(nodes, edges, catalogue=None, hops=3):
-    """JON13: top-level document of every node, at most ``hops`` structural steps up."""
-    is_doc = nodes.filter(F.col("label").isin(rules.DOCUMENT_LABELS)).select(F.col("id").alias("_doc"))
-    up = edges.filter(F.col("type").isin(rules.PARENT_TYPES)).groupBy(F.col("dst").alias("_child")).agg(F.min("src").alias("_up"))
-    df = nodes.select("id", "label", F.col("id").alias("_at"))
-    df = df.join(is_doc, F.col("_at") == F.col("_doc"), "left").withColumnRenamed("_doc", "parent_id")
-    for _ in range(hops):
-        step = df.join(up, F.col("parent_id").isNull() & (F.col("_at") == F.col("_child")), "left")
-        step = step.withColumn("_at", F.coalesce("_up", "_at")).drop("_child", "_up")
-        df = step.join(is_doc, F.col("parent_id").isNull() & (F.col("_at") == F.col("_doc")), "left").withColumn("parent_id", F.coalesce("parent_id", "_doc")).drop("_doc")
+def parent_document(nodes, edges, catalogue=None):
+    """JON13: top-level document of every node, however many structural steps up.
+
+    Steps are doubled each round until nobody's goal has a parent left. A path has at most as
+    many steps as there are nodes with a parent, which also ends the rounds on a cycle; its
+    nodes fall back like nodes without a parent.
+    """
+    is_doc = nodes.filter(F.col("label").isin(rules.DOCUMENT_LABELS)).select(F.col("id").alias("_doc")).distinct()
+    up = edges.filter(F.col("type").isin(rules.PARENT_TYPES)).groupBy(F.col("dst").alias("_child")).agg(F.min("src").alias("_at"))
+    up = cut(up.join(is_doc, F.col("_child") == F.col("_doc"), "left_anti"))
+    rest, steps = up.count(), 1
+    while steps < rest:
+        ahead = up.select(F.col("_child").alias("_via"), F.col("_at").alias("_beyond"))
+        moved = cut(up.join(ahead, F.col("_at") == F.col("_via"), "left"))
+        if moved.filter("_beyond IS NOT NULL").isEmpty():
+            break
+        up, steps = moved.select("_child", F.coalesce("_beyond", "_at").alias("_at")), steps * 2
+    goal = up.join(is_doc, F.col("_at") == F.col("_doc"), "left_semi").select("_child", "_at").unionByName(is_doc.select(F.col("_doc").alias("_child"), F.col("_doc").alias("_at")))
+    df = nodes.select("id").join(goal, F.col("id") == F.col("_child"), "left")
     fallback = F.col("id")
     if catalogue is not None:
         cat = catalogue.groupBy(F.col("id").alias("_cid")).agg(F.min("document_id").alias("_cdoc"))
         df, fallback = df.join(cat, F.col("id") == F.col("_cid"), "left"), F.coalesce("_cdoc", "id")
-    return df.select("id", F.coalesce("parent_id", fallback).alias("parent_id"))
+    return df.select("id", F.coalesce("_at", fallback).alias("parent_id"))
 
 
 def list_citations(nodes, edges, ord_cols=("dst", "type")):
@@ -374,42 +383,44 @@ def _title_words(c):
     return F.array_except(F.array_distinct(F.filter(F.split(tx.entity_key(c), " "), lambda w: w.rlike(r"^[a-zà-ü]{4,}$"))), F.array(*[F.lit(w) for w in rules.CANDIDATE_STOPWORDS]))
 
 
-def candidate_targets(texts, docs, k=15, rare=200, text="text", row_id="text_id"):
-    """JON16: best documents for a text by shared numbers, gazette numbers and title words.
+def candidate_targets(texts, docs, k=15, text="text", row_id="text_id"):
+    """JON16: best documents for a text by numbers, gazette numbers and title words.
 
-    A candidate shares a document number, a gazette number or a rare title word (one that at
-    most ``rare`` distinct document profiles have) with the text. Documents that agree on
-    everything scored collapse to a profile and return as its first ``k`` members; texts that
-    agree on every token share one scoring.
+    A candidate's document number, gazette number or whole title is in the text; shared title
+    words and years only score. So a document is found or not whatever else the corpus holds.
+    A number of another form than n/yyyy counts as a run of letters, digits and marks, a
+    gazette number as a run of digits. Documents that agree on everything scored collapse to a
+    profile and return as its first ``k`` members, and profiles that agree on a key and on
+    what scores stand behind the first ``k`` of them; texts that agree on every token share
+    one scoring.
     """
     d = docs.select("document_id", "ingest_ord", F.lower(tx.or_empty("document_number")).alias("num"), F.lower(tx.or_empty("dogc_number")).alias("gaz"),
                     tx.entity_key("title").alias("ttl"), F.substring(tx.or_empty("date_dogc"), -4, 4).alias("yr"))
     prof = d.select("num", "gaz", "ttl", "yr", "document_id", "ingest_ord").withColumn("pid", F.xxhash64("num", "gaz", "ttl", "yr"))
     members = top_k(prof.select("pid", "document_id", "ingest_ord"), ["pid"], ["ingest_ord"], k, "member")
     p = prof.groupBy("pid", "num", "gaz", "ttl", "yr").agg(F.min("ingest_ord").alias("first_ord")).withColumn("tw", _title_words(F.col("ttl")))
-    words = p.select("pid", F.explode("tw").alias("tok"))
-    keep = words.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") <= rare).select("tok")
-    words = words.join(keep, "tok", "left_semi")
-    index = (words.select("pid", F.concat(F.lit("w:"), "tok").alias("tok"), F.lit(0).alias("pts"))
-             .unionByName(p.filter("num <> ''").select("pid", F.concat(F.lit("n:"), "num").alias("tok"), F.lit(100).alias("pts")))
-             .unionByName(p.filter("gaz <> ''").select("pid", F.concat(F.lit("g:"), "gaz").alias("tok"), F.lit(60).alias("pts")))
-             .unionByName(p.filter("ttl <> ''").select("pid", F.concat(F.lit("t:"), "ttl").alias("tok"), F.lit(0).alias("pts"))))
+    plain = F.col("num").rlike(rules.PLAIN_NUMBER)
+    tokens = [(F.when((F.col("num") != "") & plain, F.concat(F.lit("n:"), "num")), 100), (F.when((F.col("num") != "") & ~plain, F.concat(F.lit("N:"), "num")), 80),
+              (F.when(F.col("gaz") != "", F.concat(F.lit("g:"), "gaz")), 60), (F.when(F.col("ttl") != "", F.concat(F.lit("t:"), "ttl")), 0)]
+    index = p.select("pid", "num", "gaz", "ttl", "yr", "first_ord", "tw", F.inline(F.filter(F.array(*[F.struct(c.alias("tok"), F.lit(n).alias("pts")) for c, n in tokens]), lambda x: x["tok"].isNotNull())))
+    # behind a token, profiles alike in all that can score are interchangeable but for their order
+    index = top_k(index, ["tok", "num", "gaz", "yr", "tw", "ttl"], ["first_ord"], k, "_m").drop("_m")
     lower = F.lower(text)
-    nums = F.regexp_extract_all(lower, F.lit(r"(?U)\b(\d{1,4}/\d{4})\b"), F.lit(1))
-    gaz = F.regexp_extract_all(lower, F.lit(r"(?U)(\d{4,})"), F.lit(1))
-    named = F.regexp_extract_all(lower, F.lit(r"(?U)\bdogc\s*(?:nº|n\.º|number)?\s*(\d+)\b"), F.lit(1))
+    every = lambda pattern: F.regexp_extract_all(lower, F.lit(pattern), F.lit(1))
     tag = lambda a, pre: F.transform(a, lambda x: F.concat(F.lit(pre), x))
+    marked = F.flatten(F.transform(every(rules.MARKED_NUMBER), lambda x: F.array(x, F.regexp_replace(x, r"(?U)^\W+|\W+$", ""))))
     # one token per title the text holds whole; at most as many as the text has windows
     held = title_occurrences(texts.select(row_id, tx.entity_key(text).alias("_norm")), p.select(F.col("ttl").alias("_title")).filter("_title <> ''").distinct(), [], row_id, "_norm")
     held = held.groupBy(row_id).agg(F.collect_set(F.concat(F.lit("t:"), "_title")).alias("_held"))
     texts = texts.join(held, row_id, "left").withColumn("_held", F.coalesce("_held", F.array().cast("array<string>")))
-    toks = F.array_sort(F.array_distinct(F.concat(F.col("_held"), tag(nums, "n:"), tag(gaz, "g:"), tag(named, "G:"), tag(F.regexp_extract_all(lower, F.lit(r"(?U)\b(19\d\d|20\d\d)\b"), F.lit(1)), "y:"),
-                                                  tag(F.filter(F.split(tx.entity_key(text), " "), lambda w: w.rlike(r"^[a-zà-ü]{4,}$")), "w:"))))
+    toks = F.array_sort(F.array_distinct(F.concat(
+        F.col("_held"), tag(every(rules.TEXT_NUMBER), "n:"), tag(marked, "N:"), tag(every(rules.DIGITS), "g:"), tag(every(rules.NAMED_GAZETTE), "G:"), tag(every(rules.TEXT_YEAR), "y:"),
+        tag(F.filter(F.split(tx.entity_key(text), " "), lambda w: w.rlike(r"^[a-zà-ü]{4,}$")), "w:"))))
     tt = texts.select(row_id, toks.alias("toks")).withColumn("sig", F.xxhash64("toks"))
     sigs = tt.groupBy("sig").agg(F.first("toks").alias("toks"))
-    post = sigs.select("sig", F.explode("toks").alias("tok"))
-    pairs = post.join(index, "tok").select("sig", "pid", "tok", "pts").distinct()
-    base = pairs.groupBy("sig", "pid").agg(F.max(F.when(F.col("tok").startswith("n:"), F.col("pts"))).alias("n_pts"), F.max(F.when(F.col("tok").startswith("g:"), F.col("pts"))).alias("g_pts"))
+    post = sigs.select("sig", F.explode("toks").alias("tok")).filter(~F.col("tok").startswith("w:") & ~F.col("tok").startswith("y:") & ~F.col("tok").startswith("G:"))
+    base = post.join(index, "tok").groupBy("sig", "pid").agg(
+        F.max(F.when(F.lower(F.substring("tok", 1, 2)) == "n:", F.col("pts"))).alias("n_pts"), F.max(F.when(F.col("tok").startswith("g:"), F.col("pts"))).alias("g_pts"))
     full = base.join(sigs, "sig").join(p, "pid")
     has = lambda pre, c: F.array_contains("toks", F.concat(F.lit(pre), c))
     shared = F.size(F.array_intersect(F.transform("tw", lambda w: F.concat(F.lit("w:"), w)), F.col("toks")))

@@ -183,6 +183,12 @@ ISSUE_WINDOW = (200, 500, 100, 800)
 ISSUE_NEXT_HEADER = r"\n\s*#*\s*(?:LEY|DECRETO|ORDEN|RESOLUCIÓN|EDICTO|ANUNCIO|CVE|SUMARIO)\b"
 
 # ---- fixed values: candidate scoring --------------------------------------------------
+PLAIN_NUMBER = r"^\d{1,4}/\d{4}$"
+TEXT_NUMBER = r"(?U)\b(\d{1,4}/\d{4})\b"
+MARKED_NUMBER = r"(?U)([\w/.\-]*\d[\w/.\-]*)"
+DIGITS = r"(\d+)"
+NAMED_GAZETTE = r"(?U)\bdogc\s*(?:nº|n\.º|number)?\s*(\d+)\b"
+TEXT_YEAR = r"(?U)\b(19\d\d|20\d\d)\b"
 CANDIDATE_STOPWORDS = ["de", "del", "la", "el", "los", "las", "en", "por", "para", "con", "sin",
                        "sobre", "a", "i", "les", "dels", "un", "una", "ley", "llei", "decreto",
                        "decret", "orden", "ordre", "resolucion", "resolucio", "real", "reial"]
