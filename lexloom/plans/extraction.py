@@ -45,9 +45,9 @@ def _(t):
     return segment.section_rows(paragraphs(t)).select("document_id", "section_no", "type", "title", "heading", "chapter", "n_paras")
 
 
-@query("seg1_section_text", f"""WITH {SQL_PARAS} SELECT document_id, section_no, string_agg(text, chr(10) ORDER BY ord) AS text FROM np WHERE kind IS NULL OR kind = 'signature' GROUP BY ALL""")
+@query("seg1_section_text", f"""WITH {SQL_PARAS} SELECT document_id, section_no, ord // 4096 AS piece, string_agg(text, chr(10) ORDER BY ord) AS text FROM np WHERE kind IS NULL OR kind = 'signature' GROUP BY ALL""")
 def _(t):
-    return segment.section_text(paragraphs(t)).select("document_id", "section_no", "text")
+    return segment.section_text(paragraphs(t)).select("document_id", "section_no", "piece", "text")
 
 
 @query("seg2_html_to_sections")
@@ -150,7 +150,7 @@ def national(t):
     m = (F.col("l_suppkey") % 97 + 1).cast("string")
     blocks = li.select(F.col("l_orderkey").alias("law_id"), F.col("rn").alias("block_no"), F.concat(F.lit("Artículo "), F.col("rn").cast("string")).alias("name"),
                        F.concat(F.lit("Según el artículo "), F.col("rn").cast("string"), F.lit(" de la Ley "), n, F.lit("/"), y, F.lit(" y el Real  Decreto "), m, F.lit("/"), y, F.lit(".")).alias("text"))
-    refs = li.filter("rn % 2 = 0").select(F.col("l_orderkey").alias("law_id"), F.col("rn").alias("ref_no"), F.concat(F.lit("BOE-A-"), F.col("l_partkey").cast("string")).alias("target_id"),
+    refs = li.select(F.col("l_orderkey").alias("law_id"), F.col("rn").alias("ref_no"), F.concat(F.lit("BOE-A-"), F.col("l_partkey").cast("string")).alias("target_id"),
                                           F.lit("SE DEROGA").alias("relation"), F.concat(F.when(F.col("rn") % 4 == 0, "el art. 7 de la Ley ").otherwise("Ley "), n, F.lit("/"), y).alias("text"))
     kind = F.get(F.array(*[F.lit(x) for x in ("Ley", "Real Decreto", "Orden", "Resolución", "Anuncio")]), (F.col("document_id") % 5).cast("int"))
     docs = t.legal_docs.select(F.concat(F.lit("BOE-A-"), F.col("document_id").cast("string")).alias("identificador"), "ingest_ord",
@@ -162,7 +162,7 @@ SQL_NATIONAL = """li AS (SELECT l_orderkey AS law_id, rn, concat(CAST(l_partkey
   concat(CAST(l_suppkey % 97 + 1 AS VARCHAR), '/', CAST(year(l_shipdate) AS VARCHAR)) AS rd, concat('BOE-A-', CAST(l_partkey AS VARCHAR)) AS target_id FROM lineitem_rn),
 b AS (SELECT law_id, rn AS block_no, ley, rd, concat('Según el artículo ', CAST(rn AS VARCHAR), ' de la Ley ', ley, ' y el Real  Decreto ', rd, '.') AS text FROM li),
 tagged AS (SELECT DISTINCT b.law_id, b.block_no, li.rn AS ref_no, li.target_id, CASE WHEN li.rn % 4 = 0 THEN '7'
-   ELSE CAST(b.block_no AS VARCHAR) END AS art FROM b JOIN li ON li.law_id = b.law_id AND li.rn % 2 = 0 AND contains(b.text, li.ley)),
+   ELSE CAST(b.block_no AS VARCHAR) END AS art FROM b JOIN li ON li.law_id = b.law_id AND contains(b.text, li.ley)),
 sig AS (SELECT lower(concat(CASE document_id % 5 WHEN 0 THEN 'ley ' WHEN 1 THEN 'real decreto ' WHEN 2 THEN 'orden ' ELSE 'resolución ' END, document_number)) AS signature, concat('BOE-A-', CAST(max(document_id) AS VARCHAR)) AS target_id FROM legal_docs WHERE document_id % 5 < 4 GROUP BY ALL)"""
 
 
