@@ -1,61 +1,68 @@
 """Nested records to tables."""
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Window, functions as F
 
 from lexloom import rules
 from lexloom.functions import text as tx
+from lexloom.session import cut
 
 
 # ---- FLT1: issue summary ------------------------------------------------------------------
 _DOC = "struct<title:string,linkDownloadDocumentPDF:string,linkDownloadDocumentHTML:string>"
-_SUB = f"struct<title:string,document:array<{_DOC}>>"
-_HEAD = f"struct<title:string,document:array<{_DOC}>,subheader:array<{_SUB}>>"
-_SECTION = f"struct<title:string,document:array<{_DOC}>,header:array<{_HEAD}>,subheader:array<{_SUB}>>"
-ISSUE_SCHEMA = (f"struct<numDOGC:string,dateDOGC:string,title:string,section:array<{_SECTION}>,"
-                f"header:array<{_HEAD}>,document:array<{_DOC}>>")
-
-
-def _leaves(node, dtype, org, sec, top):
-    """Array of (document, organism, section) of a node and everything below it."""
-    title = F.coalesce(node["title"], F.lit(""))
-    names = dtype.fieldNames()
-    has_sections = (F.size(node["section"]) > 0) if "section" in names else F.lit(False)
-    here = F.when(F.coalesce(has_sections, F.lit(False)) | F.lit(top), title).otherwise(sec)
-    org_here = F.when(title != "", title).otherwise(org)
-    out = [F.transform(F.coalesce(node["document"], F.array().cast(f"array<{_DOC}>")),
-                       lambda d: F.struct(d.alias("doc"), org_here.alias("org"), here.alias("sec")))]
-    for child in ("section", "header", "subheader"):
-        if child in names:
-            below = title if child == "section" else here
-            inner = dtype[child].dataType.elementType
-            kids = F.transform(node[child], _below(inner, org_here, below))
-            out.append(F.coalesce(F.flatten(kids), F.array().cast(
-                f"array<struct<doc:{_DOC},org:string,sec:string>>")))
-    return F.concat(*out)
-
-
-def _below(dtype, org, sec):
-    return lambda child: _leaves(child, dtype, org, sec, False)
+_CHILDREN = ("section", "header", "subheader")
+_NODE = f"struct<title:string,numDOGC:string,document:string,{','.join(f'{c}:string' for c in _CHILDREN)}>"
+
+
+def _children(json_text):
+    """JSON texts of a list of objects, of a single object, or none."""
+    t = F.ltrim(json_text)
+    return F.coalesce(F.when(t.startswith("["), F.from_json(json_text, "array<string>")).when(t.startswith("{"), F.array(json_text)), F.array().cast("array<string>"))
 
 
 def flatten_summary(df, json_col):
-    """FLT1: every document of an issue with the organism and section it inherits."""
-    dtype = T._parse_datatype_string(ISSUE_SCHEMA)
-    issue = F.from_json(json_col, ISSUE_SCHEMA)
-    df = df.select(issue.alias("i"))
-    df = df.select("i.numDOGC", "i.dateDOGC", F.posexplode(_leaves(F.col("i"), dtype, F.lit(""), F.lit(""), True)).alias("pos", "x"))
-    pdf, html = F.col("x.doc.linkDownloadDocumentPDF"), tx.nonblank("x.doc.linkDownloadDocumentHTML")
+    """FLT1: every document of an issue with the organism and section it inherits.
+
+    The tree is walked one level a round, however deep it is; children may be lists or single
+    objects. An issue may be wrapped in a list of summaries, of which the first counts.
+    """
+    wrapped = F.get_json_object(json_col, "$.sumaris")
+    root = F.when(wrapped.isNotNull(), F.get_json_object(json_col, "$.sumaris[0]")).otherwise(json_col)
+    base = cut(df.select(F.monotonically_increasing_id().alias("_id"), root.alias("_json")))
+    none = F.array().cast("array<int>")
+    level, docs = base.select("_id", none.alias("path"), F.lit("").alias("org"), F.lit("").alias("sec"), F.from_json("_json", _NODE).alias("n")), None
+    while True:
+        title = F.coalesce("n.title", F.lit(""))
+        takes = (F.size(_children(F.col("n.section"))) > 0) | (F.col("n.numDOGC").isNotNull() & (F.col("sec") == ""))
+        here = level.filter("n IS NOT NULL").select("_id", "path", title.alias("t"), F.when(title != "", title).otherwise(F.col("org")).alias("org"), F.when(takes, title).otherwise(F.col("sec")).alias("sec"), "n")
+        found = here.select("_id", "path", "org", "sec", F.posexplode(as_list(F.col("n.document"), _DOC)).alias("_i", "doc"))
+        # documents of a node come before its children, and children in the order of their kinds
+        found = found.select("_id", "org", "sec", "doc", F.concat("path", F.array(F.lit(0), F.col("_i"))).alias("path"))
+        docs = found if docs is None else docs.unionByName(found)
+        kids = [_numbered(_children(F.col(f"n.{c}")), k) for k, c in enumerate(_CHILDREN, 1)]
+        level = cut(here.select("_id", "path", "t", "org", "sec", F.explode(F.concat(*kids)).alias("c")).select(
+            "_id", F.concat("path", F.array(F.col("c.kind"), F.col("c.i"))).alias("path"), "org",
+            F.when(F.col("c.kind") == 1, F.col("t")).otherwise(F.col("sec")).alias("sec"), F.from_json("c.x", _NODE).alias("n")))
+        if level.isEmpty():
+            break
+    issue = base.select("_id", F.from_json("_json", "struct<numDOGC:string,dateDOGC:string>").alias("i")).select("_id", "i.*")
+    pos = F.row_number().over(Window.partitionBy("_id").orderBy("path")) - 1
+    df = docs.withColumn("pos", pos).join(issue, "_id")
+    pdf, html = F.col("doc.linkDownloadDocumentPDF"), tx.nonblank("doc.linkDownloadDocumentHTML")
     doc_id = F.nullif(F.regexp_extract(pdf, r"documentId=(\d+)", 1), F.lit(""))
     page = F.concat(F.lit("https://dogc.gencat.cat/ca/document-del-dogc/index.html?documentId="), doc_id)
     return df.select(
         doc_id.alias("document_id"), F.col("numDOGC").alias("dogc_number"), F.col("dateDOGC").alias("date_dogc"),
         F.when(F.length("dateDOGC") >= 10, F.element_at(F.split("dateDOGC", "/"), -1)).otherwise("").alias("year"),
-        F.coalesce(tx.nonblank("x.sec"), F.lit("DISPOSICIONS")).alias("section"),
-        F.coalesce(tx.nonblank("x.org"), F.lit("Unknown")).alias("organisme"),
-        tx.or_empty("x.doc.title").alias("title"), tx.nonblank(pdf).alias("pdf_url"),
+        F.coalesce(tx.nonblank("sec"), F.lit("DISPOSICIONS")).alias("section"),
+        F.coalesce(tx.nonblank("org"), F.lit("Unknown")).alias("organisme"),
+        tx.or_empty("doc.title").alias("title"), tx.nonblank(pdf).alias("pdf_url"),
         F.coalesce(F.when(html != "None", html), page).alias("html_url"), "pos")
 
 
+def _numbered(items, kind):
+    return F.transform(items, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("i"), x.alias("x")))
+
+
 # ---- FLT2: daily bulletin, object-or-list at every level ------------------------------------
 def as_list(json_text, item):
     """Array of items from JSON text that is a list, a single object or absent."""

@@ -25,20 +25,25 @@ def _with_split(df):
 
 
 def read_index(spark, path, schema, layout="lines"):
-    """SRC1: corpus of JSON records with their position.
+    """SRC1: corpus of JSON records. Returns (records with their position, unreadable pieces).
 
-    ``lines``: one record per line. ``array``: one top-level array printed with an indent of
-    two. Both are split between tasks; the array is cut where a top-level record closes, a
-    line that no nested value can produce.
+    ``lines``: one record per line. ``array``: one top-level array. Both are split between
+    tasks; an array printed with an indent of two is cut where a top-level record closes, a
+    line that no nested value can produce. Any other print of an array is one piece of as many
+    records. A piece that doesn't parse is kept as text with its place, none is lost.
     """
     sep = {} if layout == "lines" else {"lineSep": "\n  },"}
-    raw = with_position(_with_split(spark.read.options(**sep).text(path)).filter(F.trim("value") != ""))
+    raw = _with_split(spark.read.options(**sep).text(path)).filter(F.trim("value") != "")
     body = F.col("value")
     if layout == "array":
-        last = body.rlike(r"\n\]\s*$")
-        body = F.regexp_replace(body, r"^\s*\[?\s*(?=\{)", "")
-        body = F.when(last, F.regexp_replace(body, r"\s*\]\s*$", "")).otherwise(F.concat(body, F.lit("}")))
-    return raw.select("ingest_ord", F.from_json(body, schema, {"mode": "PERMISSIVE"}).alias("r")).select("ingest_ord", "r.*")
+        whole = body.rlike(r"\n\]\s*$") | body.rlike(r"^\s*\[.*\]\s*$")
+        body = F.when(whole, F.regexp_replace(body, r"\]\s*$", "")).otherwise(F.concat(body, F.lit("}")))
+        body = F.regexp_replace(body, r"^\s*\[?", "")
+    parsed = F.from_json(F.concat(F.lit("["), body, F.lit("]")), f"array<struct<{schema}>>", {"mode": "PERMISSIVE"})
+    raw = raw.withColumn("_r", parsed)
+    empty = F.array().cast(raw.schema["_r"].dataType)
+    good = with_position(raw.select("_path", "_start", F.explode(F.coalesce("_r", empty)).alias("r")))
+    return good.select("ingest_ord", "r.*"), raw.filter("_r IS NULL").select(F.col("_path").alias("file_path"), F.col("_start").alias("split_start"), "value")
 
 
 def read_structured(spark, path, schema, glob="*_structured.json", one_per_file=True, key="documentId"):
@@ -55,26 +60,28 @@ def read_structured(spark, path, schema, glob="*_structured.json", one_per_file=
     return ok.drop("_corrupt_record", "file_path"), bad
 
 
-LAW_XML = ("metadatos struct<identificador:string,titulo:string,fecha_publicacion:string,departamento:string,rango:string>, "
+LAW_XML = ("_corrupt_record string, metadatos struct<identificador:string,titulo:string,fecha_publicacion:string,departamento:string,rango:string>, "
            "texto struct<p:array<struct<_class:string,_VALUE:string>>>, "
            "analisis struct<referencias:struct<anteriores:struct<anterior:array<struct<_referencia:string,palabra:string,texto:string>>>,"
            "posteriores:struct<posterior:array<struct<_referencia:string,palabra:string,texto:string>>>>>")
 
 
 def read_gazette_xml(spark, path, layout="files", row_tag="documento"):
-    """SRC3: national laws. Returns (laws, paragraphs, references).
+    """SRC3: national laws. Returns (laws, paragraphs, references, unreadable laws).
 
     ``files``: one law per file, as they are published. ``lines``: one law per line, which
     lets a large file be split between tasks.
     """
-    df = spark.read.format("xml").option("rowTag", row_tag).option("multiLine", layout == "files").option("attributePrefix", "_").option("valueTag", "_VALUE").option("mode", "PERMISSIVE").schema(LAW_XML).load(path)
-    df = df.filter(F.col("metadatos").isNotNull())
+    df = spark.read.format("xml").option("rowTag", row_tag).option("multiLine", layout == "files").option("attributePrefix", "_").option("valueTag", "_VALUE").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").schema(LAW_XML).load(path)
+    df = df.select("*", F.col("_metadata.file_path").alias("file_path"))
+    bad = df.filter(F.col("_corrupt_record").isNotNull() | F.col("metadatos").isNull()).select("file_path", "_corrupt_record")
+    df = df.filter(F.col("metadatos").isNotNull() & F.col("_corrupt_record").isNull())
     m, law = F.col("metadatos"), F.col("metadatos.identificador").alias("law_id")
     laws = df.select(law, m["titulo"].alias("title"), m["fecha_publicacion"].alias("publication_date"), m["departamento"].alias("department"), m["rango"].alias("rango"))
     paras = df.select(law, F.posexplode("texto.p").alias("ord", "p")).select("law_id", "ord", F.col("p._class").alias("cls"), F.trim("p._VALUE").alias("text")).filter(F.col("text") != "")
     ref = lambda c: F.transform(c, lambda r: F.struct(r["_referencia"].alias("ref"), r["palabra"].alias("word"), r["texto"].alias("text")))
     refs = df.select(law, ref(F.col("analisis.referencias.anteriores.anterior")).alias("prior"), ref(F.col("analisis.referencias.posteriores.posterior")).alias("later"))
-    return laws, paras, refs
+    return laws, paras, refs, bad
 
 
 def read_open_data_csv(spark, path, schema):

@@ -2,6 +2,9 @@
 
 import json
 
+from pyspark.sql import functions as F
+
+from lexloom.operators import flatten
 from lexloom.sources import readers, writers
 from lexloom.streaming import refresh
 
@@ -9,13 +12,39 @@ from lexloom.streaming import refresh
 def test_index_array_is_split_by_record(spark, tmp_path):
     rows = [{"documentId": str(i), "title": f"Títol, {{{i}}}\n  }},", "loc": {"lat": i, "tags": [{"a": 1}]}} for i in range(50)]
     p = tmp_path / "index.json"
-    for data in (rows, rows[:1]):
-        p.write_text(json.dumps(data, indent=2, ensure_ascii=False), encoding="utf-8")
-        df = readers.read_index(spark, str(p), "documentId string, title string, loc struct<lat:int,tags:array<struct<a:int>>>", "array")
+    for data, indent in ((rows, 2), (rows[:1], 2), (rows, None), (rows, 4), (rows[:1], None), (rows, 1)):
+        p.write_text(json.dumps(data, indent=indent, ensure_ascii=False), encoding="utf-8")
+        df, bad = readers.read_index(spark, str(p), "documentId string, title string, loc struct<lat:int,tags:array<struct<a:int>>>", "array")
+        assert bad.count() == 0
         got = df.orderBy("ingest_ord").collect()
         assert [(r["ingest_ord"], r["documentId"], r["title"], r["loc"]["lat"]) for r in got] == [(i, x["documentId"], x["title"], x["loc"]["lat"]) for i, x in enumerate(data)]
 
 
+def test_index_keeps_broken_lines_apart(spark, tmp_path):
+    (tmp_path / "i.json").write_text('{"a": 1}\n{"a": 2\n\n{"a": 3}\n')
+    ok, bad = readers.read_index(spark, str(tmp_path / "i.json"), "a int")
+    assert [(r["ingest_ord"], r["a"]) for r in ok.orderBy("ingest_ord").collect()] == [(0, 1), (1, 3)]
+    assert [r["value"] for r in bad.collect()] == ['{"a": 2']
+
+
+def test_malformed_laws_are_returned(spark, tmp_path):
+    (tmp_path / "l.xml").write_text("<documento><metadatos><identificador>A</identificador></metadatos></documento>\n<documento><metadatos><identificador>B</metadatos></documento>\n")
+    laws, _, _, bad = readers.read_gazette_xml(spark, str(tmp_path / "l.xml"), "lines")
+    assert [r["law_id"] for r in laws.collect()] == ["A"] and bad.count() == 1
+
+
+def test_summary_of_any_shape(spark):
+    doc = lambda t: {"title": t, "linkDownloadDocumentPDF": f"x?documentId={len(t)}"}
+    tree = {"numDOGC": "9", "dateDOGC": "01/02/2020", "title": "Top", "document": [doc("a")],
+            "section": {"title": "S", "header": {"title": "H", "header": [{"title": "HH", "subheader": {"document": doc("deep")}}, {"subheader": [{"title": "U", "document": [doc("b"), doc("c")]}]}]}}}
+    want = [("a", "Top", "Top"), ("deep", "HH", "Top"), ("b", "U", "Top"), ("c", "U", "Top")]
+    for shape in (tree, {"sumaris": [tree, {}]}):
+        df = spark.createDataFrame([(json.dumps(shape),), ("broken",), (json.dumps({"sumaris": []}),)], "j string")
+        got = flatten.flatten_summary(df, F.col("j")).orderBy("pos").collect()
+        assert [r["title"] for r in got] == [t for t, _, _ in want] and [r["organisme"] for r in got] == [o for _, o, _ in want]
+        assert {r["dogc_number"] for r in got} == {"9"} and [r["section"] for r in got][0] == "Top"
+
+
 def test_structured_dir_reports_bad_files(spark, tmp_path):
     for i, body in enumerate(['{"documentId": "1",\n "ca": {"title": "a"}}', "{broken", '{"documentId": "None"}', '{"ca": {"title": "b"}}']):
         (tmp_path / f"d{i}_structured.json").write_text(body)
@@ -26,7 +55,7 @@ def test_structured_dir_reports_bad_files(spark, tmp_path):
 
 def test_xml_files_and_csv_mark(spark, tmp_path):
     (tmp_path / "l.xml").write_text('<?xml version="1.0"?>\n<documento>\n<metadatos><identificador>B1</identificador></metadatos>\n<texto>\n<p class="articulo">Art 1</p>\n<p>x</p></texto></documento>', encoding="utf-8")
-    laws, paras, refs = readers.read_gazette_xml(spark, str(tmp_path / "*.xml"))
+    laws, paras, refs, _bad = readers.read_gazette_xml(spark, str(tmp_path / "*.xml"))
     assert laws.first()["law_id"] == "B1" and [(r["cls"], r["text"]) for r in paras.orderBy("ord").collect()] == [("articulo", "Art 1"), (None, "x")] and refs.count() == 1
     (tmp_path / "f.csv").write_bytes("﻿NOM_ENS,RESUM,ENLLAÇ,DATA_PUB,VIGENT\nGirona,a,https://x/a.pdf,1/2/2020,\n".encode())
     df = readers.read_open_data_csv(spark, str(tmp_path / "f.csv"), "NOM_ENS string, RESUM string, `ENLLAÇ` string, DATA_PUB string, VIGENT string")
