@@ -1,5 +1,7 @@
 """Legal references: extraction from text and from editorial links."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from lexloom import rules
@@ -122,20 +124,24 @@ def match_section(df, sections, target="target_id", article="article", key="docu
 
 
 # ---- CIT1 / CIT2 --------------------------------------------------------------------------------
-def extract_citations(section_paras, docs, sections=None, key="document_id"):
+def extract_citations(section_paras, docs, sections=None, key="document_id", other=None):
     """CIT1: one row per (section, target or cited key, article).
 
+    ``other`` holds the sections' paragraphs in a second language (same columns); what both
+    languages cite counts once, as the first language has it.
+
     Works on paragraphs: a section's paragraphs are joined by line ends, which also end
     clauses, so nothing is lost and no section text has to be assembled. Without
     ``sections`` the cited section is not looked up.
     """
     scanned = F.when(F.col("kind").isNotNull() & ~F.col("content"), F.col("heading")).otherwise(F.col("text"))
-    paras = section_paras.select(key, "section_no", "ord", scanned.alias("text")).filter(F.col("text").isNotNull())
-    refs = resolve_refs(cited_refs(paras, [key, "section_no", "ord"]), docs, key)
+    texts = [(0, section_paras), *([(1, other)] if other is not None else [])]
+    paras = reduce(lambda a, b: a.unionByName(b), [p.select(key, "section_no", F.lit(n).alias("lang_no"), "ord", scanned.alias("text")) for n, p in texts]).filter(F.col("text").isNotNull())
+    refs = resolve_refs(cited_refs(paras, [key, "section_no", "lang_no", "ord"]), docs, key)
     dedupe = F.coalesce(F.col("target_id").cast("string"), F.col("cited_key"))
     refs = refs.withColumn("_to", dedupe)
     one = refs.groupBy(key, "section_no", "_to", "article").agg(
-        F.min_by(F.struct("target_id", "cited", "ref_type"), F.struct("ord", "clause_no", "ref_no", "art_no")).alias("x"))
+        F.min_by(F.struct("target_id", "cited", "ref_type"), F.struct("lang_no", "ord", "clause_no", "ref_no", "art_no")).alias("x"))
     out = one.select(key, "section_no", "article", "x.*", F.col("x.target_id").isNotNull().alias("is_mapped"))
     return out if sections is None else match_section(out, sections, key=key)
 

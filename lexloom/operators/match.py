@@ -58,42 +58,39 @@ def title_date_key(title, date):
     return F.when((key != "") & date.isNotNull(), F.concat_ws("\u0001", key, date))
 
 
-def cascade_match(feed, target):
-    """JON7: record id, else any of the links, else title and date."""
-    lookup = lookup_table(target, "document_id", [
-        ("id", F.col("document_id")), ("url", F.trim("html_url")), ("url", F.trim("pdf_url")), ("title_date", title_date_key("title", "date_dogc"))])
+def cascade_match(feed, records, publications):
+    """JON7: record id, else any of the links, else title and date.
+
+    Records are found by themselves and by their publications (record_id, pos, url_html,
+    url_pdf, descripcio, data_publicacio; a blank date is the record's). The record whose key
+    comes last in input order has it.
+    """
+    r = records.select("record_id", "ingest_ord", F.lit(-1).alias("n"), F.array(*[F.struct(F.lit(t).alias("key_type"), e.cast("string").alias("key")) for t, e in [
+        ("id", F.col("record_id")), ("url", F.trim("url_record")), ("title_date", title_date_key("title", "date"))]]).alias("k"))
+    p = publications.drop("ingest_ord").join(records.select("record_id", "ingest_ord", F.col("date").alias("_date")), "record_id")
+    p = p.select("record_id", "ingest_ord", F.col("pos").alias("n"), F.array(*[F.struct(F.lit(t).alias("key_type"), e.alias("key")) for t, e in [
+        ("url", F.trim("url_html")), ("url", F.trim("url_pdf")), ("title_date", title_date_key("descripcio", F.coalesce(tx.nonblank("data_publicacio"), "_date")))]]).alias("k"))
+    rows = r.unionByName(p).select("record_id", "ingest_ord", "n", F.inline("k"))
+    lookup = rows.filter(tx.nonblank("key").isNotNull()).groupBy("key_type", "key").agg(F.max_by("record_id", F.struct("ingest_ord", "n")).alias("matched_id"))
+    title = F.coalesce(tx.nonblank("title"), F.col("record_title"))
     return cascade(feed, "id", lookup, [
-        ("direct_id", "id", F.col("cido_id")), ("url_match (link_to_text)", "url", F.trim("link_to_text")),
-        ("title_and_date_match", "title_date", title_date_key("title", "date"))])
+        ("direct_id", "id", F.col("cido_id")), *[(f"url_match ({c})", "url", F.trim(c)) for c in ("link_to_text", "url_html", "url_pdf", "url_cido")],
+        ("title_and_date_match", "title_date", title_date_key(title, "date"))])
 
 
 def residual_match(feed, docs, already):
-    """JON8: rows not matched before, by link, then title and ISO date, then long title."""
+    """JON8: rows not matched before, by any link, then title and ISO date, then long title."""
     rest = feed.filter(~already)
     title = tx.text_key("title")
     lookup = lookup_table(docs, "document_id", [
         ("url", F.trim("html_url")), ("url", F.trim("pdf_url")), ("title_date", title_date_key("title", ids.iso_date("date_dogc"))),
         ("title", F.when(F.length(title) > 15, title))])
     return cascade(rest, "id", lookup, [
-        ("dogc_url_match (link_to_text)", "url", F.trim("link_to_text")),
+        *[(f"dogc_url_match ({c})", "url", F.trim(c)) for c in ("link_to_text", "url_html", "url_pdf")],
         ("dogc_title_and_date_match", "title_date", title_date_key("title", ids.iso_date("date"))),
         ("dogc_title_match", "title", F.when(F.length(title) > 20, title))])
 
 
-def match_to_gazette(pubs, docs, title="record_title"):
-    """JON6: id in the link of a gazette publication, else the record title (last wins)."""
-    by_title = docs.select(tx.title_key("title").alias("_key"), "document_id", "ingest_ord").filter(F.col("_key") != "")
-    by_title = by_title.groupBy("_key").agg(F.max_by("document_id", "ingest_ord").alias("_tid"))
-    url_id = F.when(F.col("butlleti") == "DOGC", F.coalesce(ids.url_doc_id("url_pdf"), ids.url_doc_id("url_html")))
-    df = pubs.withColumns({"_uid": url_id, "_key": F.when(url_id.isNull(), tx.title_key(title))})
-    df = df.join(by_title, "_key", "left").withColumn("dogc_document_id", F.coalesce("_uid", F.col("_tid").cast("string")))
-    summary = first_row(docs.select(F.col("document_id").cast("string").alias("_did"), "ingest_ord", "document_id", F.col("title").alias("_t"), "date_dogc", F.col("organisme").alias("_o")), ["_did"], ["ingest_ord"], last=True)
-    summary = summary.select("_did", F.struct("document_id", F.col("_t").alias("title"), "date_dogc", F.col("_o").alias("organisme")).alias("matching_record"))
-    df = df.join(summary, F.col("dogc_document_id") == F.col("_did"), "left")
-    return df.withColumns({"appears_in_dogc": F.col("dogc_document_id").isNotNull(),
-                           "match_type": F.when(F.col("_uid").isNotNull(), "url_id").when(F.col("_tid").isNotNull(), "title")}).drop("_uid", "_key", "_tid", "_did")
-
-
 # ---- containment of titles in texts ---------------------------------------------------------------
 _ANCHOR = 3
 
@@ -558,6 +555,27 @@ def knn(queries, corpus, k, threshold=None, block=4096, ident="vec_id", vector="
     return top_k(hits, ["query_id"], [F.col("similarity").desc(), "neighbour_id"], k)
 
 
+def resolve_titles(queries, targets, threshold=0.75):
+    """JON20: cited titles to targets: the same title, else the gazette number it names, else
+    the nearest vector if it is near enough. Only what the first two leave is searched.
+
+    queries: query_id, title, embedding; targets: target_id, ingest_ord, title, dogc_number,
+    embedding. The first target in input order has a title or number; vectors may be NULL.
+    """
+    clean = lambda c: F.lower(F.trim(c))
+    first = lambda key: targets.select(key.alias("key"), "target_id", "ingest_ord").filter("key <> ''").groupBy("key").agg(F.min_by("target_id", "ingest_ord").alias("target_id"))
+    q = queries.filter(tx.nonblank("title").isNotNull()).select("query_id", "embedding", clean("title").alias("_t"))
+    q = q.withColumn("_g", F.regexp_extract("_t", rules.NAMED_GAZETTE, 1))
+    by_title, by_number = first(clean("title")), first(F.col("dogc_number"))
+    q = q.join(by_title.withColumnRenamed("target_id", "_a"), F.col("_t") == F.col("key"), "left").drop("key")
+    q = cut(q.join(by_number.withColumnRenamed("target_id", "_b"), F.col("_g") == F.col("key"), "left").drop("key"))
+    rest = q.filter("_a IS NULL AND _b IS NULL AND embedding IS NOT NULL").select(F.col("query_id").alias("vec_id"), "embedding")
+    near = knn(rest, targets.filter("embedding IS NOT NULL").select(F.col("target_id").alias("vec_id"), "embedding"), 1, threshold)
+    q = q.join(near.select("query_id", F.col("neighbour_id").alias("_c")), "query_id", "left")
+    return q.select("query_id", F.coalesce("_a", "_b", "_c").alias("target_id"),
+                    F.when(F.col("_a").isNotNull(), "title").when(F.col("_b").isNotNull(), "gazette_number").when(F.col("_c").isNotNull(), "vector").alias("found_by"))
+
+
 # ---- JON21: spans in sections ---------------------------------------------------------------------------------
 def locate_spans(spans, sections, doc="doc_id", offset="start_offset", width=1024):
     """JON21: first section containing an offset, else the document's first, else Body.

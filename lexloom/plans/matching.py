@@ -82,18 +82,36 @@ ti AS (SELECT {sql_text_key('title')} AS k, max(document_id) AS id FROM legal_do
 f AS (SELECT *, {sql_text_key('title')} AS k, trim(link_to_text) AS u FROM bulletin_feed)"""
 
 
-@query("jon7_cascade_match", f"""WITH {SQL_LOOK} SELECT f.id, coalesce(d.document_id, ur.id, td.id) AS matched_id,
- CASE WHEN d.document_id IS NOT NULL THEN 'direct_id' WHEN ur.id IS NOT NULL THEN 'url_match (link_to_text)' WHEN td.id IS NOT NULL THEN 'title_and_date_match' END AS match_reason
-FROM f LEFT JOIN legal_docs d ON d.document_id = f.cido_id LEFT JOIN ur ON ur.u = f.u LEFT JOIN td ON td.k = f.k AND td.d = f.date""")
+# Links and titles that lead to a record, to one of its publications, or to a gazette document.
+FEED_LINKS = """SELECT *, CASE WHEN ingest_ord % 5 = 0 THEN concat(' https://portal.example/', CAST(ingest_ord AS STRING), '.pdf') WHEN ingest_ord % 5 = 3 THEN concat('https://gazette.example/pdf/', CAST(ingest_ord AS STRING), '.pdf') END AS url_pdf,
+ CASE WHEN ingest_ord % 5 = 2 THEN concat('https://gazette.example/ca/doc?documentId=', CAST(ingest_ord AS STRING)) END AS url_html,
+ CASE WHEN ingest_ord % 5 = 1 THEN concat('https://records.example/', CAST(ingest_ord % 100 + 1 AS STRING)) END AS url_cido,
+ concat('Aprovacio definitiva expedient ', CAST(ingest_ord % 7 AS STRING), ' lot ', CAST(ingest_ord % 3 AS STRING)) AS record_title FROM bulletin_feed"""
+
+
+@query("jon7_cascade_match", f"""WITH f AS (SELECT *, CASE WHEN ingest_ord % 4 = 0 THEN record_title ELSE title END AS ttl, concat(substr(date, 7, 4), '-', substr(date, 4, 2), '-', substr(date, 1, 2)) AS iso FROM ({FEED_LINKS})),
+k AS (SELECT record_id, ingest_ord AS o, -1 AS n, 'u' AS kind, url_record AS key, '' AS d FROM records
+ UNION ALL SELECT record_id, ingest_ord, -1, 't', {sql_text_key('title')}, date FROM records
+ UNION ALL SELECT p.record_id, r.ingest_ord, p.pos, 'u', trim(p.url_pdf), '' FROM publications p JOIN records r USING (record_id)
+ UNION ALL SELECT p.record_id, r.ingest_ord, p.pos, 't', {sql_text_key('p.descripcio')}, p.data_publicacio FROM publications p JOIN records r USING (record_id)),
+l AS (SELECT kind, key, d, arg_max(record_id, (o, n)) AS id FROM k WHERE coalesce(key, '') <> '' GROUP BY ALL)
+SELECT f.id, coalesce(r.record_id, l1.id, l2.id, l3.id, l4.id) AS matched_id, CASE WHEN r.record_id IS NOT NULL THEN 'direct_id' WHEN l1.id IS NOT NULL THEN 'url_match (link_to_text)' WHEN l2.id IS NOT NULL THEN 'url_match (url_pdf)'
+  WHEN l3.id IS NOT NULL THEN 'url_match (url_cido)' WHEN l4.id IS NOT NULL THEN 'title_and_date_match' END AS match_reason
+FROM f LEFT JOIN records r ON r.record_id = f.cido_id LEFT JOIN l l1 ON l1.kind = 'u' AND l1.key = trim(f.link_to_text) LEFT JOIN l l2 ON l2.kind = 'u' AND l2.key = trim(f.url_pdf)
+ LEFT JOIN l l3 ON l3.kind = 'u' AND l3.key = f.url_cido LEFT JOIN l l4 ON l4.kind = 't' AND l4.key = {sql_text_key('f.ttl')} AND l4.d = f.iso""")
 def _(t):
-    return match.cascade_match(t.bulletin_feed, t.legal_docs).select("id", "matched_id", "match_reason")
+    iso = F.concat_ws("-", F.substring("date", 7, 4), F.substring("date", 4, 2), F.substring("date", 1, 2))
+    feed = t.sql(FEED_LINKS).withColumn("date", iso).withColumn("title", F.when(F.col("ingest_ord") % 4 == 0, " ").otherwise(F.col("title")))
+    pubs = t.publications.withColumn("url_html", F.lit(None).cast("string"))
+    return match.cascade_match(feed, t.records, pubs).select("id", "matched_id", "match_reason")
 
 
-@query("jon8_residual_match", f"""WITH {SQL_LOOK} SELECT f.id, coalesce(ur.id, td.id, ti.id) AS matched_id,
- CASE WHEN ur.id IS NOT NULL THEN 'dogc_url_match (link_to_text)' WHEN td.id IS NOT NULL THEN 'dogc_title_and_date_match' WHEN ti.id IS NOT NULL THEN 'dogc_title_match' END AS match_reason
-FROM f LEFT JOIN ur ON ur.u = f.u LEFT JOIN td ON td.k = f.k AND td.d = f.date LEFT JOIN ti ON ti.k = f.k AND length(f.k) > 20 WHERE f.cido_id IS NULL""")
+@query("jon8_residual_match", f"""WITH {SQL_LOOK}, up AS (SELECT trim(pdf_url) AS u, max(document_id) AS id FROM legal_docs WHERE pdf_url <> 'None' GROUP BY 1), g AS ({FEED_LINKS})
+SELECT f.id, coalesce(ur.id, uh.id, up.id, td.id, ti.id) AS matched_id,
+ CASE WHEN ur.id IS NOT NULL THEN 'dogc_url_match (link_to_text)' WHEN uh.id IS NOT NULL THEN 'dogc_url_match (url_html)' WHEN up.id IS NOT NULL THEN 'dogc_url_match (url_pdf)' WHEN td.id IS NOT NULL THEN 'dogc_title_and_date_match' WHEN ti.id IS NOT NULL THEN 'dogc_title_match' END AS match_reason
+FROM f JOIN g USING (id) LEFT JOIN ur ON ur.u = f.u LEFT JOIN ur uh ON uh.u = g.url_html LEFT JOIN up ON up.u = g.url_pdf LEFT JOIN td ON td.k = f.k AND td.d = f.date LEFT JOIN ti ON ti.k = f.k AND length(f.k) > 20 WHERE f.cido_id IS NULL""")
 def _(t):
-    return match.residual_match(t.bulletin_feed, t.legal_docs, F.col("cido_id").isNotNull()).select("id", "matched_id", "match_reason")
+    return match.residual_match(t.sql(FEED_LINKS), t.legal_docs, F.col("cido_id").isNotNull()).select("id", "matched_id", "match_reason")
 
 
 @query("jon9_issue_scoped_match")
@@ -218,6 +236,23 @@ def _(t):
     return match.knn(t.embeddings, t.embeddings, 3).select("query_id", "neighbour_id", "rank", F.round("similarity", 5).alias("similarity"))
 
 
+@query("jon20_resolve_titles", """
+WITH q AS (SELECT e.vec_id AS query_id, e.embedding, CASE e.vec_id % 3 WHEN 0 THEN lower(d.title) WHEN 1 THEN concat('vegeu el dogc nº ', d.dogc_number) ELSE concat('un altre text ', CAST(e.vec_id AS VARCHAR)) END AS t, CASE WHEN e.vec_id % 3 = 1 THEN d.dogc_number END AS g FROM embeddings e JOIN legal_docs d ON d.document_id = e.vec_id),
+a AS (SELECT lower(title) AS t, arg_min(document_id, ingest_ord) AS id FROM legal_docs GROUP BY 1), b AS (SELECT dogc_number AS g, arg_min(document_id, ingest_ord) AS id FROM legal_docs GROUP BY 1),
+v AS (SELECT e.* FROM embeddings e JOIN legal_docs d ON d.document_id = e.vec_id WHERE e.vec_id % 2 = 1),
+n AS (SELECT q.query_id, arg_max(v.vec_id, (list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])), -v.vec_id)) AS id, max(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[]))) AS s FROM q, v GROUP BY 1)
+SELECT q.query_id, CASE WHEN a.id IS NOT NULL THEN a.id WHEN b.id IS NOT NULL THEN b.id WHEN n.s >= 0.75 THEN n.id END AS target_id,
+  CASE WHEN a.id IS NOT NULL THEN 'title' WHEN b.id IS NOT NULL THEN 'gazette_number' WHEN n.s >= 0.75 THEN 'vector' END AS found_by
+FROM q LEFT JOIN a ON a.t = q.t LEFT JOIN b ON b.g = q.g LEFT JOIN n USING (query_id)""")
+def _(t):
+    d, e = t.legal_docs, t.embeddings.select("vec_id", "embedding")
+    title = (F.when(F.col("vec_id") % 3 == 0, F.concat(F.lit(" "), F.upper("title"))).when(F.col("vec_id") % 3 == 1, F.concat(F.lit("Vegeu el DOGC nº "), "dogc_number"))
+             .otherwise(F.concat(F.lit("Un altre text "), F.col("vec_id").cast("string"))))
+    queries = e.join(d, F.col("vec_id") == F.col("document_id")).select(F.col("vec_id").alias("query_id"), title.alias("title"), "embedding")
+    targets = d.join(e.filter("vec_id % 2 = 1"), F.col("vec_id") == F.col("document_id"), "left").select(F.col("document_id").alias("target_id"), "ingest_ord", "title", "dogc_number", "embedding")
+    return match.resolve_titles(queries, targets).select("query_id", "target_id", "found_by")
+
+
 @query("jon21_span_in_section", """
 SELECT s.annotation_id, CASE WHEN d.document_id IS NULL THEN 'Body' WHEN s.start_offset <= 19 + length(d.title) + 1 THEN 'Article 1. Objecte' ELSE concat('Article 2 ', d.organisme) END AS section_title
 FROM spans s LEFT JOIN (SELECT * FROM legal_docs WHERE document_id % 2 = 0) d ON d.document_id = s.doc_id""")
