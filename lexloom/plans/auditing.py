@@ -6,6 +6,7 @@ from lexloom.functions import ids
 from lexloom.operators import audit, dedupe, sample
 from lexloom.operators.ordered import top_k
 from lexloom.plans.extraction import SQL_CITES, citations
+from lexloom.plans.projections import sql_title_key
 from lexloom.plans.registry import query
 
 
@@ -24,7 +25,20 @@ def phase_texts(t):
     return t.publications.withColumn("descripcio", d)
 
 
-@query("ded2_cluster_publications")
+SQL_SIMILAR = """(length(x.t) >= 15 AND length(r.t) >= 15 AND (contains(x.t, r.t) OR contains(r.t, x.t))
+  OR len(list_intersect(x.w, r.w)) / greatest(len(x.w), len(r.w)) >= 0.82 OR len(list_filter(list_intersect(x.w, r.w), lambda v: length(v) >= 5)) >= 2)"""
+
+
+@query("ded2_cluster_publications", f"""WITH RECURSIVE p AS (SELECT record_id, fase, ingest_ord, CASE WHEN ingest_ord % 5 = 0 THEN concat(descripcio, ' (bis)') WHEN ingest_ord % 7 = 0 THEN concat('Anunci ', CAST(ingest_ord % 4 AS VARCHAR)) WHEN ingest_ord % 11 = 0 THEN ''
+   ELSE concat('acte ', CAST(ingest_ord % 13 AS VARCHAR), ' nota ', CAST(ingest_ord % 3 AS VARCHAR)) END AS d FROM publications),
+k AS (SELECT *, {sql_title_key('d')} AS t FROM p),
+g AS (SELECT *, row_number() OVER (PARTITION BY record_id, fase ORDER BY o) AS n FROM (SELECT record_id, fase, t, min(ingest_ord) AS o, list_distinct(list_filter(string_split(t, ' '), lambda v: v <> '')) AS w FROM k WHERE t <> '' GROUP BY record_id, fase, t)),
+s(record_id, fase, n, rep, reps) AS (
+  SELECT record_id, fase, n, o, [{{'t': t, 'w': w, 'o': o}}] FROM g WHERE n = 1
+  UNION ALL SELECT x.record_id, x.fase, x.n, coalesce(list_filter(s.reps, lambda r: {SQL_SIMILAR})[1].o, x.o),
+    CASE WHEN len(list_filter(s.reps, lambda r: {SQL_SIMILAR})) > 0 THEN s.reps ELSE list_append(s.reps, {{'t': x.t, 'w': x.w, 'o': x.o}}) END
+  FROM s JOIN g x ON x.record_id = s.record_id AND x.fase = s.fase AND x.n = s.n + 1)
+SELECT k.record_id, k.fase, k.ingest_ord, coalesce(s.rep, k.ingest_ord) AS cluster FROM k LEFT JOIN g USING (record_id, fase, t) LEFT JOIN s ON s.record_id = g.record_id AND s.fase = g.fase AND s.n = g.n""")
 def _(t):
     return dedupe.cluster_publications(phase_texts(t), ["record_id", "fase"], "descripcio").select("record_id", "fase", "ingest_ord", "cluster")
 

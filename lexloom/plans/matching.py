@@ -189,7 +189,10 @@ def _(t):
     return match.edges_between(pairs, t.graph_edges).select("src", "dst", "type")
 
 
-@query("jon16_candidate_targets")
+@query("jon16_candidate_targets", """WITH q AS (SELECT section_id AS text_id, unnest(regexp_extract_all(text, '\\d{1,4}/\\d{4}')) AS num FROM legal_sections),
+c AS (SELECT DISTINCT text_id, document_id FROM q JOIN legal_docs ON document_number = num),
+r AS (SELECT *, row_number() OVER (PARTITION BY text_id ORDER BY document_id) AS rk FROM c)
+SELECT text_id, CAST(rk AS INT) AS rank, document_id, 105 AS score FROM r WHERE rk <= 15""")
 def _(t):
     texts = t.legal_sections.select(F.col("section_id").alias("text_id"), "text")
     return match.candidate_targets(texts, t.legal_docs)
