@@ -82,18 +82,44 @@ def published_in(docs):
         F.col("document_id").alias("src"), F.trim("dogc_number").alias("dst"), F.lit("PUBLISHED_IN").alias("type"), F.coalesce(tx.nonblank("section"), F.lit("Unknown")).alias("section"))
 
 
+def _placed(docs, pubs):
+    """Publications with the path of their gazette document (_eli, NULL if not in the corpus) and of a local one."""
+    y, m, day = ids.issue_year("date_dogc", "year")
+    known = first_row(docs.select(F.col("document_id").cast("string").alias("_d"), ids.eli_path("doc", (y, m, day), "document_id").alias("_eli"), "ingest_ord"), ["_d"], ["ingest_ord"], last=True).drop("ingest_ord")
+    local = F.concat_ws("/", F.lit("eli/es-cat/doc/local"), F.col("record_id").cast("string"), F.col("pos").cast("string"))
+    return pubs.join(known, F.col("dogc_document_id") == F.col("_d"), "left").withColumn("_local", local)
+
+
+def _publication_properties(p):
+    """Properties that a publication gives to its edge and to its own node."""
+    o = lambda n: _opt(p, n)
+    own = F.when(tx.nonblank("butlleti").isNotNull(), F.array("butlleti")).otherwise(F.array().cast("array<string>"))
+    return {"butlleti": tx.or_empty("butlleti"), "all_sources": F.coalesce(F.when(F.size(o("all_sources")) > 0, o("all_sources")), own) if "all_sources" in p.columns else own,
+            "is_multi_source": F.coalesce(o("is_multi_source").cast("boolean"), F.lit(False)), "is_url_active": F.coalesce(o("is_url_active").cast("boolean"), F.lit(True)),
+            "url_status": F.coalesce(o("url_status"), F.lit("active"))}
+
+
+def local_document_nodes(docs, pubs):
+    """NOD2: a node for every publication that is no gazette document of the corpus."""
+    p = _placed(docs, pubs).filter("_eli IS NULL")
+    o = lambda n: _opt(p, n)
+    return p.select(
+        F.concat_ws("_", F.lit("cido_doc"), F.col("record_id").cast("string"), F.col("pos").cast("string")).alias("document_id"), F.col("_local").alias("eli_id"),
+        tx.or_empty(tx.first_nonblank("descripcio", o("record_title"))).alias("title"), tx.or_empty(tx.first_nonblank("data_publicacio", "record_date")).alias("date"),
+        tx.or_empty(tx.first_nonblank("url_pdf", o("url_html"), o("url_record"))).alias("url"), tx.or_empty("url_pdf").alias("pdf_url"), F.lit("LocalBulletin").alias("label"),
+        *[c.alias(n) for n, c in _publication_properties(p).items()])
+
+
 def contains_edges(docs, pubs):
-    """EDG1: issue to document, and record to publication (local when not in the corpus)."""
+    """EDG1: issue to document, and record to publication (its local node when not in the corpus)."""
     y, m, d = ids.issue_year("date_dogc", "year")
-    doc_eli = ids.eli_path("doc", (y, m, d), "document_id")
-    a = docs.filter(tx.present("dogc_number").isNotNull()).select(ids.eli_path("dogc", (y, m, d), "dogc_number").alias("src"), doc_eli.alias("dst"),
+    a = docs.filter(tx.present("dogc_number").isNotNull()).select(ids.eli_path("dogc", (y, m, d), "dogc_number").alias("src"), ids.eli_path("doc", (y, m, d), "document_id").alias("dst"),
                                                                   F.coalesce(tx.nonblank("section"), F.lit("Disposicions generals")).alias("macrosection"))
-    known = first_row(docs.select(F.col("document_id").cast("string").alias("_d"), doc_eli.alias("_eli"), "ingest_ord"), ["_d"], ["ingest_ord"], last=True).drop("ingest_ord")
-    p = pubs.join(known, F.col("dogc_document_id") == F.col("_d"), "left")
+    p = _placed(docs, pubs)
     ry, rm, rd = ids.date_parts("record_date")
-    local = F.concat_ws("/", F.lit("eli/es-cat/doc/local"), F.col("record_id").cast("string"), F.col("pos").cast("string"))
-    b = p.select(ids.eli_path(ids.module_prefix("type"), (ry, rm, rd), "record_id").alias("src"), F.coalesce("_eli", local).alias("dst"), tx.or_empty("fase").alias("fase"),
-                 tx.or_empty("butlleti").alias("butlleti"), tx.or_empty("data_publicacio").alias("data_publicacio"))
+    b = p.select(ids.eli_path(ids.module_prefix("type"), (ry, rm, rd), "record_id").alias("src"), F.coalesce("_eli", "_local").alias("dst"), tx.or_empty("fase").alias("fase"),
+                 F.coalesce(_opt(p, "num_butlleti").cast("long"), F.lit(0)).alias("num_butlleti"), tx.or_empty("data_publicacio").alias("data_publicacio"),
+                 *[c.alias(n) for n, c in _publication_properties(p).items()])
     return dedupe.union_documents(a, b).withColumn("type", F.lit("CONTAINS"))
 
 

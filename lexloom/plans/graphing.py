@@ -61,11 +61,19 @@ def _(t):
     return graph.published_in(t.legal_docs).select("src", "dst", "section")
 
 
-@query("edg1_contains", f"""SELECT concat('eli/es-cat/dogc/', split_part(date_dogc,'/',3), '/', split_part(date_dogc,'/',2), '/', split_part(date_dogc,'/',1), '/', dogc_number) AS src, {ELI} AS dst, CASE WHEN section = '' THEN 'Disposicions generals' ELSE section END AS macrosection, NULL AS butlleti FROM legal_docs
-UNION ALL SELECT concat('eli/es-cat/', {MODULE.replace('type', 'p.type')}, '/', replace(r.date, '-', '/'), '/', CAST(p.record_id AS VARCHAR)), coalesce({ELI.replace('document_id', 'd.document_id')}, concat('eli/es-cat/doc/local/', CAST(p.record_id AS VARCHAR), '/', CAST(p.pos AS VARCHAR))), NULL, coalesce(p.butlleti, '')
+@query("edg1_contains", f"""SELECT concat('eli/es-cat/dogc/', split_part(date_dogc,'/',3), '/', split_part(date_dogc,'/',2), '/', split_part(date_dogc,'/',1), '/', dogc_number) AS src, {ELI} AS dst, CASE WHEN section = '' THEN 'Disposicions generals' ELSE section END AS macrosection, NULL AS butlleti, NULL AS fase, NULL AS num_butlleti, NULL AS data_publicacio, NULL AS all_sources, NULL AS is_multi_source, NULL AS is_url_active, NULL AS url_status FROM legal_docs
+UNION ALL SELECT concat('eli/es-cat/', {MODULE.replace('type', 'p.type')}, '/', replace(r.date, '-', '/'), '/', CAST(p.record_id AS VARCHAR)), coalesce({ELI.replace('document_id', 'd.document_id')}, concat('eli/es-cat/doc/local/', CAST(p.record_id AS VARCHAR), '/', CAST(p.pos AS VARCHAR))), NULL, coalesce(p.butlleti, ''), coalesce(p.fase, ''), 0, coalesce(p.data_publicacio, ''), coalesce(p.butlleti, ''), FALSE, TRUE, 'active'
  FROM publications p JOIN records r USING (record_id) LEFT JOIN legal_docs d ON CAST(d.document_id AS VARCHAR) = nullif(regexp_extract(coalesce(p.url_pdf, ''), 'documentId=(\\d+)', 1), '')""".replace("concat('eli/es-cat/doc/', split_part(date_dogc,'/',3), '/', split_part(date_dogc,'/',2), '/', split_part(date_dogc,'/',1), '/', CAST(d.document_id AS VARCHAR))", "CASE WHEN d.document_id IS NOT NULL THEN concat('eli/es-cat/doc/', split_part(d.date_dogc,'/',3), '/', split_part(d.date_dogc,'/',2), '/', split_part(d.date_dogc,'/',1), '/', CAST(d.document_id AS VARCHAR)) END"))
 def _(t):
-    return graph.contains_edges(t.legal_docs, resolved_pubs(t)).select("src", "dst", "macrosection", "butlleti")
+    return graph.contains_edges(t.legal_docs, resolved_pubs(t)).select("src", "dst", "macrosection", "butlleti", "fase", "num_butlleti", "data_publicacio", F.array_join("all_sources", ",").alias("all_sources"), "is_multi_source", "is_url_active", "url_status")
+
+
+@query("nod2_local_documents", """SELECT concat('cido_doc_', CAST(p.record_id AS VARCHAR), '_', CAST(p.pos AS VARCHAR)) AS document_id, concat('eli/es-cat/doc/local/', CAST(p.record_id AS VARCHAR), '/', CAST(p.pos AS VARCHAR)) AS eli_id, p.descripcio AS title, p.data_publicacio AS date,
+ coalesce(p.url_pdf, r.url_record) AS url, coalesce(p.url_pdf, '') AS pdf_url, 'LocalBulletin' AS label, coalesce(p.butlleti, '') AS butlleti FROM publications p JOIN records r USING (record_id)
+ LEFT JOIN legal_docs d ON CAST(d.document_id AS VARCHAR) = nullif(regexp_extract(coalesce(p.url_pdf, ''), 'documentId=(\\d+)', 1), '') WHERE d.document_id IS NULL""")
+def _(t):
+    pubs = resolved_pubs(t).drop("url_record").join(t.records.select("record_id", "url_record"), "record_id")
+    return graph.local_document_nodes(t.legal_docs, pubs).select("document_id", "eli_id", "title", "date", "url", "pdf_url", "label", "butlleti")
 
 
 @query("edg2_has_section", """SELECT document_id AS src, section_id AS dst, ord - 1 AS "order" FROM legal_sections""")
