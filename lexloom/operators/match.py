@@ -137,31 +137,47 @@ def first_strategy(parts, row_id):
         row_id, "m.matched_id", "m.strategy")
 
 
+def holds(texts, titles, group, text, title, row_id, either=False):
+    """For each text the first title (by order) of its group that it contains, as a substring.
+
+    The group is the join key and containment its residual condition. Equal texts and titles
+    of a group meet once. With ``either``, a title that contains the text counts as well.
+    """
+    n = texts.select(*group, F.col(text).alias("_text")).filter("_text <> ''").distinct()
+    t = first_row(titles.select(*group, F.col(title).alias("_title"), F.col("document_id").alias("_id"), F.col("ord").alias("_o")).filter("_title <> ''"), group + ["_title"], ["_o"])
+    inside = F.contains("_text", "_title")
+    hit = n.join(t, group).filter(inside | F.contains("_title", "_text") if either else inside)
+    best = hit.groupBy(*group, "_text").agg(F.min(F.struct("_o", "_id")).alias("m"))
+    return texts.withColumn("_text", F.col(text)).join(best, group + ["_text"]).select(row_id, F.col("m._id").alias("matched_id"), F.col("m._o").alias("matched_ord"))
+
+
 def issue_match(targets, docs):
     """JON9: resolve publications inside their gazette issue by four strategies in turn.
 
     targets: target_id, issue, text, record_title, institucio. docs: issue, document_id,
-    ord, title, organisme, cve, text (landed document text). Containment is by whole words.
+    ord, title, organisme, cve, text (landed document text). Everything is by substring.
     """
-    t = targets.select("target_id", "issue", "text", tx.title_key("text").alias("_text"), tx.title_key("record_title").alias("_rec"), tx.org_key("institucio").alias("_inst"))
-    d = docs.select("issue", "document_id", "ord", "title", "cve", "text", tx.title_key("title").alias("_title"), tx.org_key("organisme").alias("_org"), tx.org_key("title").alias("_org_title"))
+    t = targets.select("target_id", "issue", "text", tx.title_key("text").alias("_body"), tx.title_key("record_title").alias("_rec"), tx.org_key("institucio").alias("_inst"))
+    d = docs.select("issue", "document_id", "ord", "title", "cve", "text", tx.title_key("title").alias("_name"), tx.org_key("organisme").alias("_org"), tx.org_key("title").alias("_org_title"))
     g = ["issue"]
-    s1 = contained_titles(t, d.filter(F.length("_title") >= 15), g, "target_id", "_text", "_title", "document_id", "ord")
-    s2a = contained_titles(t, d, g, "target_id", "_rec", "_title", "document_id", "ord")
-    s2b = contained_in(t, d, g, "target_id", "_rec", "document_id", "_title", "ord")
-    cve = lambda c: F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"(CVE-DOGC-[A-Z]-\d+-\d+)"), F.lit(1))
+    s1 = holds(t, d.filter(F.length("_name") >= 15), g, "_body", "_name", "target_id")
+    s2 = holds(t, d, g, "_rec", "_name", "target_id", either=True)
+    cve = lambda c: F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(rules.CVE_CODE), F.lit(1))
     codes = (d.select("issue", "document_id", "ord", F.explode(F.array_distinct(F.concat(cve(F.col("title")), cve(F.col("cve"))))).alias("_code"))
              .groupBy("issue", "_code").agg(F.min(F.struct("ord", "document_id")).alias("m")))
     s3 = (t.withColumn("_code", F.get(cve(F.col("text")), F.lit(0))).join(codes, ["issue", "_code"])
           .select("target_id", F.col("m.document_id").alias("matched_id"), F.col("m.ord").alias("matched_ord")))
-    # organism and keyword: index of the first document per (issue, organism, word of its text)
-    long_words = lambda c: F.array_distinct(F.filter(F.split(c, " "), lambda x: F.length(x) >= 5))
-    orgs = d.withColumn("_word", F.explode(long_words(tx.title_key("text")))).select(
-        "issue", "document_id", "ord", "_word", F.explode(F.array_distinct(F.concat(_word_windows(F.col("_org")), _word_windows(F.col("_org_title"))))).alias("_inst"))
-    orgs = orgs.groupBy("issue", "_inst", "_word").agg(F.min(F.struct("ord", "document_id")).alias("m"))
-    kw = t.filter(F.col("_inst") != "").select("target_id", "issue", "_inst", F.explode(long_words(F.col("_rec"))).alias("_word"))
-    s4 = kw.join(orgs, ["issue", "_inst", "_word"]).select("target_id", F.col("m.document_id").alias("matched_id"), F.col("m.ord").alias("matched_ord"))
-    return first_strategy([(1, s1), (2, s2a), (2, s2b), (3, s3), (4, s4)], "target_id")
+    # organism either way, and a long word of the record's title in the document's text
+    words = F.array_sort(F.array_distinct(F.filter(F.split("_rec", " "), lambda x: F.length(x) >= 5)))
+    asked = t.filter("_inst <> ''").withColumn("_words", words).filter(F.size("_words") > 0)
+    same_org = F.contains("_org", "_inst") | F.contains("_inst", "_org") | F.contains("_org_title", "_inst")
+    near = asked.select("issue", "_inst").distinct().join(d.select("issue", "document_id", "ord", "_org", "_org_title"), "issue").filter(same_org).select("issue", "_inst", "document_id", "ord")
+    found = (asked.select("issue", "_inst", F.explode("_words").alias("_word")).distinct().join(near, ["issue", "_inst"])
+             .join(d.select("issue", "document_id", "ord", tx.title_key("text").alias("_text")), ["issue", "document_id", "ord"]).filter(F.contains("_text", "_word")))
+    best = found.groupBy("issue", "_inst", "_word").agg(F.min(F.struct("ord", "document_id")).alias("m"))
+    s4 = (asked.select("target_id", "issue", "_inst", F.explode("_words").alias("_word")).join(best, ["issue", "_inst", "_word"])
+          .select("target_id", F.col("m.document_id").alias("matched_id"), F.col("m.ord").alias("matched_ord")))
+    return first_strategy([(1, s1), (2, s2), (3, s3), (4, s4)], "target_id")
 
 
 def _word_windows(c):
@@ -190,9 +206,8 @@ def title_in_issue(entries, docs):
     d = docs.select("issue", "document_id", "ord", tx.squeeze(F.regexp_replace(F.lower("title"), r"[^a-z0-9à-üçï ]", "")).alias("_title"), tx.alnum_key("title").alias("_k"))
     last = d.groupBy("issue", "_k").agg(F.max_by(F.struct("document_id", "ord"), "ord").alias("m"))
     s1 = e.join(last, ["issue", "_k"]).select("entry_id", F.col("m.document_id").alias("matched_id"), F.col("m.ord").alias("matched_ord"))
-    s2 = contained_titles(e, d, ["issue"], "entry_id", "_t", "_title", "document_id", "ord")
-    s3 = contained_in(e, d, ["issue"], "entry_id", "_t", "document_id", "_title", "ord")
-    return first_strategy([(1, s1), (2, s2), (2, s3)], "entry_id")
+    s2 = holds(e, d, ["issue"], "_t", "_title", "entry_id", either=True)
+    return first_strategy([(1, s1), (2, s2)], "entry_id")
 
 
 # ---- JON4 / JON5: editorial links to sections -------------------------------------------------------

@@ -2,10 +2,9 @@
 
 from pyspark.sql import functions as F
 
-
+from lexloom import rules
 from lexloom.operators import match, segment
-
-from lexloom.plans.projections import sql_section_key, sql_text_key, sql_title_key
+from lexloom.plans.projections import sql_strip, sql_section_key, sql_text_key, sql_title_key
 from lexloom.plans.registry import query
 
 
@@ -114,7 +113,20 @@ def _(t):
     return match.residual_match(t.sql(FEED_LINKS), t.legal_docs, F.col("cido_id").isNotNull()).select("id", "matched_id", "match_reason")
 
 
-@query("jon9_issue_scoped_match")
+def _org(c):
+    return sql_strip(sql_title_key(c), rules.ORG_PREFIXES)
+
+
+@query("jon9_issue_scoped_match", f"""WITH b AS (SELECT document_id AS target_id, dogc_number AS issue, organisme, CASE document_id % 4 WHEN 0 THEN concat('Publicat: ', title, '. Fi') WHEN 2 THEN concat('Codi CVE-DOGC-A-', CAST(document_id AS VARCHAR), '-', CAST(year AS VARCHAR)) ELSE 'res' END AS text,
+   CASE WHEN document_id % 4 = 1 THEN concat('Resum de ', title) ELSE concat('Aprovacio disposicions ', section) END AS record_title, CASE WHEN document_id % 4 = 3 THEN CASE WHEN document_id % 8 = 3 THEN organisme ELSE concat(organisme, ' i comarca') END ELSE '' END AS institucio FROM legal_docs),
+t AS (SELECT target_id, issue, text, {sql_title_key('text')} AS body, {sql_title_key('record_title')} AS rec, {_org('institucio')} AS inst FROM b),
+d AS (SELECT dogc_number AS issue, document_id, ingest_ord AS ord, concat('CVE-DOGC-A-', CAST(document_id AS VARCHAR), '-', CAST(year AS VARCHAR)) AS cve, {sql_title_key('title')} AS name, {_org('organisme')} AS org, {_org('title')} AS org_title,
+   {sql_title_key("concat(title, ' text del document ', document_number)")} AS body FROM legal_docs),
+m AS (SELECT t.target_id, d.document_id, d.ord, CASE WHEN length(d.name) >= 15 AND contains(t.body, d.name) THEN 1 WHEN t.rec <> '' AND d.name <> '' AND (contains(t.rec, d.name) OR contains(d.name, t.rec)) THEN 2
+    WHEN regexp_extract(t.text, 'CVE-DOGC-[A-Z]-\\d+-\\d+') = d.cve THEN 3
+    WHEN t.inst <> '' AND (contains(d.org, t.inst) OR contains(t.inst, d.org) OR contains(d.org_title, t.inst)) AND len(list_filter(string_split(t.rec, ' '), lambda w: length(w) >= 5 AND contains(d.body, w))) > 0 THEN 4 END AS strategy
+  FROM t JOIN d USING (issue))
+SELECT target_id, arg_min(document_id, (strategy, ord)) AS matched_id, CAST(min(strategy) AS INT) AS strategy FROM m WHERE strategy IS NOT NULL GROUP BY target_id""")
 def _(t):
     return match.issue_match(*issue_inputs(t))
 
@@ -128,7 +140,7 @@ def issue_inputs(t):
     targets = d.select(F.col("document_id").alias("target_id"), F.col("dogc_number").alias("issue"), F.when(k == 0, F.concat(F.lit("Publicat: "), "title", F.lit(". Fi")))
                        .when(k == 2, F.concat(F.lit("Codi CVE-DOGC-A-"), F.col("document_id").cast("string"), F.lit("-"), "year")).otherwise("res").alias("text"),
                        F.when(k == 1, F.concat(F.lit("Resum de "), "title")).otherwise(F.concat(F.lit("Aprovacio disposicions "), "section")).alias("record_title"),
-                       F.when(k == 3, F.col("organisme")).otherwise("").alias("institucio"))
+                       F.when(k == 3, F.when(F.col("document_id") % 8 == 3, F.col("organisme")).otherwise(F.concat("organisme", F.lit(" i comarca")))).otherwise("").alias("institucio"))
     return targets, docs
 
 

@@ -182,6 +182,8 @@ ISSUE_TITLE_STOPWORDS = ["ley", "decreto", "orden", "parcial", "modificación"]
 ISSUE_WINDOW = (200, 500, 100, 800)
 ISSUE_NEXT_HEADER = r"\n\s*#*\s*(?:LEY|DECRETO|ORDEN|RESOLUCIÓN|EDICTO|ANUNCIO|CVE|SUMARIO)\b"
 
+CVE_CODE = r"(CVE-DOGC-[A-Z]-\d+-\d+)"
+
 # ---- fixed values: candidate scoring --------------------------------------------------
 PLAIN_NUMBER = r"^\d{1,4}/\d{4}$"
 TEXT_NUMBER = r"(?U)\b(\d{1,4}/\d{4})\b"

@@ -106,10 +106,11 @@ def test_issue_match_strategies(spark):
         ("8", 3, 2, "ANUNCI de licitacio d'obres municipals", "Ajuntament de Vic", "", "")], "issue string, document_id int, ord int, title string, organisme string, cve string, text string")
     t = spark.createDataFrame([
         (1, "9", "Butlletí. Anunci de licitació: de licitacio d'obres municipals, fi", "", ""), (2, "9", "", "Edicte sobre taxes del municipi", ""),
-        (3, "9", "codi CVE-DOGC-A-123-2020", "res", ""), (4, "9", "res", "Reforma del clavegueram", "Ajuntament de Vic"), (5, "7", "sobre taxes", "sobre taxes", "")],
+        (3, "9", "codi CVE-DOGC-A-123-2020", "zzz", ""), (6, "9", "", "res", ""), (7, "9", "", "Reforma del clavegueram", "Ajuntament de Vic i comarca"), (4, "9", "zzz", "Reforma del clavegueram", "Ajuntament de Vic"), (5, "7", "sobre taxes", "sobre taxes", "")],
         "target_id int, issue string, text string, record_title string, institucio string")
     got = {r["target_id"]: (r["matched_id"], r["strategy"]) for r in match.issue_match(t, docs).collect()}
-    assert got == {1: (1, 1), 2: (2, 2), 3: (2, 3), 4: (1, 4)}
+    # containment is by substring: 'res' is in 'obres'
+    assert got == {1: (1, 1), 2: (2, 2), 3: (2, 3), 4: (1, 4), 6: (1, 2), 7: (1, 4)}
 
 
 def _edges(spark, affs, docs, secs):
