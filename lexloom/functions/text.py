@@ -85,16 +85,16 @@ def entity_key(c):
 def eli_key(c):
     """PRJ5: identifier path without scheme, host, leading 'eli/' and trailing '/dof…'."""
     c = F.trim(F.lower(F.coalesce(col(c), F.lit(""))))
-    c = F.regexp_replace(c, r"^https?://[^/]+/", "")
-    c = F.regexp_replace(c, r"^/?(?:eli/)?", "")
-    c = F.regexp_replace(c, r"/dof(?:/.*)?$", "")
+    c = F.regexp_replace(c, rules.PATH_HOST, "")
+    c = F.regexp_replace(c, rules.PATH_LEAD, "")
+    c = F.regexp_replace(c, rules.PATH_TAIL, "")
     return F.regexp_replace(c, r"^/+|/+$", "")
 
 
 def section_key(c):
     """PRJ6: compact section title, e.g. 'Artículo 1' and 'Article 1' -> 'article1'."""
     c = F.lower(F.coalesce(col(c), F.lit("")))
-    for word in ("artículo", "articulo", "art."):
+    for word in rules.ARTICLE_SPELLINGS:
         c = F.replace(c, F.lit(word), F.lit("article"))
     return F.regexp_replace(fold_accents(c), "[^a-z0-9]", "")
 
@@ -102,9 +102,8 @@ def section_key(c):
 def section_words(c):
     """PRJ7: section title as words, with synonyms reduced to art / sec / annex."""
     c = F.trim(F.lower(F.coalesce(col(c), F.lit(""))))
-    c = F.regexp_replace(c, r"(?U)\b(artículo|articulo|article|art|art\.)\b", "art")
-    c = F.regexp_replace(c, r"(?U)\b(sección|seccion|section|sec|sec\.)\b", "sec")
-    c = F.regexp_replace(c, r"(?U)\b(anexo|annex|an\.)\b", "annex")
+    for pattern, word in rules.SECTION_SYNONYMS:
+        c = F.regexp_replace(c, pattern, word)
     return squeeze(F.regexp_replace(c, r"(?U)[^\w\s]", ""))
 
 
@@ -143,15 +142,9 @@ def descriptor_name(c):
     return F.trim(F.regexp_replace(col(c), r"\s*\(\d+\)\s*$", ""))
 
 
-_LEAD_PHRASE = (r"(?iU)^(?:artículos?|articulo|article|art\.|arts\.|sección|seccion|sec\.|"
-                r"disposición\s+[\wªº]+|disposicio\s+[\wªº]+|anexo|annex)\s*[\d\w\s.,/\-ªº]*"
-                r"\s+(?:del|de\s+la|de\s+los|de\s+las|de|d'|d’)\s*")
-_LEAD_CONNECTOR = r"(?iU)^\s+(?:del|de\s+la|de\s+los|de\s+las|de|d'|d’)\s*"
-
-
 def clean_cited_title(title, article=None):
     """PRJ27: drop a leading 'article N of the …' phrase from a cited title."""
-    s = F.trim(F.regexp_replace(F.trim(F.coalesce(col(title), F.lit(""))), _LEAD_PHRASE, ""))
+    s = F.trim(F.regexp_replace(F.trim(F.coalesce(col(title), F.lit(""))), rules.LEAD_PHRASE, ""))
     if article is None:
         return s
     art = F.coalesce(col(article), F.lit(""))
@@ -159,8 +152,8 @@ def clean_cited_title(title, article=None):
     rest = F.substring(s, F.length(art) + 1, F.length(s))
     hit = ((art_words != "") & F.startswith(section_words(s), art_words)
            & (F.lower(F.substring(s, F.lit(1), F.length(art))) == F.lower(art))
-           & rest.rlike(_LEAD_CONNECTOR))
-    return F.when(hit, F.trim(F.regexp_replace(rest, _LEAD_CONNECTOR, ""))).otherwise(s)
+           & rest.rlike(rules.LEAD_CONNECTOR))
+    return F.when(hit, F.trim(F.regexp_replace(rest, rules.LEAD_CONNECTOR, ""))).otherwise(s)
 
 
 def bilingual(*cols):

@@ -168,7 +168,7 @@ def affected_from_source(df, keep, text="text", ref="doc_ref"):
         ((num != "") & F.lower(F.concat_ws(" ", r["t"], r["v"])).contains(num)) | ((want != "") & F.lower(F.concat_ws(" ", r["t"], r["v"])).contains(want))))
     skip = (_any_word(low, rules.OTHER_LAW_WORDS) | others) & ~names_target
     arts = affected_sections("clause")
-    n = F.regexp_extract(low, r"(?U)\b(?:annex|anexo)\s*(\d+)\b", 1)
+    n = F.regexp_extract(low, rules.ANNEX_NUMBER, 1)
     extra = F.array_compact(F.array(
         F.when(_any_word(low, rules.PREAMBLE_WORDS), "Preamble"), F.when(_any_word(low, rules.SIGNATURE_WORDS), "Signature"),
         F.when(_any_word(low, rules.ANNEX_WORDS) & ~F.exists(arts, lambda a: a.startswith("Annex ")),
@@ -179,7 +179,7 @@ def affected_from_source(df, keep, text="text", ref="doc_ref"):
 # ---- CIT6 - CIT9: national references ----------------------------------------------------------------
 def reference_keys(refs, text="text"):
     """Search keys of an editorial reference: law numbers and named codes."""
-    nums = F.regexp_extract_all(text, F.lit(f"({rules.NATIONAL_LAW_NUMBER[4:]})"), F.lit(1))
+    nums = F.regexp_extract_all(text, F.lit(rules.REFERENCE_NUMBER), F.lit(1))
     codes = F.array_compact(F.array(*[F.when(_or_contains(F.col(text), marks), name) for name, marks in rules.NAMED_CODES]))
     return refs.withColumn("key", F.explode(F.array_distinct(F.concat(nums, codes))))
 
@@ -197,7 +197,7 @@ def block_keys(blocks, keep, text="text"):
     '5/1999' also occurs inside '15/19991', so each number yields its left suffixes with
     the first four digits of its right part.
     """
-    nums = F.regexp_extract_all(text, F.lit(r"(\d+/\d{4})"), F.lit(1))
+    nums = F.regexp_extract_all(text, F.lit(rules.BLOCK_NUMBER), F.lit(1))
     variants = F.flatten(F.transform(nums, lambda n: F.transform(F.sequence(F.lit(1), F.length(F.split_part(n, F.lit("/"), F.lit(1)))),
                                                                   lambda i: F.substring(n, i, F.length(n)))))
     codes = F.array_compact(F.array(*[F.when(F.col(text).contains(name), name) for name, _ in rules.NAMED_CODES]))

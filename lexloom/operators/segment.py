@@ -19,7 +19,7 @@ def _chapter_label(title, heading):
 def classify(df, text="text", html=False):
     """Header kind, title, heading and chapter label of each paragraph, in fixed priority."""
     c = F.col(text)
-    article = rules.ARTICLE_HEADER.replace(r"\s+\b(", r"\s+(").replace(r")\b\.?\s*(.*)", r")\.?\s*(.*)") if html else rules.ARTICLE_HEADER
+    article = rules.ARTICLE_HEADER_HTML if html else rules.ARTICLE_HEADER
     signature = rules.SIGNATURE_HEADER_HTML if html else rules.SIGNATURE_HEADER
     kind = F.when(c.rlike(rules.CHAPTER_HEADER), "chapter").when(c.rlike(article), "article")
     if html:

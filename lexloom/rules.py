@@ -115,6 +115,8 @@ NATIONAL_ARTICLE_BEFORE = (r"(?iU)\b(?:art(?:ículos?|ículo|\.)?|apartados?|dis
                            r"adicional(?:es)?)\s+([0-9a-zA-ZáéíóúÁÉÍÓÚñÑ.()\s,y\-]+?)"
                            r"\s+(?:de\s+la|de\s+lo|del|de|en|para)\s+$")
 NATIONAL_LAW_NUMBER = r"(?U)\b\d+/\d{4}\b"
+REFERENCE_NUMBER = r"(\b\d+/\d{4}\b)"
+BLOCK_NUMBER = r"(\d+/\d{4})"
 NATIONAL_SIGNATURE = (r"\b(Ley\s+Orgánica|Ley|Real\s+Decreto-ley|Real\s+Decreto|Decreto-ley|Decreto|"
                       r"Orden\s+[A-Z]+(?:/[A-Z0-9]+)?|Orden|Resolución)\s+(?:n.º\s+)?(\d+/\d{4})\b")
 NAMED_CODES = [("Constitución", ["Constitución", "C.E."]),
@@ -151,8 +153,10 @@ DISPOSITION_HEADER = (r"(?iU)^\s*(Disposició|Disposición)\s+(adicional|addicio
 ANNEX_HEADER = r"(?iU)^\s*(Annex|Anexo)\s*(\d*|\b[I|V|X|L|C]+\b)?\.?\s*(.*)"
 SIGNATURE_HEADER = (r"(?iU)^\s*(Barcelona|Palau de la Generalitat|Palacio de la Generalitat|Madrid|"
                     r"Girona|Lleida|Tarragona)\b.*,\s*[^0-9]*\d+\s+(?:de\s+|d')?\w+\s+de(?:l)?\s+\d{4}")
-SIGNATURE_HEADER_HTML = SIGNATURE_HEADER.replace(
-    "Palacio de la Generalitat|", "Palacio de la Generalidad|Palacio de la Generalitat|")
+SIGNATURE_HEADER_HTML = (r"(?iU)^\s*(Barcelona|Palau de la Generalitat|Palacio de la Generalidad|Palacio de la Generalitat|Madrid|"
+                         r"Girona|Lleida|Tarragona)\b.*,\s*[^0-9]*\d+\s+(?:de\s+|d')?\w+\s+de(?:l)?\s+\d{4}")
+ARTICLE_HEADER_HTML = (r"(?iU)^\s*(Article|Artículo|Art\.)\s+(único|únic|" + ORDINALS +
+                       r"|\d+[\w\-]*)\.?\s*(.*)")
 RESOLUTION_HEADER = r"(?iU)^\s*(" + ORDINALS + r")\s*[.\-:]\s*(.*)"
 ARTICLE_NUMBERS = {"primer": "1", "primero": "1", "segon": "2", "segundo": "2", "tercer": "3",
                    "tercero": "3", "quart": "4", "cuarto": "4", "cinquè": "5", "quinto": "5"}
@@ -229,3 +233,17 @@ METADATA_KEYS = {"Tipus de document": "typeOfLaw", "Data del document": "documen
 # ---- fixed values: accent folding (letters whose base form is ASCII) --------------------
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝºª"
 UNACCENTED = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUYoa"
+
+# ---- fixed values: identifier paths, section titles, lead phrases of cited titles, annex numbers ------
+PATH_HOST = r"^https?://[^/]+/"
+PATH_LEAD = r"^/?(?:eli/)?"
+PATH_TAIL = r"/dof(?:/.*)?$"
+ARTICLE_SPELLINGS = ["artículo", "articulo", "art."]
+SECTION_SYNONYMS = [(r"(?U)\b(artículo|articulo|article|art|art\.)\b", "art"),
+                    (r"(?U)\b(sección|seccion|section|sec|sec\.)\b", "sec"),
+                    (r"(?U)\b(anexo|annex|an\.)\b", "annex")]
+LEAD_PHRASE = (r"(?iU)^(?:artículos?|articulo|article|art\.|arts\.|sección|seccion|sec\.|"
+               r"disposición\s+[\wªº]+|disposicio\s+[\wªº]+|anexo|annex)\s*[\d\w\s.,/\-ªº]*"
+               r"\s+(?:del|de\s+la|de\s+los|de\s+las|de|d'|d’)\s*")
+LEAD_CONNECTOR = r"(?iU)^\s+(?:del|de\s+la|de\s+los|de\s+las|de|d'|d’)\s*"
+ANNEX_NUMBER = r"(?U)\b(?:annex|anexo)\s*(\d+)\b"
