@@ -50,28 +50,44 @@ def bfs(edges, start, limit):
     return visited
 
 
-def bfs_sized(edges, start, nodes, target_bytes, max_nodes):
+def bfs_sized(edges, start, nodes, target_bytes, max_nodes, edge_bytes=None):
     """GRF3: as ``bfs``, sections first inside a level, until the serialised size of the
-    collected nodes reaches the target or the node cap is met.
+    collected nodes and of the edges between them reaches the target or the node cap is met.
 
-    nodes: id, is_section, n_bytes.
+    nodes: id, is_section, n_bytes. An edge counts with the later of its ends; its size is
+    that of its JSON text unless ``edge_bytes`` gives it.
     """
     adj = cut(both_ways(edges))
+    size_of = edge_bytes if edge_bytes is not None else F.length(F.to_json(F.struct("src", "dst", "type"))).cast("long")
+    sized = cut(edges.select("src", "dst", size_of.alias("_bytes")))
     cols = ["id", "is_section", "n_bytes"]
     info = nodes.select(*cols)
+
+    def with_edges(place):
+        """Bytes of the edges that each place (1, 2, ...) closes; place 0 holds what is settled."""
+        end = lambda c, p: place.select(F.col("id").alias(c), F.col("_place").alias(p))
+        e = sized.join(end("src", "_a"), "src").join(end("dst", "_b"), "dst")
+        return e.groupBy(F.greatest("_a", "_b").alias("_place")).agg(F.sum("_bytes").alias("_edges"))
+
     visited = cut(info.join(start.select("id").distinct(), "id", "left_semi").withColumn("level", F.lit(0)))
+    settled = visited.select("id", F.lit(0).cast("long").alias("_place"))
     n, size = visited.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
+    size += with_edges(settled).agg(F.coalesce(F.sum("_edges"), F.lit(0))).first()[0]
     level = 0
     while n < max_nodes and size < target_bytes:
         found = info.join(_next_level(adj, visited, level), "id", "left_semi")
-        ranked = global_scan(found, [F.col("is_section").desc(), F.col("id")], {"cum": "n_bytes"})
+        ranked = cut(global_scan(found, [F.col("is_section").desc(), F.col("id")], {}, "_place"))
+        closed = with_edges(settled.unionByName(ranked.select("id", "_place")))
+        ranked = ranked.join(closed, "_place", "left").withColumn("_all", F.col("n_bytes") + F.coalesce("_edges", F.lit(0)))
+        ranked = global_scan(ranked, [F.col("_place")], {"cum": "_all"})
         # a node is still added while the size before it is under the target
-        ranked = cut(ranked.filter((F.col("rank") <= max_nodes - n) & (F.col("cum") - F.col("n_bytes") + size < target_bytes)))
-        k, more = ranked.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
+        ranked = cut(ranked.filter((F.col("rank") <= max_nodes - n) & (F.col("cum") - F.col("_all") + size < target_bytes)))
+        k, more = ranked.agg(F.count(F.lit(1)), F.coalesce(F.sum("_all"), F.lit(0))).first()
         if k == 0:
             break
         level += 1
         visited = cut(visited.unionByName(ranked.select(*cols).withColumn("level", F.lit(level))))
+        settled = visited.select("id", F.lit(0).cast("long").alias("_place"))
         n, size = n + k, size + more
     return visited
 

@@ -78,3 +78,14 @@ def test_refresh_is_idempotent(spark, tmp_path):
     assert run("c1").count() == 10
     assert run("c1").count() == 10
     assert run("c2").count() == 10  # a lost checkpoint replays everything and adds nothing
+
+
+def test_bulk_csv_files_encode_lists_and_objects(spark, tmp_path):
+    n = spark.createDataFrame([(1, ["A", "B"], (["x, y", 'z"'], None, 5, None)), (2, ["A"], (None, {"k": "v"}, None, None))], "id int, labels array<string>, props struct<tags:array<string>,more:map<string,string>,n:int,unused:string>")
+    e = spark.createDataFrame([(1, 2, "X", {"l": [1, 2]})], "src int, dst int, type string, props map<string,array<int>>")
+    writers.write_bulk_csv(n, e, str(tmp_path))
+    read = lambda name: [r.asDict() for r in spark.read.options(header=True, escape='"').csv(str(tmp_path / name)).collect()]
+    assert sorted(read("nodes"), key=lambda r: r["id:ID"]) == [
+        {"id:ID": "1", ":LABEL": "A;B", "more": None, "n": "5", "tags": json.dumps(["x, y", 'z"'], separators=(",", ":"))},
+        {"id:ID": "2", ":LABEL": "A", "more": '{"k":"v"}', "n": None, "tags": None}]
+    assert read("relationships") == [{":START_ID": "1", ":END_ID": "2", ":TYPE": "X", "l": "[1,2]"}]
