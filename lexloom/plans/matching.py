@@ -210,20 +210,26 @@ def _(t):
     return match.candidate_targets(texts, t.legal_docs)
 
 
-@query("jon17_candidate_targets_item", """
+SQL_ITEM_TARGETS = """
 WITH d AS (SELECT document_id, ingest_ord, document_number AS num, dogc_number AS gaz, lower(coalesce(type, '')) AS typ, concat(date_dogc, ' ', title, ' ', document_number) AS hay FROM legal_docs),
 q AS (SELECT DISTINCT document_number AS qn, dogc_number AS qg, lower(doc_type) AS qt, year AS qy FROM items),
 a AS (SELECT q.*, d.document_id, ingest_ord, d.num, d.gaz, d.typ, d.hay FROM q JOIN d ON d.num = q.qn AND q.qn <> '' UNION SELECT q.*, d.document_id, ingest_ord, d.num, d.gaz, d.typ, d.hay FROM q JOIN d ON d.gaz = q.qg AND q.qg <> ''),
 s AS (SELECT *, CASE WHEN qn <> '' AND qn = num THEN 100 ELSE 0 END + CASE WHEN qg <> '' AND qg = gaz THEN 90 ELSE 0 END + CASE WHEN contains(typ, qt) THEN 30 ELSE 0 END AS score FROM a WHERE contains(hay, qy) OR qy NOT IN (SELECT DISTINCT CAST(year AS VARCHAR) FROM legal_docs)),
 r AS (SELECT *, row_number() OVER (PARTITION BY qn, qg, qt, qy ORDER BY score DESC, ingest_ord) AS rk FROM s)
-SELECT i.source_id, i.item_no, CAST(r.rk AS INT) AS rank, r.document_id, r.score FROM items i JOIN r ON r.qn = i.document_number AND r.qg = i.dogc_number AND r.qt = lower(i.doc_type) AND r.qy = i.year WHERE r.rk <= 10""")
+SELECT i.source_id, i.item_no, CAST(r.rk AS INT) AS rank, r.document_id, r.score FROM items i JOIN r ON r.qn = i.document_number AND r.qg = i.dogc_number AND r.qt = lower(i.doc_type) AND r.qy = i.year WHERE r.rk <= 10"""
+
+
+@query("jon17_candidate_targets_item", SQL_ITEM_TARGETS)
 def _(t):
     return match.candidates_for_items(t.items, t.legal_docs)
 
 
-@query("jon17_candidate_sections")
+@query("jon17_candidate_sections", f"""SELECT source_id, item_no, CAST(k AS INT) AS section_rank, document_id, section_id, is_precise FROM (
+ SELECT *, row_number() OVER (PARTITION BY source_id, item_no ORDER BY is_precise DESC, rank, ord) AS k FROM (
+  SELECT c.source_id, c.item_no, c.rank, c.document_id, s.section_id, s.ord, starts_with(replace(lower(s.title), 'article', 'art'), replace(lower(i.article_or_section), 'article', 'art')) AS is_precise
+  FROM ({SQL_ITEM_TARGETS}) c JOIN items i USING (source_id, item_no) JOIN legal_sections s USING (document_id))) WHERE k <= 25""")
 def _(t):
-    return match.candidate_sections(match.candidates_for_items(t.items, t.legal_docs, 3), t.items, t.legal_sections)
+    return match.candidate_sections(match.candidates_for_items(t.items, t.legal_docs), t.items, t.legal_sections)
 
 
 @query("jon18_resolve_entity", """
