@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from lexloom import rules
-from lexloom.operators.ordered import top_k
+from lexloom.operators.ordered import split_row_number, top_k
 
 
 def quotas(total, norm_ratio, gazette_ratio):
@@ -51,5 +51,7 @@ def valid_pool(df, per_bucket=60, tested=2000, seed=42, ident="unit_id"):
     """SMP2: reachable units of one or two pages, among the first ``tested`` per bucket in
     hash order, at most ``per_bucket`` of them."""
     d = with_bucket(df).withColumn("_h", _hash(ident, seed))
-    d = top_k(d, ["_norm", "_gaz"], ["_h", ident], tested, "_t").filter(F.col("reachable") & F.col("pages").between(1, 2))
+    # ranks in 1024 slices of the hash and their sizes before, as a bucket may hold most units
+    d = split_row_number(d, ["_norm", "_gaz"], [F.floor(F.col("_h") / (1 << 54))], ["_h", ident], "_t")
+    d = d.filter((F.col("_t") <= tested) & F.col("reachable") & F.col("pages").between(1, 2))
     return top_k(d, ["_norm", "_gaz"], ["_t"], per_bucket, "_n").drop("_h", "_t", "_n")
