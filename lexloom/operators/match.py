@@ -505,7 +505,6 @@ def resolve_entities(items, docs, keys=("source_id", "item_no")):
                                        ("title", "title", title), ("gazette", "gazette", tx.entity_key("dogc_number"))])
     rest = out.filter(F.col("matched_id").isNull()).withColumns({"_t": title, "_g": F.lit(1)}).filter(F.length("_t") > 10)
     d = docs.select("document_id", "ingest_ord", tx.entity_key("title").alias("_title"), F.lit(1).alias("_g"))
-    # a number is the most telling token of a title, so containment is looked up through it
     s = first_strategy([(1, contained_titles(rest, d, ["_g"], "_row", "_t", "_title", "document_id", "ingest_ord")),
                         (1, contained_in(rest, d, ["_g"], "_row", "_t", "document_id", "_title", "ingest_ord"))], "_row")
     out = out.join(s.select("_row", F.col("matched_id").alias("_sub")), "_row", "left")
