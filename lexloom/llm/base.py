@@ -30,7 +30,7 @@ def _ship(sc):
     sc._lexloom_shipped = True
 
 
-def small_batches(spark, rows=2000, size="16m"):
+def small_batches(spark, rows=2000, size="8m"):
     """Arrow batches bounded by rows and bytes, so that a task's memory doesn't follow the length of its texts."""
     tune(spark)
     _ship(spark.sparkContext)

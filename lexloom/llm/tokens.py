@@ -9,8 +9,9 @@ from array import array
 import numpy as np
 
 END = 0  # id behind every document
-_HELD = 1_000_000  # pieces kept by a worker
-_HELD_IDS = 8_000_000
+_HELD = 500_000  # pieces kept by a worker
+_HELD_IDS = 4_000_000
+_PART = 1 << 21  # characters cut into pieces at a time
 _MARK = "\x01"
 _MARKS = (",", ".", "\n")
 # Where none of these occurs and every piece is a plain word or mark, no cut can matter.
@@ -75,6 +76,18 @@ class Encoder:
 
     def encode(self, texts):
         """(all ids, END behind each text; where each text starts, one entry more than texts)."""
+        parts, held, size = [], [], 0
+        for t in texts:
+            if held and size + len(t) > _PART:
+                parts.append(self._encode_part(held))
+                held, size = [], 0
+            held.append(t)
+            size += len(t)
+        parts.append(self._encode_part(held))
+        lengths = np.concatenate([np.diff(at) for _, at in parts])
+        return np.concatenate([ids for ids, _ in parts]), np.concatenate(([0], np.cumsum(lengths))).astype(np.int64)
+
+    def _encode_part(self, texts):
         pieces = [None] * len(texts)
         if self.cuts:
             fine = [not any(x in t for x in _NEAR) for t in texts]
