@@ -93,7 +93,11 @@ def survivors(docs, shingle=SHINGLE, radius=RADIUS):
     Ties (rows that share that doc_id) go to the smallest text hash; repeated rows leave one. A NULL doc_id counts as
     larger than any.
     """
-    marked = groups(cut(fingerprints(docs, shingle)), radius)
+    return first_of_component(docs, groups(cut(fingerprints(docs, shingle)), radius))
+
+
+def first_of_component(docs, marked):
+    """The rows of docs that survivors keeps, by marked (doc_id, text_key, fp, component_id)."""
     first = Window.partitionBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp"))).orderBy(F.col("doc_id").asc_nulls_last(), "text_key")
     keep = marked.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"))
     rows = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_k")), "left_semi")
