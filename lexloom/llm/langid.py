@@ -19,6 +19,7 @@ from lexloom.llm.base import small_batches, texts, with_columns
 
 PROFILE = 300
 MAX_LANGUAGES = 8192  # bound of the collected profiles: PROFILE rows for each language
+FLOOR_ROWS = 100  # texts that a floor of scores is taken from, at least
 UNKNOWN = "und"
 _EDGE = 1  # stands for a word boundary; a control character, so never a letter
 _CHUNK = 1 << 20
@@ -150,6 +151,16 @@ def predict(docs, profiles, lang="lang_pred", score="score", profile=PROFILE):
     return docs.mapInArrow(task, T.StructType([*docs.schema.fields, T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())]))
 
 
+def floor_of(scored, score="score"):
+    """Lowest score of a text in a learned language, by the scores of all labelled texts; 0 from fewer than FLOOR_ROWS.
+
+    It lies as far under their lowest hundredth as that lies under the median, so that a few wrong labels change nothing.
+    Floors by length would be tighter, but lose clean texts that the labelled ones of their length don't resemble.
+    """
+    (low, middle), n = scored.agg(F.coalesce(F.percentile_approx(score, [0.01, 0.5], 10000), F.array(F.lit(0.0), F.lit(0.0))), F.count(F.lit(1))).first()
+    return max(0.0, 2 * low - middle) if n >= FLOOR_ROWS else 0.0
+
+
 def held_out(doc_id="doc_id"):
     """Documents kept from training: crc32 of the id as text divisible by 5. A NULL id counts as empty text, held out."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 0
