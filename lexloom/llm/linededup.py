@@ -3,8 +3,8 @@
 Every position of every document's line sequence is named by the first position of the corpus where the same line starts;
 then by the first position of the same two lines, four, eight and so on, from the names of both halves. A name that
 several positions share is an interval of the suffix order whose common prefix has that many lines at least. Positions
-whose run is unique drop out, so later rounds hold repeated suffixes only, and the rounds end with the longest repeated
-run. Native column expressions only.
+whose run is unique drop out, so later rounds hold repeated suffixes only. The names of a run's first and last 2^k lines
+name runs of every length; the rounds end with the longest run that needs a name. Native column expressions only.
 """
 
 from pyspark.sql import Window
@@ -27,32 +27,67 @@ def _repeated(rows, keys):
     return rows.join(classes, keys)
 
 
+def _windows(level, min_chars):
+    """The shortest runs of min_chars or more characters from each line on, and up to each line: doc_id, text_key, s, n.
+
+    Only runs of neighbouring repeated lines count. Any longer run is covered by these inside it: a line before which it
+    has enough characters ends such a run, and the others lie in the one that starts it.
+    """
+    doc = ["doc_id", "text_key"]
+    order = Window.partitionBy(*doc).orderBy("i")
+    rows = level.select(*doc, "i", "chars").distinct().withColumn("island", F.col("i") - F.row_number().over(order))
+    rows = rows.withColumn("after", F.sum("chars").over(Window.partitionBy(*doc, "island").orderBy("i"))).withColumn("before", F.col("after") - F.col("chars"))
+    event = lambda way, value, entry, asks: F.struct(F.lit(way).alias("way"), value.alias("value"), entry.alias("entry"), asks.alias("asks"))
+    none, need = F.lit(None).cast("int"), F.lit(min_chars)
+    events = rows.select(*doc, "island", F.inline(F.array(
+        event(0, -F.col("after"), -F.col("i"), none), event(0, -(F.col("before") + need), none, F.col("i")),
+        event(1, F.col("before"), F.col("i"), none), event(1, F.col("after") - need, none, F.col("i")))))
+    reach = F.max("entry").over(Window.partitionBy(*doc, "island", "way").orderBy("value", F.col("asks").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    found = events.withColumn("at", reach).filter("asks IS NOT NULL AND at IS NOT NULL")
+    forward = F.col("way") == 0
+    start = F.when(forward, F.col("asks")).otherwise(F.least("at", "asks"))
+    end = F.when(forward, F.greatest(-F.col("at"), F.col("asks"))).otherwise(F.col("asks")) + 1
+    return found.select(*doc, start.alias("s"), (end - start).alias("n")).distinct()
+
+
 def repeated_runs(docs, min_chars=MIN_CHARS):
     """Maximal runs of lines to delete: doc_id, text_key, run_start, run_end (line numbers from 0, end excluded).
 
-    A line goes if it lies in a run of 1, 2, 4, 8, ... lines that holds at least min_chars characters and also starts at an
+    A line goes if it lies in a run of any number of lines that holds at least min_chars characters and also starts at an
     earlier position: in a document with a smaller doc_id, or higher up in the same. Lines count as equal without blanks,
     tabs and carriage returns at their ends. Names are exact but for lines with equal 128-bit hashes. Documents that share
     a doc_id are not earlier than each other. Empty lines are lines; NULL texts have none; an empty table gives none.
+
+    Runs of n lines are equal where the names of their first and last 2^k lines are, 2^k the largest power up to n.
     """
     tune(docs.sparkSession)
     line = F.btrim(F.col("line"), F.lit(" \t\r"))
     lines = cut(docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n")).alias("i", "line"))
                 .select("doc_id", "text_key", "i", F.xxhash64(line).alias("h"), F.xxhash64(F.lit(7), line).alias("h2"), F.length(line).cast("long").alias("chars"), _position(F.col("doc_id"), F.col("i")).alias("pos")))
-    keep = ["doc_id", "text_key", "i", "pos", "chars", "h", "first"]
-    level, size, marks = cut(_repeated(lines, ["h", "h2"]).select(*keep)), 1, []
-    while not level.isEmpty():
-        marks.append(level.filter((F.col("chars") >= min_chars) & (F.col("first") < F.col("pos"))).select("doc_id", "text_key", F.col("i").alias("s"), (F.col("i") + size).alias("e")))
+    keep = ["doc_id", "text_key", "i", "pos", "h", "first"]
+    level = cut(_repeated(lines, ["h", "h2"]).select(*keep, "chars"))
+    windows = cut(_windows(level, min_chars))
+    longest, size, spans = windows.agg(F.max("n")).first()[0] or 0, 1, []
+    while size <= longest and not level.isEmpty():
+        name = lambda c: level.select("doc_id", "text_key", F.col("i").alias(c), F.struct("first", "h").alias(f"{c}_name"), *([F.col("pos")] if c == "s" else [])).distinct()
+        same = lambda x, y, c: x["doc_id"].eqNullSafe(y["doc_id"]) & (x["text_key"] == y["text_key"]) & (x[c] == y[c])
+        asked, heads, tails = windows.filter((F.col("n") >= size) & (F.col("n") < size * 2)).withColumn("t", F.col("s") + F.col("n") - size), name("s"), name("t")
+        runs = asked.join(heads, same(asked, heads, "s")).select(*[asked[c] for c in asked.columns], "s_name", "pos")
+        runs = runs.join(tails, same(runs, tails, "t")).select(*[runs[c] for c in runs.columns], "t_name")
+        runs = _repeated(runs.drop("t").withColumnsRenamed({"s_name": "a", "t_name": "b"}), ["n", "a", "b"])
+        spans.append(cut(runs.filter(F.col("first") < F.col("pos")).select("doc_id", "text_key", "s", (F.col("s") + F.col("n")).alias("e"))))
         ahead = Window.partitionBy("doc_id", "text_key").orderBy("i").rangeBetween(size, size)
-        pairs = (level.select("*", *[F.first_value(c).over(ahead).alias(f"{c}2") for c in ("first", "chars", "h")]).filter("first2 IS NOT NULL")
-                 .select("doc_id", "text_key", "i", "pos", (F.col("chars") + F.col("chars2")).alias("chars"), F.xxhash64("h", "h2").alias("h"), F.col("first").alias("a"), F.col("first2").alias("b")))
-        level, size = cut(_repeated(pairs, ["a", "b", "h"]).select(*keep)), size * 2
-    if not marks:
+        if size * 2 <= longest:
+            pairs = (level.select("*", *[F.first_value(c).over(ahead).alias(f"{c}2") for c in ("first", "h")]).filter("first2 IS NOT NULL")
+                     .select("doc_id", "text_key", "i", "pos", F.xxhash64("h", "h2").alias("h"), F.col("first").alias("a"), F.col("first2").alias("b")))
+            level = cut(_repeated(pairs, ["a", "b", "h"]).select(*keep))
+        size *= 2
+    if not spans:
         return lines.select("doc_id", "text_key", F.col("i").alias("run_start"), F.col("i").alias("run_end")).limit(0)
-    spans = marks[0]
-    for m in marks[1:]:
-        spans = spans.unionByName(m)
-    spans = spans.groupBy("doc_id", "text_key", "s").agg(F.max("e").alias("e"))
+    marks = spans[0]
+    for m in spans[1:]:
+        marks = marks.unionByName(m)
+    spans = marks.groupBy("doc_id", "text_key", "s").agg(F.max("e").alias("e"))
     order = Window.partitionBy("doc_id", "text_key").orderBy("s")
     spans = spans.withColumn("reach", F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1)))
     spans = spans.withColumn("run", F.sum(F.when(F.col("s") <= F.col("reach"), 0).otherwise(1)).over(order))
