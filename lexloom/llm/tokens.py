@@ -24,11 +24,11 @@ _ODD_MARKS = re.compile(r"[,.][^\s\w]|[^\w][,.]|_[,.]|[,.]_|\A[,.]|\n\s|\s\n|\A\
 
 
 class Encoder:
-    """ids of texts, equal to the library's encode_batch(texts, add_special_tokens=False) with special strings as text.
+    """ids of texts, equal to the library's encode_batch(texts, add_special_tokens=False).
 
     For byte-level tokenizers texts are cut where no token can span, mostly before spaces, and each distinct piece is
     encoded once by the library. The pieces held are bounded; beyond that they are forgotten. Other tokenizers, and texts
-    where a cut could matter, are encoded whole.
+    where a cut could matter or that hold an added token's string, are encoded whole.
     """
 
     def __init__(self, path):
@@ -36,7 +36,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.added = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
         kind = repr(self.library.pre_tokenizer)
         self.cuts = self.library.normalizer is None and kind.startswith("ByteLevel(") and "add_prefix_space=False" in kind and "use_regex=True" in kind
         line = self._encode(["\n"])[0]
@@ -90,11 +90,14 @@ class Encoder:
     def _encode_part(self, texts):
         pieces = [None] * len(texts)
         if self.cuts:
-            fine = [not any(x in t for x in _NEAR) for t in texts]
+            held = [any(x in t for x in self.added) for t in texts]
+            fine = [not h and not any(x in t for x in _NEAR) for h, t in zip(held, texts)]
             pieces = [t.replace(" ", "\x01 ").replace(",", "\x01,").replace(".", "\x01.").replace("\n", "\x01\n\x01").split(_MARK) if f else None for t, f in zip(texts, fine)]
             self._learn({k for p in pieces if p for k in p} - {""})
             for i, t in enumerate(texts):
-                if not fine[i] or not self.dirty.isdisjoint(pieces[i]):
+                if held[i]:
+                    pieces[i] = None
+                elif not fine[i] or not self.dirty.isdisjoint(pieces[i]):
                     if _ODD.search(t):
                         pieces[i] = None
                     elif not fine[i] or _ODD_MARKS.search(t):
