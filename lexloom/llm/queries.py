@@ -1,6 +1,6 @@
 """Registered queries and SQL checks of the training-data operators."""
 
-from lexloom.llm import chat, decontaminate, idcodec, langid, linededup, packing, simhash, suffixdedup, topk, urlfilter
+from lexloom.llm import chat, decontaminate, fim, idcodec, langid, linededup, packing, simhash, suffixdedup, topk, urlfilter
 
 QUERIES = {
     "op1_exact_topk": topk.op1_exact_topk,
@@ -13,10 +13,12 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_language_id": langid.op9_language_id,
     "op10_chat_format": chat.op10_chat_format,
+    "op13_fill_in_middle": fim.op13_fill_in_middle,
 }
 ORACLES = {
     "op1_exact_topk": topk.ORACLE,
     "op6_url_filters": urlfilter.ORACLE,
     "op7_line_dedup": linededup.ORACLE,
     "op10_chat_format": chat.ORACLE,
+    "op13_fill_in_middle": fim.ORACLE,
 }
