@@ -1,6 +1,6 @@
 """Registered queries and SQL checks of the training-data operators."""
 
-from lexloom.llm import chat, decontaminate, fim, idcodec, langid, linededup, packing, simhash, suffixdedup, topk, urlfilter
+from lexloom.llm import chat, decontaminate, fim, hardneg, idcodec, langid, linededup, packing, simhash, suffixdedup, topk, urlfilter
 
 QUERIES = {
     "op1_exact_topk": topk.op1_exact_topk,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_language_id": langid.op9_language_id,
     "op10_chat_format": chat.op10_chat_format,
+    "op11_hard_negatives": hardneg.op11_hard_negatives,
     "op13_fill_in_middle": fim.op13_fill_in_middle,
 }
 ORACLES = {
@@ -20,5 +21,6 @@ ORACLES = {
     "op6_url_filters": urlfilter.ORACLE,
     "op7_line_dedup": linededup.ORACLE,
     "op10_chat_format": chat.ORACLE,
+    "op11_hard_negatives": hardneg.ORACLE,
     "op13_fill_in_middle": fim.ORACLE,
 }
