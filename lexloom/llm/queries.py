@@ -1,6 +1,6 @@
 """Registered queries and SQL checks of the training-data operators."""
 
-from lexloom.llm import chat, decontaminate, fim, hardneg, idcodec, langid, linededup, packing, simhash, suffixdedup, topk, urlfilter
+from lexloom.llm import chat, decontaminate, fim, hardneg, idcodec, langid, linededup, packing, simhash, suffixdedup, topk, urlfilter, wrappers
 
 QUERIES = {
     "op1_exact_topk": topk.op1_exact_topk,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_language_id": langid.op9_language_id,
     "op10_chat_format": chat.op10_chat_format,
     "op11_hard_negatives": hardneg.op11_hard_negatives,
+    "op12_html_extraction": wrappers.op12_html_extraction,
     "op13_fill_in_middle": fim.op13_fill_in_middle,
 }
 ORACLES = {
@@ -22,5 +23,6 @@ ORACLES = {
     "op7_line_dedup": linededup.ORACLE,
     "op10_chat_format": chat.ORACLE,
     "op11_hard_negatives": hardneg.ORACLE,
+    "op12_html_extraction": wrappers.ORACLE,
     "op13_fill_in_middle": fim.ORACLE,
 }
