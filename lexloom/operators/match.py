@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lexloom import rules
 from lexloom.functions import ids, text as tx
-from lexloom.operators import cite
+from lexloom.operators import cite, grams
 from lexloom.operators.ordered import first_row, sorted_stream, split_row_number, top_k
 from lexloom.session import cut
 
@@ -91,45 +91,20 @@ def residual_match(feed, docs, already):
         ("dogc_title_match", "title", F.when(F.length(title) > 20, title))])
 
 
-# ---- containment of titles in texts ---------------------------------------------------------------
-_ANCHOR = 3
-
-
-def title_occurrences(texts, titles, group, row_id, text):
-    """Distinct (row, title) pairs where the row's text holds the whole title.
-
-    ``titles`` has the group columns and ``_title``, unique. Both sides are normalised word
-    sequences and containment is by whole words. Word windows are anchored on the first
-    three words of a title; only windows whose anchor and length some title has are built,
-    then joined on the whole title. The join returns true occurrences only.
-    """
-    words = F.split("_title", " ")
-    t = titles.select(*group, "_title", F.size(words).alias("_n"), F.array_join(F.slice(words, 1, _ANCHOR), " ").alias("_anchor"))
-    longest = t.agg(F.max("_n")).first()[0] or 0
-    # lengths per anchor: at most as many as the longest title has words
-    anchors = t.groupBy(*group, "_anchor").agg(F.collect_set("_n").alias("_lens"))
-    w = F.split(text, " ")
-    grams = lambda i: F.struct(F.slice(w, i, longest).alias("tail"), F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.lit(_ANCHOR)), lambda k: F.array_join(F.slice(w, i, k), " "))).alias("anchors"))
-    pos = texts.filter(F.col(text) != "").select(*group, row_id, F.explode(F.transform(F.sequence(F.lit(1), F.size(w)), lambda i: grams(i))).alias("_win"))
-    pos = pos.select(*group, row_id, F.col("_win.tail").alias("_tail"), F.explode("_win.anchors").alias("_anchor"))
-    pos = pos.join(anchors, group + ["_anchor"]).select(*group, row_id, "_tail", F.explode("_lens").alias("_n"))
-    pos = pos.filter(F.size("_tail") >= F.col("_n")).withColumn("_title", F.array_join(F.slice("_tail", F.lit(1), F.col("_n")), " "))
-    return pos.select(*group, row_id, "_title").distinct().join(t.select(*group, "_title"), group + ["_title"], "left_semi")
-
-
-def contained_titles(texts, titles, group, row_id, text, title, ident, ord_col):
-    """For each text the first title (by order) of its group that it contains.
-
-    Titles are reduced to the first row per (group, title) beforehand.
-    """
-    t = titles.select(*group, F.col(title).alias("_title"), F.col(ident).alias("_id"), F.col(ord_col).alias("_o")).filter(F.col("_title") != "")
-    t = first_row(t, group + ["_title"], ["_o"])
-    hit = title_occurrences(texts, t, group, row_id, text).join(t, group + ["_title"])
-    return hit.groupBy(*group, row_id).agg(F.min_by(F.struct("_id", "_o"), "_o").alias("m")).select(
-        row_id, F.col("m._id").alias("matched_id"), F.col("m._o").alias("matched_ord"))
+def match_to_gazette(pubs, docs, title="record_title"):
+    """JON6: the id in a gazette publication's link, else the document with the record's title (the last wins)."""
+    by_title = docs.select(tx.title_key("title").alias("_key"), "document_id", "ingest_ord").filter("_key <> ''").groupBy("_key").agg(F.max_by("document_id", "ingest_ord").alias("_tid"))
+    in_link = F.when(F.col("butlleti") == "DOGC", F.coalesce(ids.url_doc_id("url_pdf"), ids.url_doc_id("url_html")))
+    df = pubs.withColumn("_uid", in_link).withColumn("_key", F.when(F.col("_uid").isNull(), tx.title_key(title)))
+    df = df.join(by_title, "_key", "left").withColumn("dogc_document_id", F.coalesce("_uid", F.col("_tid").cast("string")))
+    summary = docs.select(F.col("document_id").cast("string").alias("_did"), "ingest_ord", F.struct("document_id", "title", "date_dogc", "organisme").alias("matching_record"))
+    summary = first_row(summary, ["_did"], ["ingest_ord"], last=True).drop("ingest_ord")
+    df = df.join(summary, F.col("dogc_document_id") == F.col("_did"), "left")
+    kind = F.when(F.col("_uid").isNotNull(), "url_id").when(F.col("_tid").isNotNull(), "title")
+    return df.withColumns({"appears_in_dogc": F.col("dogc_document_id").isNotNull(), "match_type": kind}).drop("_uid", "_key", "_tid", "_did")
 
 
+# ---- containment of titles in texts ---------------------------------------------------------------
 def first_strategy(parts, row_id):
     """Best match per row over (priority, frame) pairs."""
     u = reduce(lambda a, b: a.unionByName(b), [f.select(row_id, "matched_id", "matched_ord", F.lit(p).alias("strategy")) for p, f in parts])
@@ -138,17 +113,21 @@ def first_strategy(parts, row_id):
 
 
 def holds(texts, titles, group, text, title, row_id, either=False):
-    """For each text the first title (by order) of its group that it contains, as a substring.
+    """For each text the first title (by order) of its group that it contains, character by character.
 
-    The group is the join key and containment its residual condition. Equal texts and titles
-    of a group meet once. With ``either``, a title that contains the text counts as well.
+    Of equal titles in a group the first stands for all. With ``either``, a title that contains the text counts as well.
     """
-    n = texts.select(*group, F.col(text).alias("_text")).filter("_text <> ''").distinct()
-    t = first_row(titles.select(*group, F.col(title).alias("_title"), F.col("document_id").alias("_id"), F.col("ord").alias("_o")).filter("_title <> ''"), group + ["_title"], ["_o"])
-    inside = F.contains("_text", "_title")
-    hit = n.join(t, group).filter(inside | F.contains("_title", "_text") if either else inside)
-    best = hit.groupBy(*group, "_text").agg(F.min(F.struct("_o", "_id")).alias("m"))
-    return texts.withColumn("_text", F.col(text)).join(best, group + ["_text"]).select(row_id, F.col("m._id").alias("matched_id"), F.col("m._o").alias("matched_ord"))
+    t = titles.select(*group, F.col(title).alias("_title"), F.col("document_id").alias("_id"), F.col("ord").alias("_o")).filter("_title <> ''")
+    t = first_row(t, group + ["_title"], ["_o"]).withColumn("_nk", grams.key_of("_title"))
+    pairs = contained_either(texts, t, text, "_title", group) if either else grams.contained(texts, t, text, "_title", group)
+    best = pairs.join(t.select(*group, "_nk", "_o", "_id"), group + ["_nk"]).groupBy(*group, "_tk").agg(F.min(F.struct("_o", "_id")).alias("m"))
+    return texts.withColumn("_tk", grams.key_of(text)).join(best, group + ["_tk"]).select(row_id, F.col("m._id").alias("matched_id"), F.col("m._o").alias("matched_ord"))
+
+
+def contained_either(texts, titles, text, title, group=()):
+    """``grams.contained`` in both directions."""
+    back = grams.contained(titles, texts, title, text, group).select(*group, F.col("_nk").alias("_tk"), F.col("_tk").alias("_nk"))
+    return grams.contained(texts, titles, text, title, group).unionByName(back).distinct()
 
 
 def issue_match(targets, docs):
@@ -170,36 +149,23 @@ def issue_match(targets, docs):
     # organism either way, and a long word of the record's title in the document's text
     words = F.array_sort(F.array_distinct(F.filter(F.split("_rec", " "), lambda x: F.length(x) >= 5)))
     asked = t.filter("_inst <> ''").withColumn("_words", words).filter(F.size("_words") > 0)
-    same_org = F.contains("_org", "_inst") | F.contains("_inst", "_org") | F.contains("_org_title", "_inst")
-    near = asked.select("issue", "_inst").distinct().join(d.select("issue", "document_id", "ord", "_org", "_org_title"), "issue").filter(same_org).select("issue", "_inst", "document_id", "ord")
-    found = (asked.select("issue", "_inst", F.explode("_words").alias("_word")).distinct().join(near, ["issue", "_inst"])
-             .join(d.select("issue", "document_id", "ord", tx.title_key("text").alias("_text")), ["issue", "document_id", "ord"]).filter(F.contains("_text", "_word")))
+    names = d.select("issue", "_org").distinct().withColumn("_tk", grams.key_of("_org"))
+    wanted = asked.select("issue", "_inst").distinct().withColumn("_nk", grams.key_of("_inst"))
+    org = contained_either(names, wanted, "_org", "_inst", g).join(names, ["issue", "_tk"]).join(wanted, ["issue", "_nk"]).select("issue", "_inst", "_org")
+    titled = grams.contained(d, wanted, "_org_title", "_inst", g).join(wanted, ["issue", "_nk"]).select("issue", "_inst", F.col("_tk").alias("_ok"))
+    place = d.select("issue", "document_id", "ord", "_org", grams.key_of("_org_title").alias("_ok"), tx.title_key("text").alias("_text")).withColumn("_tk", grams.key_of("_text"))
+    near = cut(org.join(place, ["issue", "_org"]).select("issue", "_inst", "document_id", "ord", "_tk").unionByName(
+        titled.join(place, ["issue", "_ok"]).select("issue", "_inst", "document_id", "ord", "_tk")).distinct())
+    # words that stand in a text, then those asked for by an institution that is near its document
+    sought = asked.select("issue", "_inst", F.explode("_words").alias("_word")).distinct().withColumn("_nk", grams.key_of("_word"))
+    inside = grams.contained(place.join(near.select("issue", "_tk").distinct(), ["issue", "_tk"], "left_semi"), sought, "_text", "_word", g)
+    found = near.join(inside, ["issue", "_tk"]).join(sought, ["issue", "_inst", "_nk"])
     best = found.groupBy("issue", "_inst", "_word").agg(F.min(F.struct("ord", "document_id")).alias("m"))
     s4 = (asked.select("target_id", "issue", "_inst", F.explode("_words").alias("_word")).join(best, ["issue", "_inst", "_word"])
           .select("target_id", F.col("m.document_id").alias("matched_id"), F.col("m.ord").alias("matched_ord")))
     return first_strategy([(1, s1), (2, s2), (3, s3), (4, s4)], "target_id")
 
 
-def _word_windows(c):
-    """Every run of whole words of a short name."""
-    w = F.split(c, " ")
-    n = F.size(w)
-    return F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.array_join(F.slice(w, i, k), " "))))
-
-
-def contained_in(texts, titles, group, row_id, text, ident, title, ord_col):
-    """The other direction: the first title (by order) that contains the row's text.
-
-    Rows with equal text in a group share one lookup.
-    """
-    uniq = texts.select(*group, F.col(text).alias("_needle")).filter(F.col("_needle") != "").distinct()
-    t = first_row(titles.select(*group, F.col(title).alias("_title"), F.col(ident).alias("_id"), F.col(ord_col).alias("_o")).filter(F.col("_title") != ""), group + ["_title"], ["_o"])
-    windows = t.select(*group, "_id", "_o", F.explode(F.array_distinct(_word_windows(F.col("_title")))).alias("_needle"))
-    best = windows.join(uniq, group + ["_needle"], "left_semi").groupBy(*group, "_needle").agg(F.min(F.struct("_o", "_id")).alias("m"))
-    return texts.withColumn("_needle", F.col(text)).join(best, group + ["_needle"]).select(
-        row_id, F.col("m._id").alias("matched_id"), F.col("m._o").alias("matched_ord"))
-
-
 def title_in_issue(entries, docs):
     """JON10: equal (issue, title key), else containment either way inside the issue."""
     e = entries.select("entry_id", "issue", tx.squeeze(F.regexp_replace(F.lower("title"), r"[^a-z0-9à-üçï ]", "")).alias("_t"), tx.alnum_key("title").alias("_k"))
@@ -398,8 +364,8 @@ def _title_words(c):
 def candidate_targets(texts, docs, k=15, text="text", row_id="text_id"):
     """JON16: best documents for a text by numbers, gazette numbers and title words.
 
-    A candidate's document number, gazette number or whole title is in the text; shared title
-    words and years only score. So a document is found or not whatever else the corpus holds.
+    A candidate's document number, gazette number or title is in the text; shared title words
+    and years only score. So a document is found or not whatever else the corpus holds.
     A number of another form than n/yyyy counts as a run of letters, digits and marks, a
     gazette number as a run of digits. Documents that agree on everything scored collapse to a
     profile and return as its first ``k`` members, and profiles that agree on a key and on
@@ -421,8 +387,9 @@ def candidate_targets(texts, docs, k=15, text="text", row_id="text_id"):
     every = lambda pattern: F.regexp_extract_all(lower, F.lit(pattern), F.lit(1))
     tag = lambda a, pre: F.transform(a, lambda x: F.concat(F.lit(pre), x))
     marked = F.flatten(F.transform(every(rules.MARKED_NUMBER), lambda x: F.array(x, F.regexp_replace(x, r"(?U)^\W+|\W+$", ""))))
-    # one token per title the text holds whole; at most as many as the text has windows
-    held = title_occurrences(texts.select(row_id, tx.entity_key(text).alias("_norm")), p.select(F.col("ttl").alias("_title")).filter("_title <> ''").distinct(), [], row_id, "_norm")
+    # one token for each title that stands in the text
+    names, norm = p.select("ttl").filter("ttl <> ''").distinct().withColumn("_nk", grams.key_of("ttl")), texts.select(row_id, tx.entity_key(text).alias("_norm"))
+    held = grams.contained(norm, names, "_norm", "ttl").join(names, "_nk").join(norm.withColumn("_tk", grams.key_of("_norm")), "_tk").select(row_id, F.col("ttl").alias("_title"))
     held = held.groupBy(row_id).agg(F.collect_set(F.concat(F.lit("t:"), "_title")).alias("_held"))
     texts = texts.join(held, row_id, "left").withColumn("_held", F.coalesce("_held", F.array().cast("array<string>")))
     toks = F.array_sort(F.array_distinct(F.concat(
@@ -494,19 +461,20 @@ def candidate_sections(cands, items, sections, limit=25, keys=("source_id", "ite
 
 # ---- JON18 / JON19: entities -----------------------------------------------------------------------------
 def resolve_entities(items, docs, keys=("source_id", "item_no")):
-    """JON18: identifier path, number, title, gazette number, then title containment.
+    """JON18: identifier path, number, title, gazette number, then a title that contains the cited one or lies in it.
 
-    Containment is by whole words and needs more than ten characters.
+    Containment is by characters and for cited titles of more than ten. The title that comes first wins; of documents
+    with one title, the last.
     """
     it = items.withColumn("_row", F.concat_ws(":", *[F.col(k).cast("string") for k in keys]))
     title = tx.entity_key(tx.clean_cited_title("cited_title"))
     lookup = lookup_table(docs, "document_id", [("eli", tx.eli_key("eli_uri")), ("number", tx.entity_key("document_number")), ("title", tx.entity_key("title")), ("gazette", tx.entity_key("dogc_number"))])
     out = cascade(it, "_row", lookup, [("eli", "eli", tx.eli_key("eli_uri")), ("number", "number", tx.entity_key("document_number")),
                                        ("title", "title", title), ("gazette", "gazette", tx.entity_key("dogc_number"))])
-    rest = out.filter(F.col("matched_id").isNull()).withColumns({"_t": title, "_g": F.lit(1)}).filter(F.length("_t") > 10)
-    d = docs.select("document_id", "ingest_ord", tx.entity_key("title").alias("_title"), F.lit(1).alias("_g"))
-    s = first_strategy([(1, contained_titles(rest, d, ["_g"], "_row", "_t", "_title", "document_id", "ingest_ord")),
-                        (1, contained_in(rest, d, ["_g"], "_row", "_t", "document_id", "_title", "ingest_ord"))], "_row")
+    rest = out.filter(F.col("matched_id").isNull()).select("_row", title.alias("_t")).filter(F.length("_t") > 10)
+    d = docs.select(tx.entity_key("title").alias("_title"), "document_id", "ingest_ord").filter("_title <> ''")
+    d = d.groupBy("_title").agg(F.min("ingest_ord").alias("ord"), F.max_by("document_id", "ingest_ord").alias("document_id"))
+    s = holds(rest, d, [], "_t", "_title", "_row", either=True)
     out = out.join(s.select("_row", F.col("matched_id").alias("_sub")), "_row", "left")
     return out.select(*keys, F.coalesce("matched_id", "_sub").alias("document_id"),
                       F.when(F.col("matched_id").isNotNull(), F.col("match_reason")).when(F.col("_sub").isNotNull(), "substring").alias("match_reason"))
@@ -609,6 +577,13 @@ def locate_spans(spans, sections, doc="doc_id", offset="start_offset", width=102
 
 
 # ---- JON22: aligning two citation lists ------------------------------------------------------------------------
+def _word_windows(c):
+    """Every run of whole words of a short name."""
+    w = F.split(c, " ")
+    n = F.size(w)
+    return F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.array_join(F.slice(w, i, k), " "))))
+
+
 def _align_keys(title, own, other):
     """Keys under which a title meets another: shared n/yyyy number, or whole-word containment."""
     t = tx.squeeze(F.lower(title))

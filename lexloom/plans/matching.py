@@ -144,9 +144,14 @@ def issue_inputs(t):
     return targets, docs
 
 
-@query("jon10_title_in_issue", """SELECT document_id AS entry_id, CAST(NULL AS BIGINT) AS matched_id, 1 AS strategy FROM legal_docs WHERE FALSE
-UNION ALL SELECT e.document_id, max(d.document_id), 1 FROM legal_docs e JOIN legal_docs d ON d.dogc_number = e.dogc_number AND d.title = e.title WHERE e.document_id % 2 = 0 GROUP BY e.document_id
-UNION ALL SELECT e.document_id, min(d.document_id), 2 FROM legal_docs e JOIN legal_docs d ON d.dogc_number = e.dogc_number AND d.title = e.title WHERE e.document_id % 2 = 1 GROUP BY e.document_id""")
+SQL_IN_ISSUE = """WITH e AS (SELECT document_id AS entry_id, dogc_number AS issue, CASE WHEN document_id % 2 = 0 THEN title ELSE concat('Text. ', title, ' final') END AS title FROM legal_docs),
+x AS (SELECT *, trim(regexp_replace(regexp_replace(lower(title), '[^a-z0-9à-üçï ]', '', 'g'), '\\s+', ' ', 'g')) AS t, regexp_replace(lower(title), '[^a-z0-9à-üçï]', '', 'g') AS k FROM e),
+d AS (SELECT dogc_number AS issue, document_id, ingest_ord AS ord, trim(regexp_replace(regexp_replace(lower(title), '[^a-z0-9à-üçï ]', '', 'g'), '\\s+', ' ', 'g')) AS t, regexp_replace(lower(title), '[^a-z0-9à-üçï]', '', 'g') AS k FROM legal_docs),
+a AS (SELECT entry_id, max(CASE WHEN x.k = d.k THEN document_id END) AS same, arg_min(document_id, ord) FILTER (contains(x.t, d.t) OR contains(d.t, x.t)) AS part FROM x JOIN d USING (issue) GROUP BY entry_id)
+SELECT entry_id, coalesce(same, part) AS matched_id, CASE WHEN same IS NOT NULL THEN 1 ELSE 2 END AS strategy FROM a WHERE coalesce(same, part) IS NOT NULL"""
+
+
+@query("jon10_title_in_issue", SQL_IN_ISSUE)
 def _(t):
     d = t.legal_docs
     e = d.select(F.col("document_id").alias("entry_id"), F.col("dogc_number").alias("issue"), F.when(F.col("document_id") % 2 == 0, F.col("title")).otherwise(F.concat(F.lit("Text. "), "title", F.lit(" final"))).alias("title"))
@@ -232,14 +237,20 @@ def _(t):
     return match.candidate_sections(match.candidates_for_items(t.items, t.legal_docs), t.items, t.legal_sections)
 
 
-@query("jon18_resolve_entity", """
-WITH dk AS (SELECT document_id, document_number, dogc_number, lower(replace(title, ',', '')) AS tk FROM legal_docs),
-n AS (SELECT document_number AS k, max(document_id) AS id FROM dk GROUP BY 1), ti AS (SELECT tk AS k, max(document_id) AS id FROM dk GROUP BY 1), g AS (SELECT dogc_number AS k, max(document_id) AS id FROM dk GROUP BY 1)
-SELECT i.source_id, i.item_no, coalesce(n.id, ti.id, g.id) AS document_id, CASE WHEN n.id IS NOT NULL THEN 'number' WHEN ti.id IS NOT NULL THEN 'title' WHEN g.id IS NOT NULL THEN 'gazette' END AS match_reason
-FROM items i LEFT JOIN n ON n.k = i.document_number AND i.document_number <> '' LEFT JOIN ti ON ti.k = lower(replace(i.cited_title, ',', '')) AND i.cited_title <> '' LEFT JOIN g ON g.k = i.dogc_number AND i.dogc_number <> ''""")
+# Citations; every sixth names a title that starts inside its first word, or goes on after its end.
+CITED = """SELECT source_id, item_no, document_number, dogc_number, '' AS eli_uri, CASE WHEN item_no % 6 = 0 THEN concat(CASE WHEN source_id % 2 = 0 THEN 'lei ' ELSE 'la llei ' END, CAST(source_id % 20 + 1 AS STRING), '/', year,
+  ', de disposicions de C', CAST(source_id % 7 + 1 AS STRING), CASE WHEN source_id % 2 = 0 THEN '' ELSE ' i altres' END) ELSE cited_title END AS cited_title FROM items"""
+
+
+@query("jon18_resolve_entity", f"""
+WITH i AS (SELECT *, lower(replace(cited_title, ',', '')) AS ck FROM ({CITED.replace("AS STRING", "AS VARCHAR")})), dk AS (SELECT document_id, ingest_ord, document_number, dogc_number, lower(replace(title, ',', '')) AS tk FROM legal_docs),
+n AS (SELECT document_number AS k, max(document_id) AS id FROM dk GROUP BY 1), ti AS (SELECT tk AS k, min(ingest_ord) AS o, arg_max(document_id, ingest_ord) AS id FROM dk GROUP BY 1), g AS (SELECT dogc_number AS k, max(document_id) AS id FROM dk GROUP BY 1),
+m AS (SELECT i.source_id, i.item_no, i.ck, coalesce(n.id, ti.id, g.id) AS id, CASE WHEN n.id IS NOT NULL THEN 'number' WHEN ti.id IS NOT NULL THEN 'title' WHEN g.id IS NOT NULL THEN 'gazette' END AS how
+  FROM i LEFT JOIN n ON n.k = i.document_number AND i.document_number <> '' LEFT JOIN ti ON ti.k = i.ck AND i.ck <> '' LEFT JOIN g ON g.k = i.dogc_number AND i.dogc_number <> ''),
+p AS (SELECT c.ck, arg_min(ti.id, ti.o) AS id FROM (SELECT DISTINCT ck FROM m WHERE id IS NULL AND length(ck) > 10) c JOIN ti ON contains(ti.k, c.ck) OR contains(c.ck, ti.k) GROUP BY 1)
+SELECT m.source_id, m.item_no, coalesce(m.id, p.id) AS document_id, coalesce(how, CASE WHEN p.id IS NOT NULL THEN 'substring' END) AS match_reason FROM m LEFT JOIN p ON p.ck = m.ck AND m.id IS NULL""")
 def _(t):
-    blank = F.lit("")
-    return match.resolve_entities(t.items.withColumn("eli_uri", blank), t.legal_docs.withColumn("eli_uri", blank))
+    return match.resolve_entities(t.sql(CITED), t.legal_docs.withColumn("eli_uri", F.lit("")))
 
 
 @query("jon19_section_prefix_match", """

@@ -80,25 +80,6 @@ def test_similarity_column_agrees_with_python(spark):
     assert all(r["s"] == _alike(r["a"], r["b"]) for r in df.collect())
 
 
-def test_contained_titles_finds_whole_word_occurrences(spark):
-    rnd = random.Random(4)
-    vocab = ["a", "b", "c", "d", "e"]
-    texts = [(i, i % 2, " ".join(rnd.choice(vocab) for _ in range(12))) for i in range(30)]
-    titles = [(i, i % 2, " ".join(rnd.choice(vocab) for _ in range(rnd.randint(1, 5)))) for i in range(25)]
-    want = {}
-    for i, g, t in texts:
-        hit = [o for o, tg, w in titles if tg == g and _has(t, w)]
-        if hit:
-            want[i] = min(hit)
-    got = match.contained_titles(spark.createDataFrame(texts, "tid int, g int, txt string"), spark.createDataFrame(titles, "o int, g int, ttl string").withColumn("id", F.col("o")),
-                                 ["g"], "tid", "txt", "ttl", "id", "o")
-    assert {r["tid"]: r["matched_id"] for r in got.collect()} == want
-    back = match.contained_in(spark.createDataFrame(titles, "tid int, g int, needle string"), spark.createDataFrame(texts, "o int, g int, hay string").withColumn("id", F.col("o")),
-                              ["g"], "tid", "needle", "id", "hay", "o")
-    want = {o: min([i for i, tg, t in texts if tg == g and _has(t, w)], default=None) for o, g, w in titles}
-    assert {r["tid"]: r["matched_id"] for r in back.collect()} == {k: v for k, v in want.items() if v is not None}
-
-
 def test_issue_match_strategies(spark):
     docs = spark.createDataFrame([
         ("9", 1, 0, "ANUNCI de licitacio d'obres municipals", "Ajuntament de Vic", "", "obres municipals de clavegueram"),
@@ -113,6 +94,16 @@ def test_issue_match_strategies(spark):
     assert got == {1: (1, 1), 2: (2, 2), 3: (2, 3), 4: (1, 4), 6: (1, 2), 7: (1, 4)}
 
 
+def test_entities_by_any_part_of_a_title(spark):
+    docs = spark.createDataFrame([(1, 0, "Ordre de pesca fluvial"), (2, 1, "Llei de pressupostos generals"), (3, 2, "Llei de pressupostos generals"), (4, 3, "pesca"), (5, 4, "")], "document_id int, ingest_ord int, title string")
+    docs = docs.withColumns({c: F.lit("") for c in ("document_number", "dogc_number", "eli_uri")})
+    cited = ["pesca fluvia", "re de pesca flu", "la Llei de pressupostos generals de 2020", "lei de pressupostos gener", "pesca", "reglament de pescadors", "un altre text"]
+    items = spark.createDataFrame([(i, 0, t) for i, t in enumerate(cited)], "source_id int, item_no int, cited_title string").withColumns({c: F.lit("") for c in ("document_number", "dogc_number", "eli_uri")})
+    got = {r["source_id"]: (r["document_id"], r["match_reason"]) for r in match.resolve_entities(items, docs).collect()}
+    # titles that start or end inside a word count, as do those that the cited text holds; of equal titles the last document
+    assert got == {0: (1, "substring"), 1: (1, "substring"), 2: (3, "substring"), 3: (3, "substring"), 4: (4, "title"), 5: (4, "substring"), 6: (None, None)}
+
+
 def _edges(spark, affs, docs, secs):
     a = spark.createDataFrame(affs, "document_id int, ord int, direction string, target_document_id int, text string")
     d = spark.createDataFrame(docs, "document_id int, document_number string, title string")
