@@ -11,43 +11,30 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lexloom.llm import vectors as exact
 from lexloom.llm.base import small_batches, table
 from lexloom.session import cut
 
 LISTS = 2
 BLOCK = 4096  # vectors, and queries, in a block
-SCALE = 256
-LIMIT = 2.0 ** 26  # components beyond it count as it; a sum of up to 1000 products then fits a long
+MOST = 1 << 62  # no list's part of a score may reach it, so that sums of bounds stay longs
 
 
 def _quantise_task(batches):
-    """vec_id and its integer components; vectors with missing or non-finite components are left out."""
+    """vec_id and its whole-number components; vectors with missing or non-finite components are left out."""
     for b in batches:
-        ids, vectors = [], []
-        for i, v in zip(b.column("vec_id").to_pylist(), b.column("embedding").to_pylist()):
-            if i is None or v is None or any(x is None for x in v):
-                continue
-            v = np.array(v, np.float64)
-            if np.isfinite(v).all():
-                ids.append(i)
-                vectors.append(np.clip(np.floor(SCALE * v), -LIMIT, LIMIT).astype("<i4").tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(vectors, pa.binary())], names=["vec_id", "vector"])
+        rows = [(i, v.astype("<f8").tobytes()) for i, v in zip(b.column("vec_id").to_pylist(), exact.quantise(b.column("embedding"))) if i is not None and v is not None]
+        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([v for _, v in rows], pa.binary())], names=["vec_id", "vector"])
 
 
 def _matrix(blobs, lists):
-    """Integer matrix with a whole number of columns for each list; shorter vectors are filled up with 0."""
-    width = max((len(x) // 4 for x in blobs), default=0)
-    width += -width % lists
-    out = np.zeros((len(blobs), width), np.int64)
-    for i, x in enumerate(blobs):
-        out[i, :len(x) // 4] = np.frombuffer(x, "<i4")
-    return out
+    """Matrix with a whole number of columns for each list; shorter vectors are filled up with 0."""
+    width = max((len(x) // 8 for x in blobs), default=0)
+    return exact.matrix(blobs, width + -width % lists)
 
 
 def _products(a, b):
-    """Inner products of all rows, exact: by floating point where no sum can pass 2^53."""
-    most = (np.abs(a).max(initial=0).astype(float) * np.abs(b).max(initial=0)) * a.shape[1]
-    return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64) if most < 2 ** 53 else a @ b.T
+    return exact.products(a, b, MOST)
 
 
 def _aligned(a, b, lists):
@@ -92,17 +79,18 @@ def _above_cutoff(lists):
             q, c = _aligned(_matrix(r["q_vectors"], lists), _matrix(r["c_vectors"], lists), lists)
             q_ids, c_ids = np.array(r["q_ids"], np.int64), np.array(r["c_ids"], np.int64)
             low = np.array(r["q_bounds"], np.int64)[:, None]
+            cutoff = -(-low // lists)  # the least whole number at or above bound / lists
             seen, upper, parts = np.zeros((len(q), len(c)), bool), np.zeros((len(q), len(c)), np.int64), []
             for g in range(lists):
                 part = _products(q[:, g], c[:, g])
-                hit = part * lists >= low
+                hit = part >= cutoff
                 seen |= hit
-                upper += np.where(hit, part * lists, low)  # an unseen entry is under the cutoff
+                upper += np.where(hit, part, cutoff - 1)  # an unseen entry is under the cutoff
                 parts.append(part)
-            rows, at = np.nonzero(seen & (upper >= low * lists))
-            exact = sum(p[rows, at] for p in parts)
-            keep = exact >= low[rows, 0]
-            yield _entries(q_ids[rows[keep]], c_ids[at[keep]], exact[keep])
+            rows, at = np.nonzero(seen & (upper >= low))
+            score = sum(p[rows, at] for p in parts)
+            keep = score >= low[rows, 0]
+            yield _entries(q_ids[rows[keep]], c_ids[at[keep]], score[keep])
 
     return task
 
@@ -125,7 +113,8 @@ def _blocks(df, ident, n, prefix, *more):
 def search(vectors, queries, k, lists=LISTS, block=BLOCK):
     """The k best other vectors for each query: query_id, rank, vec_id, score.
 
-    vectors: vec_id, embedding; queries: the ids (vec_id) of the rows to search for. Components x count as floor(256 x).
+    vectors: vec_id, embedding; queries: the ids (vec_id) of the rows to search for. Components x count as floor(256 x),
+    whatever their size; a list's part of a score of 2^62 or more is an error.
     Vectors that are NULL or hold NULL or non-finite components take no part, nor do rows without an id; of rows that
     share an id one counts, that with the smallest vector. Shorter vectors are filled up with 0. Ties go to the smaller
     id. Fewer than k others give fewer rows; an empty table gives none.
@@ -134,7 +123,7 @@ def search(vectors, queries, k, lists=LISTS, block=BLOCK):
     of classes, so a task holds one pair of blocks, and each list of it.
     """
     spark = small_batches(vectors.sparkSession, rows=1)
-    whole = vectors.select("vec_id", "embedding").mapInArrow(_quantise_task, "vec_id long, vector binary").groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    whole = vectors.selectExpr("CAST(vec_id AS LONG) AS vec_id", "CAST(embedding AS ARRAY<DOUBLE>) AS embedding").mapInArrow(_quantise_task, "vec_id long, vector binary").groupBy("vec_id").agg(F.min("vector").alias("vector"))
     whole = cut(whole)
     rank = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     members = cut(whole.withColumn("_n", rank).filter(F.col("_n") <= k + 1).withColumn("cls", F.first_value("vec_id").over(Window.partitionBy("vector").orderBy("_n"))).select("cls", "vec_id", "vector", "_n"))

@@ -46,8 +46,8 @@ def widened(a, width):
     return np.pad(a, ((0, 0), (0, width - a.shape[1]))) if a.shape[1] < width else a
 
 
-def products(a, b):
-    """Inner products of all rows of a and b as longs, exact at any size; a score beyond a long is an error."""
+def products(a, b, most=LONG):
+    """Inner products of all rows of a and b as longs, exact at any size; one of `most` or more is an error."""
     width = max(a.shape[1], b.shape[1])
     a, b = widened(a, width), widened(b, width)
     limit = np.sqrt(2 ** 53 / max(1, width))  # no sum of products of smaller components passes 2^53
@@ -62,13 +62,13 @@ def products(a, b):
     ints = lambda m: [[int(x) for x in row] for row in m]
     exact = lambda x, y: sum(p * q for p, q in zip(x, y))
     for i, x in zip(wide_a, ints(a[wide_a])):
-        out[i] = [_long(exact(x, y)) for y in ints(b)]
+        out[i] = [_below(exact(x, y), most) for y in ints(b)]
     for j, y in zip(wide_b, ints(b[wide_b])):
-        out[:, j] = [_long(exact(x, y)) for x in ints(a)]
+        out[:, j] = [_below(exact(x, y), most) for x in ints(a)]
     return out
 
 
-def _long(score):
-    if not -LONG < score < LONG:
-        raise OverflowError("an inner product is beyond a long")
+def _below(score, most):
+    if not -most < score < most:
+        raise OverflowError(f"an inner product is beyond {most}")
     return score
