@@ -1,7 +1,7 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
-Texts and items are compared as lower-case words with single spaces. An item may differ by one edit for every
-`per_edit` characters. Cut into one piece more than that budget, at least one piece is unchanged: exact piece hits are
+Texts and items are compared as lower-case words with single spaces; in scripts written without spaces every character is
+a word. An item may differ by one edit for every `per_edit` characters, so a short one must stand there word for word. Cut into one piece more than that budget, at least one piece is unchanged: exact piece hits are
 found by an Aho-Corasick automaton over all pieces, and each hit's surroundings are verified with Myers' bit-parallel
 distance.
 """
@@ -15,14 +15,16 @@ from pyspark.sql import types as T
 from lexloom.llm.base import own_name, small_batches, table, texts, with_columns
 
 PER_EDIT = 20  # characters of an item for each edit allowed
-MIN_WORDS = 5  # shorter items prove nothing and are left out
 SLICE = 16 << 20  # characters of items that one pass holds; more items take more passes
-_WORD = re.compile(r"\w+")
+# fixed values: blocks of the scripts written without spaces (Thai, Lao, Myanmar, Khmer, Japanese, Chinese)
+_SOLID = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD, _CHARACTER, _EITHER = re.compile(r"\w+"), re.compile(f"[{_SOLID}]"), re.compile(rf"(?=\w)[{_SOLID}]|[^\W{_SOLID}]+")
 
 
 def normal(text):
     """Words between single spaces, with a space at either end; empty if there is no word."""
-    words = _WORD.findall(text.lower())
+    text = text.lower()
+    words = (_EITHER if _CHARACTER.search(text) else _WORD).findall(text)
     return f" {' '.join(words)} " if words else ""
 
 
@@ -54,13 +56,13 @@ def myers(item, text):
 class Matcher:
     """Finds items (item_id, text) in texts."""
 
-    def __init__(self, items, per_edit=PER_EDIT, min_words=MIN_WORDS):
+    def __init__(self, items, per_edit=PER_EDIT):
         import ahocorasick
 
         self.items, held = [], {}
         for ident, text in items:
             item = normal(text or "")
-            if len(item.split()) < min_words:
+            if not item:
                 continue
             budget = len(item) // per_edit
             for i in range(budget + 1):
@@ -110,11 +112,11 @@ def _passes(benchmark):
 HIT = "doc_id long, item_id long, edits int, end_at long"
 
 
-def find(docs, benchmark, per_edit=PER_EDIT, min_words=MIN_WORDS):
+def find(docs, benchmark, per_edit=PER_EDIT):
     """Which items of benchmark (item_id, text) are in which docs (doc_id, text): doc_id, item_id, edits, end_at.
 
-    One row for each item and row of docs, with the fewest edits. NULL and empty texts hold nothing; items with fewer than
-    min_words words or a NULL text are left out; items with one text are found each; empty tables give none.
+    One row for each item and row of docs, with the fewest edits. NULL and empty texts hold nothing; items that are NULL or
+    have no word are in no text; items with one text are found each; empty tables give none.
     """
     spark = small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
@@ -123,7 +125,7 @@ def find(docs, benchmark, per_edit=PER_EDIT, min_words=MIN_WORDS):
         shared = spark.sparkContext.broadcast(items)
 
         def task(batches, shared=shared):
-            matcher = Matcher(shared.value, per_edit, min_words)
+            matcher = Matcher(shared.value, per_edit)
             for b in batches:
                 rows = [(d, *hit) for d, t in zip(b.column("doc_id").to_pylist(), texts(b)) for hit in matcher.find(t)]
                 if rows:
@@ -133,14 +135,14 @@ def find(docs, benchmark, per_edit=PER_EDIT, min_words=MIN_WORDS):
     return out
 
 
-def clean(docs, benchmark, per_edit=PER_EDIT, min_words=MIN_WORDS):
+def clean(docs, benchmark, per_edit=PER_EDIT):
     """The rows of docs that hold no item, with all their columns."""
     spark = small_batches(docs.sparkSession)
     for items in _passes(benchmark):
         shared, flag = spark.sparkContext.broadcast(items), own_name(docs, "leak")
 
         def task(batches, shared=shared, flag=flag):
-            matcher = Matcher(shared.value, per_edit, min_words)
+            matcher = Matcher(shared.value, per_edit)
             for b in batches:
                 yield with_columns(b, **{flag: pa.array([bool(matcher.find(t)) for t in texts(b)], pa.bool_())})
 
