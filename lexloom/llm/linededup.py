@@ -121,11 +121,12 @@ def op7_line_dedup(spark, sf_dir):
 ORACLE = """
 WITH d AS (SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE string_split(text, chr(10)) END AS raw FROM documents),
 t AS (SELECT doc_id, raw, list_transform(raw, lambda x: trim(x, ' ' || chr(9) || chr(13))) AS l FROM d),
-k AS (SELECT doc_id, len(l) AS n, list_transform(l, lambda x: hash(x)) AS h, list_transform(l, lambda x: length(x)) AS c FROM t),
-w AS (
-  SELECT doc_id, i, size, h[i:i + size - 1] AS run, list_sum(c[i:i + size - 1]) AS chars
-  FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM k), (SELECT unnest([1, 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096, 8192]) AS size)
-  WHERE i + size - 1 <= n),
+p AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS line FROM t),
+k AS (SELECT doc_id, i, hash(line) AS h, length(line) AS c, count(*) OVER (PARTITION BY line) > 1 AS again FROM p),
+island AS (SELECT doc_id, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS g, i, h, c FROM k WHERE again),
+y AS (SELECT doc_id, min(i) AS low, list(h ORDER BY i) AS h, list(c ORDER BY i) AS c FROM island GROUP BY doc_id, g),
+s AS (SELECT *, unnest(range(1, len(h) + 1)) AS a FROM y),
+w AS (SELECT doc_id, low + a - 1 AS i, size, h[a:a + size - 1] AS run, list_sum(c[a:a + size - 1]) AS chars FROM (SELECT *, unnest(range(1, len(h) - a + 2)) AS size FROM s)),
 f AS (SELECT doc_id, i, size, chars, min({'d': doc_id, 'i': i}) OVER (PARTITION BY run) AS first FROM w),
 gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS i FROM f WHERE chars >= 30 AND first < {'d': doc_id, 'i': i}),
 lines AS (SELECT doc_id, unnest(raw) AS line, unnest(range(1, len(raw) + 1)) AS i FROM d),
