@@ -66,21 +66,22 @@ def held_out(doc_id):
 # line dedup
 def line_dedup(docs, min_chars=30):
     """{(doc_id, text): (n_lines, n_removed, kept text)}"""
-    first, out = {}, {}
     cut = {d: [x.strip(" \t\r") for x in d[1].split("\n")] for d in docs if d[1] is not None}
-    sizes = [1 << j for j in range(15)]
-    for doc in sorted(cut, key=lambda d: low(d[0])):
-        for i in range(len(cut[doc])):
-            for n in sizes:
-                if i + n <= len(cut[doc]):
-                    key = tuple(cut[doc][i:i + n])
-                    first[key] = min(first.get(key, (float("inf"), 0)), (low(doc[0]), i))
+    places, out = {}, {}
+    for doc, lines in cut.items():
+        for i, line in enumerate(lines):
+            places.setdefault(line, []).append((low(doc[0]), i, lines))
     for doc, lines in cut.items():
         gone = set()
         for i in range(len(lines)):
-            for n in sizes:
-                if i + n <= len(lines) and sum(map(len, lines[i:i + n])) >= min_chars and first[tuple(lines[i:i + n])] < (low(doc[0]), i):
-                    gone.update(range(i, i + n))
+            longest = 0  # lines from here on that also stand from an earlier place on
+            for d, j, other in places[lines[i]]:
+                n = 0
+                while (d, j) < (low(doc[0]), i) and i + n < len(lines) and j + n < len(other) and lines[i + n] == other[j + n]:
+                    n += 1
+                longest = max(longest, n)
+            if sum(map(len, lines[i:i + longest])) >= min_chars:
+                gone.update(range(i, i + longest))
         raw = doc[1].split("\n")
         out[doc] = len(raw), len(gone), "\n".join(x for i, x in enumerate(raw) if i not in gone)
     return out
@@ -120,8 +121,12 @@ def simhash_components(docs, radius=3):
 
 
 # decontamination
+SOLID = [(0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
+
+
 def words(text):
-    found = re.findall(r"\w+", (text or "").lower())
+    spaced = "".join((f" {c} " if any(a <= ord(c) <= b for a, b in SOLID) else c) if re.match(r"\w", c) else " " for c in (text or "").lower())
+    found = spaced.split()
     return f" {' '.join(found)} " if found else ""
 
 
@@ -161,7 +166,7 @@ def edits(items, text):
 
 def leaks(docs, items):
     """{(doc_id, item_id): edits}"""
-    held = [(i, words(t)) for i, t in items if len(words(t).split()) >= 5]
+    held = [(i, words(t)) for i, t in items if words(t)]
     found = {}
     for d, text in docs:
         for (i, item), n in zip(held, edits(tuple(t for _, t in held), words(text))):
@@ -192,7 +197,6 @@ def suffix_dedup(docs, width=50):
 # tokens
 def token_ids(texts):
     library = Tokenizer.from_file(tokens.default_path())
-    library.encode_special_tokens = True
     return [np.array([*e.ids, 0], "<u4") for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 

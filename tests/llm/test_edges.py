@@ -97,7 +97,7 @@ def test_decontamination(spark, edge, none):
     items = [(1, "A line, of some LENGTH that several documents share -- word for word"), (2, "a line of sume length that several documentz share word for word"), (3, "one"), (4, None), (None, "other words of the second text"), (2, "a line of sume length that several documentz share word for word")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     rows = decontaminate.find(edge, bench).collect()
-    want = [(d, i, plain.distance(plain.words(t), plain.words(x))) for d, x in PAIRS for i, t in [items[0], items[1], items[4]] if x and plain.distance(plain.words(t), plain.words(x)) <= len(plain.words(t)) // 20]
+    want = [(d, i, plain.distance(plain.words(t), plain.words(x))) for d, x in PAIRS for i, t in [items[0], items[1], items[2], items[4]] if x and plain.distance(plain.words(t), plain.words(x)) <= len(plain.words(t)) // 20]
     same([(r["doc_id"], r["item_id"], r["edits"]) for r in rows], want)
     assert {e for _, _, e in want} == {0, 2}
     kept = decontaminate.clean(edge, bench)
@@ -106,6 +106,14 @@ def test_decontamination(spark, edge, none):
     assert decontaminate.clean(edge, bench.limit(0)).count() == len(EDGE) and decontaminate.clean(none, bench).count() == 0
 
 
+def test_decontamination_of_short_items_and_solid_scripts(spark):
+    items = [(1, "two words"), (2, "one"), (3, "..."), (4, "他说语言是交流的系统"), (5, "是"), (6, "ภาษา")]
+    docs = [(1, "here two  Words stand"), (2, "no two-wordsmiths, someone"), (3, "人们。他说语言是交流的系统，很好"), (4, "One!"), (5, "语言是"), (6, "กภาษาข"), (7, ""), (8, None)]
+    rows = decontaminate.find(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["edits"]) for r in rows) == [(1, 1, 0), (3, 4, 0), (3, 5, 0), (4, 2, 0), (5, 5, 0), (6, 6, 0)]
+    assert {(r["doc_id"], r["item_id"]): r["edits"] for r in rows} == plain.leaks(docs, items)
+
+
 def test_decontamination_in_passes(spark, edge, monkeypatch):
     bench = spark.createDataFrame([(i, f"other words of the {w} text") for i, w in enumerate(["second", "third", "fourth"])], "item_id long, text string")
     whole = decontaminate.find(edge, bench).collect()
@@ -225,12 +233,12 @@ def test_url_rules(spark):
 
 
 def test_top_k(spark):
-    v = [(0, [1.0, 0.5]), (50, [1.0, 0.5]), (1, [1.0, 0.5]), (2, [1.0, 0.5]), (3, [0.25]), (4, None), (5, [float("nan"), 1.0]), (6, [None, 1.0]), (7, [1e30, -1e30]), (8, []), (100, None), (None, [1.0, 1.0]), (1, [1.0, 0.5]), (9, [-1.0, -0.5])]
+    v = [(0, [1.0, 0.5]), (50, [1.0, 0.5]), (1, [1.0, 0.5]), (2, [1.0, 0.5]), (3, [0.25]), (4, None), (5, [float("nan"), 1.0]), (6, [None, 1.0]), (7, [1e9, -1e9 - 1 / 256]), (8, []), (100, None), (None, [1.0, 1.0]), (1, [1.0, 0.5]), (9, [-1.0, -0.5])]
     table = spark.createDataFrame([(i, e, i) for i, e in v], "vec_id long, embedding array<double>, rank long")
     held = {}
     for i, e in v:
         if i is not None and e is not None and all(x is not None and np.isfinite(x) for x in e):
-            held[i] = [max(-topk.LIMIT, min(topk.LIMIT, np.floor(256 * x))) for x in e] + [0] * (2 - len(e))
+            held[i] = [np.floor(256 * x) for x in e] + [0] * (2 - len(e))
     for k, lists in ((1, 1), (2, 2), (4, 2), (50, 2)):
         want = []
         for q in (0, 50, 100):
@@ -239,6 +247,9 @@ def test_top_k(spark):
                 want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores)]
         same(topk.search(table, table.filter("vec_id % 50 = 0"), k, lists).collect(), want)
     assert topk.search(table.limit(0), table.limit(0), 3).count() == 0
+    wide = spark.createDataFrame([(0, [1e30]), (1, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="OverflowError"):
+        topk.search(wide, wide.filter("vec_id = 0"), 1).collect()
 
 
 def test_top_k_in_blocks(spark):

@@ -3,7 +3,9 @@
 import corpus_pipeline
 import plain
 from conftest import EDGE, SMALL
+from test_neardup import least, similar_pairs
 
+from lexloom.llm import langid
 from lexloom.session import scratch_path
 
 
@@ -15,18 +17,29 @@ def staged(spark, docs, sf_dir):
         yield name, docs
 
 
+def floor(scores):
+    """The language stage's floor by all labelled texts' scores: as far under the lowest hundredth as that is under the median."""
+    scores = sorted(scores)
+    at = lambda p: scores[max(0, -(-int(len(scores) * p * 1000) // 1000) - 1)]
+    return max(0.0, 2 * at(0.01) - at(0.5)) if len(scores) >= langid.FLOOR_ROWS else 0.0
+
+
 def expected(rows, items):
     """(doc_id, text) kept by each filtering stage. rows: doc_id, text, lang."""
     profile = plain.profiles([(t, lang) for d, t, lang in rows if not plain.held_out(d)])
-    now = [(d, t) for d, t, _ in rows if (plain.language(t, profile)[0] != "und" if profile else any(c.isalpha() for c in t or ""))]
+    named = [plain.language(t, profile) for _, t, _ in rows]
+    least_score = floor([s for (d, _, lang), (p, s) in zip(rows, named) if not plain.held_out(d) and lang is not None and p != "und"])
+    now = [(d, t) for (d, t, _), (p, s) in zip(rows, named) if (p != "und" and s >= least_score - 1e-12 if profile else any(c.isalpha() for c in t or ""))]
     yield now
     lines = plain.line_dedup(set(now))
     now = [(d, lines[d, t][2]) for d, t in now if not lines[d, t][1] or lines[d, t][2].strip()]
     yield now
+    # repeated ids with other texts are apart until a similarity joins them
+    held = list(dict.fromkeys(now))
+    group = least(list(enumerate(t for _, t in held)), similar_pairs(list(enumerate(t for _, t in held))))
     first = {}
-    for (d, t), (_, _, c) in zip(now, plain.simhash_components(now)):
-        if d == c:
-            first.setdefault(c, (d, t))
+    for i, (d, t) in sorted(enumerate(held), key=lambda x: (x[1][0] is None, x[1][0])):
+        first.setdefault(group[i], (d, t))
     now = list(first.values())
     yield now
     leaked = {d for d, _ in plain.leaks(now, items)}
