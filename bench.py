@@ -24,17 +24,24 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "lexloom-bench", **{"spark.ui.showConsoleProgress": "false"})
-    run = lambda n, d=sf_dir: plans.QUERIES[n](spark, d).write.format("noop").mode("overwrite").save()
+    failed = {}
+
+    def run(n, d):
+        """Seconds of a query; one that fails is listed and the others go on."""
+        t = time.perf_counter()
+        try:
+            plans.QUERIES[n](spark, d).write.format("noop").mode("overwrite").save()
+        except Exception as e:
+            failed[n] = f"{type(e).__name__}: {str(e)[:300]}"
+        return round(time.perf_counter() - t, 3)
+
     # one untimed pass over the smallest folder warms the JVM's code paths
     small = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
     for n in names if os.path.isdir(small) else []:
         run(n, small)
-    times = {}
-    for n in names:
-        t = time.perf_counter()
-        run(n)
-        times[n] = round(time.perf_counter() - t, 3)
-    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times, "sf": os.path.basename(sf_dir.rstrip("/"))}))
+    times = {n: run(n, sf_dir) for n in names}
+    times = {n: s for n, s in times.items() if n not in failed}
+    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")), **({"failed": failed} if failed else {})}))
     spark.stop()
 
 

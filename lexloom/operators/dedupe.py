@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from lexloom.functions import text as tx
-from lexloom.operators.ordered import first_row, global_scan, split_row_number, top_k
+from lexloom.operators import grams
+from lexloom.operators.ordered import first_row, global_scan, split_row_number
 from lexloom.session import cut
 
 
@@ -19,49 +20,92 @@ SIMILAR_RATIO, MIN_CONTAINED, LONG_WORD, SHARED_LONG = 0.82, 15, 5, 2  # fixed v
 
 def similar(a, b):
     """Two normalised descriptions: containment, token overlap, or shared long words."""
-    wa, wb = (F.array_distinct(F.filter(F.split(x, " "), lambda w: w != "")) for x in (a, b))
+    wa, wb = _word_set(a), _word_set(b)
     both = F.array_intersect(wa, wb)
     contained = (F.length(a) >= MIN_CONTAINED) & (F.length(b) >= MIN_CONTAINED) & (F.contains(a, b) | F.contains(b, a))
     overlap = (a != "") & (b != "") & (F.size(both) / F.greatest(F.size(wa), F.size(wb)) >= SIMILAR_RATIO)
     return contained | overlap | (F.size(F.filter(both, lambda w: F.length(w) >= LONG_WORD)) >= SHARED_LONG)
 
 
-def cluster_publications(pubs, keys, text, ord_col="ingest_ord", block=64):
+def _word_set(c):
+    return F.array_distinct(F.filter(F.split(c, " "), lambda w: w != ""))
+
+
+def alike_by_words(d):
+    """(_g, a, b), a before b: candidates for the share of common words, by exact prefix filtering.
+
+    d: _g, _o, _t. Two word sets of that share have one of the rarest words of either in common: of n words, the rarest
+    n - 0.82 n + 1, in the group's order of how many descriptions hold them. Sizes and places bound the share further.
+    """
+    n = F.size("_w")
+    held = d.select("_g", "_o", _word_set(F.col("_t")).alias("_w"))
+    words = held.select("_g", "_o", n.alias("_n"), F.explode("_w").alias("_x"))
+    often = words.groupBy("_g", "_x").agg(F.count(F.lit(1)).alias("_often"))
+    order = words.join(often, ["_g", "_x"]).groupBy("_g", "_o", "_n").agg(F.sort_array(F.collect_list(F.struct("_often", "_x"))).alias("_w"))
+    least = lambda n: F.ceil(F.lit(round(SIMILAR_RATIO * 100)) * n / 100).cast("int")
+    keys = cut(order.select("_g", "_o", "_n", F.posexplode(F.slice("_w", F.lit(1), F.col("_n") - least(F.col("_n")) + 1)).alias("_at", "_k")).filter("_k._often > 1").select("_g", "_k._x", "_o", "_n", "_at"))
+    side = lambda p: keys.select("_g", "_x", *[F.col(c).alias(f"{p}{c}") for c in ("_o", "_n", "_at")])
+    both = side("a").join(side("b"), ["_g", "_x"]).filter("a_o < b_o")
+    need, rest = least(F.greatest("a_n", "b_n")), F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))
+    return both.filter((F.least("a_n", "b_n") >= need) & (rest >= need)).select("_g", F.col("a_o").alias("a"), F.col("b_o").alias("b")).distinct()
+
+
+def _contained(d):
+    """(_g, a, b), a before b: one holds the other, and both have the length for that."""
+    long = d.filter(F.length("_t") >= MIN_CONTAINED)
+    name = lambda c, o: long.select("_g", grams.key_of("_t").alias(c), F.col("_o").alias(o))
+    pairs = grams.contained(long, long, "_t", "_t", ["_g"]).join(name("_tk", "x"), ["_g", "_tk"]).join(name("_nk", "y"), ["_g", "_nk"]).filter("x <> y")
+    return pairs.select("_g", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def cluster_publications(pubs, keys, text, ord_col="ingest_ord"):
     """DED2: greedy clusters per group; a row joins the first cluster whose representative
     (its first member) is similar. ``cluster`` is the representative's position.
 
     NULL and blank text keys are one group, as a missing phase is a phase of its own. Equal
-    descriptions always share a fate, so distinct ones are clustered. Rounds keep a hot group
-    out of one task: a round takes the first ``block`` open descriptions of each group,
-    settles them among each other, and compares every other open description with the at most
-    ``block`` representatives found. That is the sequential greedy, because whatever comes
-    before a block is already settled. Blank descriptions stay alone.
+    descriptions always share a fate, so distinct ones are clustered. Blank ones stay alone.
+
+    Two shared long words are one key, a pair of words, and whoever has a key is similar to
+    all that have it; no pair of descriptions is made for that. The other two rules give
+    verified pairs, from indexes. A round makes every description a representative that is
+    the first open one behind each of its keys and pairs, and settles what is similar to it.
+    That is the sequential greedy: nothing before a representative could have taken it. Rounds
+    follow the longest chain of descriptions each similar to the one before, not the clusters.
     """
     group = F.struct(*[(F.when(F.trim(k) != "", F.col(k)) if pubs.schema[k].dataType.typeName() == "string" else F.col(k)).alias(k) for k in keys])
     df = pubs.withColumns({"_t": tx.title_key(text), "_g": group})
-    pending, done = cut(df.filter("_t <> ''").groupBy("_g", "_t").agg(F.min(ord_col).alias("_o"))), None
-    while True:
-        head = top_k(pending, ["_g"], ["_o"], block, "_k")
-        near = head.alias("a").join(head.alias("b"), (F.col("a._g") == F.col("b._g")) & (F.col("b._k") < F.col("a._k")) & similar(F.col("a._t"), F.col("b._t")))
-        near = near.groupBy(F.col("a._g").alias("_g"), F.col("a._k").alias("_k")).agg(F.collect_set("b._k").alias("_near"))
-        head = head.join(near, ["_g", "_k"], "left").withColumn("_near", F.coalesce("_near", F.array().cast("array<int>")))
-        # a description opens a cluster unless an earlier opener is similar
-        opens = F.aggregate(F.sort_array(F.collect_list(F.struct("_k", "_near"))), F.array().cast("array<int>"),
-                            lambda a, x: F.when(F.arrays_overlap(a, x["_near"]), a).otherwise(F.array_append(a, x["_k"])))
-        head = head.join(head.groupBy("_g").agg(opens.alias("_opens")), "_g")
-        rep = F.array_min(F.array_intersect("_opens", F.array_append("_near", F.col("_k"))))
-        head = cut(head.select("_g", "_t", "_o", "_k", rep.alias("_r")))
-        firsts = head.filter("_k = _r").select("_g", F.col("_k").alias("_r"), F.col("_o").alias("_rep"), F.col("_t").alias("_rt"))
-        got = head.join(firsts, ["_g", "_r"]).select("_g", "_t", "_rep")
-        done = got if done is None else done.unionByName(got)
-        rest = pending.join(head.select("_g", "_t"), ["_g", "_t"], "left_anti")
-        if rest.isEmpty():
-            break
-        reps = firsts.groupBy("_g").agg(F.sort_array(F.collect_list(F.struct("_rep", "_rt"))).alias("_reps"))
-        hit = F.get(F.filter("_reps", lambda r: similar(F.col("_t"), r["_rt"])), F.lit(0))
-        rest = cut(rest.join(reps, "_g", "left").withColumn("_rep", hit["_rep"]).select("_g", "_t", "_o", "_rep"))
-        done = done.unionByName(rest.filter("_rep IS NOT NULL").select("_g", "_t", "_rep"))
-        pending = rest.filter("_rep IS NULL").drop("_rep")
+    d = cut(df.filter("_t <> ''").groupBy("_g", "_t").agg(F.min(ord_col).alias("_o")))
+    long = F.array_sort(F.filter(_word_set(F.col("_t")), lambda w: F.length(w) >= LONG_WORD))
+    two = F.flatten(F.transform(long, lambda w, i: F.transform(F.slice(long, i + 2, F.size(long)), lambda v: F.concat(w, F.lit(" "), v))))
+    shared = d.select("_g", "_o", F.explode(two).alias("_k"))
+    shared = cut(shared.join(shared.groupBy("_g", "_k").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_g", "_k"), ["_g", "_k"], "left_semi"))
+    named = lambda p: d.select("_g", F.col("_o").alias(p), F.col("_t").alias(f"{p}_t"))
+    pairs = alike_by_words(d).join(named("a"), ["_g", "a"]).join(named("b"), ["_g", "b"]).filter(similar(F.col("a_t"), F.col("b_t"))).select("_g", "a", "b")
+    pairs = cut(pairs.unionByName(_contained(d)).distinct())
+
+    node, open_, reps = ["_g", "_o"], d.select("_g", "_o"), None
+    linked = cut(shared.select(*node).union(pairs.select("_g", "a")).union(pairs.select("_g", "b")).distinct())
+    reps, open_ = open_.join(linked, node, "left_anti"), linked  # what is similar to nothing stands alone
+    left, edges = shared, pairs
+    while not open_.isEmpty():
+        first = left.groupBy("_g", "_k").agg(F.min("_o").alias("_first"))
+        held = left.join(first, ["_g", "_k"])
+        later = held.filter("_o > _first").select(*node).union(edges.select("_g", "b")).distinct()
+        new = cut(open_.join(later, node, "left_anti"))
+        of = lambda c: new.select("_g", F.col("_o").alias(c))
+        gone = held.join(of("_first"), ["_g", "_first"], "left_semi").select(*node).union(edges.join(of("a"), ["_g", "a"], "left_semi").select("_g", "b")).union(new.select(*node)).distinct()
+        reps, open_ = reps.unionByName(new), cut(open_.join(gone, node, "left_anti"))
+        left = cut(left.join(open_, node, "left_semi"))
+        still = lambda c: open_.select("_g", F.col("_o").alias(c))
+        edges = cut(edges.join(still("a"), ["_g", "a"], "left_semi").join(still("b"), ["_g", "b"], "left_semi"))
+    reps = cut(reps)
+    # the first representative that is similar and comes before; no two of them share a key
+    of = lambda c: reps.select("_g", F.col("_o").alias(c))
+    by_key = shared.join(shared.join(reps, node, "left_semi").select("_g", "_k", F.col("_o").alias("_rep")), ["_g", "_k"]).select(*node, "_rep").filter("_rep <= _o")
+    by_pair = pairs.join(of("a"), ["_g", "a"], "left_semi").select("_g", F.col("b").alias("_o"), F.col("a").alias("_rep"))
+    rep = by_key.unionByName(by_pair).unionByName(reps.select(*node, F.col("_o").alias("_rep"))).groupBy(*node).agg(F.min("_rep").alias("_rep"))
+    own = reps.select(*node, F.lit(True).alias("_own"))
+    done = d.join(rep, node).join(own, node, "left").select("_g", "_t", F.when(F.col("_own"), F.col("_o")).otherwise(F.col("_rep")).alias("_rep"))
     return df.join(done, ["_g", "_t"], "left").select(*pubs.columns, F.coalesce("_rep", ord_col).alias("cluster"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lexloom import rules
 from lexloom.functions import ids, text as tx
-from lexloom.operators import cite, grams
+from lexloom.operators import cite, grams, nearest
 from lexloom.operators.ordered import first_row, sorted_stream, split_row_number, top_k
 from lexloom.session import cut
 
@@ -378,11 +378,11 @@ def candidate_targets(texts, docs, k=15, text="text", row_id="text_id"):
     members = top_k(prof.select("pid", "document_id", "ingest_ord"), ["pid"], ["ingest_ord"], k, "member")
     p = prof.groupBy("pid", "num", "gaz", "ttl", "yr").agg(F.min("ingest_ord").alias("first_ord")).withColumn("tw", _title_words(F.col("ttl")))
     plain = F.col("num").rlike(rules.PLAIN_NUMBER)
-    tokens = [(F.when((F.col("num") != "") & plain, F.concat(F.lit("n:"), "num")), 100), (F.when((F.col("num") != "") & ~plain, F.concat(F.lit("N:"), "num")), 80),
-              (F.when(F.col("gaz") != "", F.concat(F.lit("g:"), "gaz")), 60), (F.when(F.col("ttl") != "", F.concat(F.lit("t:"), "ttl")), 0)]
-    index = p.select("pid", "num", "gaz", "ttl", "yr", "first_ord", "tw", F.inline(F.filter(F.array(*[F.struct(c.alias("tok"), F.lit(n).alias("pts")) for c, n in tokens]), lambda x: x["tok"].isNotNull())))
+    tokens = F.array_compact(F.array(F.when((F.col("num") != "") & plain, F.concat(F.lit("n:"), "num")), F.when((F.col("num") != "") & ~plain, F.concat(F.lit("N:"), "num")),
+                                     F.when(F.col("gaz") != "", F.concat(F.lit("g:"), "gaz")), F.when(F.col("ttl") != "", F.concat(F.lit("t:"), "ttl"))))
+    index = p.select("pid", "num", "gaz", "ttl", "yr", "first_ord", "tw", F.explode(tokens).alias("tok"))
     # behind a token, profiles alike in all that can score are interchangeable but for their order
-    index = top_k(index, ["tok", "num", "gaz", "yr", "tw", "ttl"], ["first_ord"], k, "_m").drop("_m")
+    index = top_k(index, ["tok", "num", "gaz", "yr", "tw", "ttl"], ["first_ord"], k, "_m").select("tok", "pid", "num", "gaz", "yr", "tw", "ttl", "first_ord")
     lower = F.lower(text)
     every = lambda pattern: F.regexp_extract_all(lower, F.lit(pattern), F.lit(1))
     tag = lambda a, pre: F.transform(a, lambda x: F.concat(F.lit(pre), x))
@@ -397,14 +397,12 @@ def candidate_targets(texts, docs, k=15, text="text", row_id="text_id"):
         tag(F.filter(F.split(tx.entity_key(text), " "), lambda w: w.rlike(r"^[a-zà-ü]{4,}$")), "w:"))))
     tt = texts.select(row_id, toks.alias("toks")).withColumn("sig", F.xxhash64("toks"))
     sigs = tt.groupBy("sig").agg(F.first("toks").alias("toks"))
-    post = sigs.select("sig", F.explode("toks").alias("tok")).filter(~F.col("tok").startswith("w:") & ~F.col("tok").startswith("y:") & ~F.col("tok").startswith("G:"))
-    base = post.join(index, "tok").groupBy("sig", "pid").agg(
-        F.max(F.when(F.lower(F.substring("tok", 1, 2)) == "n:", F.col("pts"))).alias("n_pts"), F.max(F.when(F.col("tok").startswith("g:"), F.col("pts"))).alias("g_pts"))
-    full = base.join(sigs, "sig").join(p, "pid")
+    full = candidate_pairs(sigs, index, k).join(sigs, "sig").join(p, "pid")
     has = lambda pre, c: F.array_contains("toks", F.concat(F.lit(pre), c))
     shared = F.size(F.array_intersect(F.transform("tw", lambda w: F.concat(F.lit("w:"), w)), F.col("toks")))
-    score = (F.coalesce("n_pts", F.lit(0)) + F.when(has("G:", F.col("gaz")), 90).otherwise(F.coalesce("g_pts", F.lit(0))) + shared * 5
-             + F.when(has("t:", F.col("ttl")), 50).otherwise(0) + F.when((F.col("yr") != "") & has("y:", F.col("yr")), 5).otherwise(0))
+    number = F.when((F.col("num") != "") & plain & has("n:", F.col("num")), 100).when((F.col("num") != "") & ~plain & has("N:", F.col("num")), 80).otherwise(0)
+    gazette = F.when(F.col("gaz") == "", 0).when(has("G:", F.col("gaz")), 90).when(has("g:", F.col("gaz")), 60).otherwise(0)
+    score = number + gazette + shared * 5 + F.when(has("t:", F.col("ttl")), 50).otherwise(0) + F.when((F.col("yr") != "") & has("y:", F.col("yr")), 5).otherwise(0)
     full = full.select("sig", "pid", "first_ord", score.alias("score"))
     best = top_k(full, ["sig"], [F.col("score").desc(), "first_ord"], k, "_r").drop("_r")
     rows = best.join(members, "pid").select("sig", "score", "document_id", "ingest_ord")
@@ -412,6 +410,36 @@ def candidate_targets(texts, docs, k=15, text="text", row_id="text_id"):
     return tt.select(row_id, "sig").join(rows, "sig").select(row_id, "rank", "document_id", "score")
 
 
+HOT_TOKEN = 1000  # profiles behind a token, and behind a token and a feature, that are read whole
+
+
+def candidate_pairs(sigs, index, k, hot=HOT_TOKEN):
+    """(sig, pid): every profile that can be among a text's k best, without reading a hot token's profiles.
+
+    sigs: sig, toks. index: tok, pid, num, gaz, yr, tw, ttl, first_ord. A token with at most ``hot`` profiles is read
+    whole. Behind another, what can add to a profile's score are its features. The profiles with a rare feature of
+    the text (at most ``hot`` have it) are read; any other scores by its common features alone, and so does no better
+    than the first k that have the same ones, which are read too.
+    """
+    post = sigs.select("sig", F.explode("toks").alias("tok")).filter(~F.substring("tok", 1, 2).isin("w:", "y:", "G:"))
+    many = cut(index.groupBy("tok").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot).select("tok"))
+    cold = post.join(index.join(many, "tok", "left_anti").select("tok", "pid"), "tok")
+    pre = lambda p, c: F.when(F.col(c) != "", F.concat(F.lit(p), c))
+    words = F.transform("tw", lambda w: F.concat(F.lit("w:"), w))
+    own = F.concat(words, F.array_compact(F.array(pre("y:", "yr"), pre("g:", "gaz"), pre("G:", "gaz"), pre("t:", "ttl"), pre("n:", "num"), pre("N:", "num"))))
+    held = index.join(many, "tok", "left_semi").select("tok", "pid", "first_ord", F.explode(F.filter(own, lambda x: x != F.col("tok"))).alias("feature"))
+    often = held.groupBy("tok", "feature").agg(F.count(F.lit(1)).alias("_n"))
+    held = cut(held.join(often, ["tok", "feature"]))
+    rare = held.filter(F.col("_n") <= hot).select("tok", "feature", "pid")
+    common = held.groupBy("tok", "pid", "first_ord").agg(F.sort_array(F.collect_list(F.when(F.col("_n") > hot, F.col("feature")))).alias("common"))
+    # a profile behind a hot token without any feature stands with those that have no common one
+    bare = index.join(many, "tok", "left_semi").select("tok", "pid", "first_ord").join(held.select("tok", "pid").distinct(), ["tok", "pid"], "left_anti")
+    heads = top_k(common.unionByName(bare.withColumn("common", F.array().cast("array<string>"))), ["tok", "common"], ["first_ord"], k, "_m").select("tok", "pid")
+    asked = post.join(many, "tok", "left_semi")
+    by_feature = asked.join(sigs, "sig").select("sig", "tok", F.explode("toks").alias("feature")).join(rare, ["tok", "feature"])
+    return cold.select("sig", "pid").unionByName(asked.join(heads, "tok").select("sig", "pid")).unionByName(by_feature.select("sig", "pid")).distinct()
+
+
 def candidates_for_items(items, docs, k=10, keys=("source_id", "item_no")):
     """JON17: best documents for structured citations.
 
@@ -502,39 +530,12 @@ def match_section_prefix(items, sections, keys=("source_id", "item_no"), titles=
 
 
 # ---- JON20: nearest vectors ---------------------------------------------------------------------------------
-def knn(queries, corpus, k, threshold=None, block=4096, ident="vec_id", vector="embedding"):
-    """JON20: exact cosine top-k by blocks.
+def knn(queries, corpus, k, threshold=None, ident="vec_id", vector="embedding"):
+    """JON20: the k nearest corpus vectors of each query by cosine, exact; ties go to the smaller id.
 
-    The corpus is cut into blocks and every query block visits each of them through an equi
-    join on the block number; one matrix product per pair of blocks runs inside a task and
-    returns only its k best per query. The search itself is exhaustive, as exact search is.
+    Blocks of near vectors that can't hold a better one are skipped (``nearest``).
     """
-    n_blocks = max(1, -(-corpus.count() // block))
-    packed = lambda df, b: df.groupBy(b).agg(F.collect_list(F.struct(F.col(ident).alias("id"), F.col(vector).alias("v"))).alias("rows"))
-    c = packed(corpus.withColumn("cb", F.pmod(F.xxhash64(ident), F.lit(n_blocks))), "cb").select("cb", F.col("rows").alias("c"))
-    q_blocks = max(1, -(-queries.count() // 1024))
-    q = packed(queries.withColumn("qb", F.pmod(F.xxhash64(ident), F.lit(q_blocks))), "qb").select(F.col("rows").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("cb"))
-
-    def search(batches):
-        import numpy as np
-        import pandas as pd
-        unit = lambda rows: (np.array([r["id"] for r in rows]), _unit(np.array([r["v"] for r in rows], dtype="float64")))
-        for pdf in batches:
-            for qs, cs in zip(pdf["q"], pdf["c"]):
-                (qi, qv), (ci, cv) = unit(qs), unit(cs)
-                sim = qv @ cv.T
-                top = np.argsort(-sim, axis=1, kind="stable")[:, :k]
-                yield pd.DataFrame({"query_id": np.repeat(qi, top.shape[1]), "neighbour_id": ci[top].ravel(), "similarity": np.take_along_axis(sim, top, 1).ravel()})
-
-    def _unit(m):
-        import numpy as np
-        n = np.linalg.norm(m, axis=1, keepdims=True)
-        return m / np.where(n == 0, 1, n)
-
-    hits = q.join(c, "cb").select("q", "c").mapInPandas(search, "query_id bigint, neighbour_id bigint, similarity double")
-    if threshold is not None:
-        hits = hits.filter(F.col("similarity") >= threshold)
-    return top_k(hits, ["query_id"], [F.col("similarity").desc(), "neighbour_id"], k)
+    return nearest.Index(corpus, ident, vector).search(queries, k, threshold, ident, vector)
 
 
 def resolve_titles(queries, targets, threshold=0.75):

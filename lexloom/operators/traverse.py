@@ -1,5 +1,6 @@
 """Walks, components and subgraphs. Iterative jobs write each round to reliable checkpoints."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lexloom import rules
@@ -158,39 +159,76 @@ def component_stats(sec, s2s, s2d, comp):
     return s.withColumns({"has_citation": F.col("n_citations") > 0, "fixed_tenths": F.col("section_tenths") + F.col("n_edges") * rules.EDGE_BYTES * 10})
 
 
-def select_components(stats, comp_docs, docs, target_bytes):
+GREEDY_ROWS = 500_000  # components and shared documents that one task decides
+
+
+def _greedy(batches, budget):
+    """The components taken, of rows sorted by rank: first the component (document NULL), then the documents it shares."""
+    paid, new, now, out = set(), set(), None, []
+
+    def settle():
+        nonlocal budget
+        if now and now[2] <= budget:
+            budget -= now[2]
+            paid.update(new)
+            out.append(now)
+
+    schema = None
+    for b in batches:
+        schema = b.schema
+        for rank, component, document, tenths in zip(*(b.column(c).to_pylist() for c in ("rank", "component", "document", "tenths"))):
+            if now is None or rank != now[1]:
+                settle()
+                now, new = (component, rank, tenths), set()
+            elif document not in paid:
+                now = (component, rank, now[2] + tenths)
+                new.add(document)
+    settle()
+    if out:
+        names = ["component", "rank", "tenths"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, schema.field(n).type) for n, c in zip(names, zip(*out))], names=names)
+
+
+def select_components(stats, comp_docs, docs, target_bytes, limit=GREEDY_ROWS):
     """GRF6: components in order of (cites, citations, smaller), each taken whole if it
     fits what is left of the byte budget; a document is paid for once.
 
-    The greedy runs in rounds. In the remaining order, documents are charged to the first
-    component that needs them and costs are summed up; everything up to the first misfit is
-    taken at once, which is exact because all of its predecessors were taken. The misfit is
-    dropped, and so is every component whose sections and edges alone exceed the rest.
+    A component's own part is what its sections, edges and the documents that no other needs
+    cost. Components whose own part exceeds the rest are dropped in bulk at any time, as the
+    rest only shrinks. The others come in blocks of the order with at most ``limit`` rows: a
+    row for a component and for each unpaid document that it shares. One task decides a block
+    in order, which equals the sequential greedy. Rounds are bounded by the rows over ``limit``.
 
     comp_docs: component, document (distinct). docs: document, n_chars.
     """
     per, fixed = rules.DOCUMENT_BYTES
     cost = docs.select("document", (F.col("n_chars") * round(per * 10) + fixed * 10).alias("doc_tenths"))
-    order = [F.col("has_citation").desc(), F.col("n_citations").desc(), F.col("section_tenths"), F.col("component")]
-    left = cut(global_scan(stats, order, {}, "rank").select("component", "rank", "fixed_tenths"))
     need = cut(comp_docs.join(cost, "document"))
-    budget, chosen = target_bytes * 10, None
+    users = need.groupBy("document").agg(F.count(F.lit(1)).alias("_users"))
+    need = need.join(users, "document")
+    own = need.filter("_users = 1").groupBy("component").agg(F.sum("doc_tenths").alias("_own"))
+    shared = cut(need.filter("_users > 1").select("component", "document", "doc_tenths"))
+    comps = stats.join(own, "component", "left").join(shared.groupBy("component").agg(F.count(F.lit(1)).alias("_n")), "component", "left")
+    comps = comps.withColumns({"least": F.col("fixed_tenths") + F.coalesce("_own", F.lit(0)), "rows": F.lit(1) + F.coalesce("_n", F.lit(0))})
+    order = [F.col("has_citation").desc(), F.col("n_citations").desc(), F.col("section_tenths"), F.col("component")]
+    ranked = cut(global_scan(comps, order, {"cum": "rows"}, "rank").select("component", "rank", F.col("least").cast("long").alias("least"), "rows", "cum"))
+    budget, last = target_bytes * 10, 0
+    chosen = ranked.select("component", "rank", F.col("least").alias("tenths")).limit(0)
     while True:
-        left = left.filter(F.col("fixed_tenths") <= budget)
-        first = need.join(left.select("component", "rank"), "component").groupBy("document").agg(F.min_by(F.struct("component", "doc_tenths"), "rank").alias("x"))
-        extra = first.groupBy(F.col("x.component").alias("component")).agg(F.sum("x.doc_tenths").alias("extra"))
-        priced = left.join(extra, "component", "left").withColumn("inc", F.col("fixed_tenths") + F.coalesce("extra", F.lit(0)))
-        run = cut(global_scan(priced, [F.col("rank")], {"cum": "inc"}, "_n"))
-        last, spent, misfit = run.agg(F.max(F.when(F.col("cum") <= budget, F.col("rank"))), F.max(F.when(F.col("cum") <= budget, F.col("cum"))), F.min(F.when(F.col("cum") > budget, F.col("rank")))).first()
-        if last is not None:
-            got = run.filter(F.col("rank") <= last).select("component", "rank", (F.col("inc") / 10).alias("bytes"))
-            chosen = got if chosen is None else chosen.unionByName(got)
-            budget -= spent
-            paid = need.join(got.select("component"), "component", "left_semi").select("document").distinct()
-            need = cut(need.join(paid, "document", "left_anti"))
-        if misfit is None:
-            return chosen if chosen is not None else run.limit(0).select("component", "rank", (F.col("inc") / 10).alias("bytes"))
-        left = cut(left.filter(F.col("rank") > misfit))
+        left = ranked.filter((F.col("rank") > last) & (F.col("least") <= budget))
+        start = left.agg(F.min(F.struct("rank", "cum", "rows")).alias("x")).first()["x"]
+        if start is None:
+            return chosen.select("component", "rank", (F.col("tenths") / 10).alias("bytes"))
+        block = left.filter((F.col("cum") <= start["cum"] - start["rows"] + limit) | (F.col("rank") == start["rank"]))
+        last = block.agg(F.max("rank")).first()[0]
+        rows = block.select("rank", "component", F.lit(None).cast(shared.schema["document"].dataType).alias("document"), F.col("least").alias("tenths")).unionByName(
+            shared.join(block.select("component", "rank"), "component").select("rank", "component", "document", F.col("doc_tenths").cast("long").alias("tenths")))
+        one = rows.repartition(1).sortWithinPartitions("rank", F.col("document").asc_nulls_first())
+        taken = cut(one.mapInArrow(lambda batches, rest=budget: _greedy(batches, rest), chosen.schema))
+        budget -= taken.agg(F.coalesce(F.sum("tenths"), F.lit(0))).first()[0]
+        paid = shared.join(taken.select("component"), "component", "left_semi").select("document").distinct()
+        shared = cut(shared.join(paid, "document", "left_anti"))
+        chosen = chosen.unionByName(taken)
 
 
 def neighbourhood(ids, nodes, edges):

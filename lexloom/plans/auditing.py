@@ -70,9 +70,9 @@ def _(t):
     return dedupe.distinct_ordered(t.publications, ["record_id"], "butlleti", "pos")
 
 
-@query("win1_number_sections", """SELECT section_id, row_number() OVER (PARTITION BY document_id ORDER BY ord) AS section_no, row_number() OVER (PARTITION BY document_id ORDER BY ord) - 1 AS "order" FROM legal_sections WHERE ord % 3 <> 1""")
+@query("win1_number_sections", """SELECT section_id, row_number() OVER (PARTITION BY document_id ORDER BY ord) AS section_no, row_number() OVER (PARTITION BY document_id ORDER BY ord) - 1 AS "order" FROM legal_sections""")
 def _(t):
-    return dedupe.number_sections(t.legal_sections.filter("ord % 3 <> 1")).select("section_id", "section_no", "order")
+    return dedupe.number_sections(t.legal_sections).select("section_id", "section_no", "order")
 
 
 @query("win2_synthetic_ids", """SELECT f.id AS feed_id, row_number() OVER (ORDER BY f.ingest_ord) + (SELECT max(document_id) FROM legal_docs) AS id FROM bulletin_feed f""")
@@ -290,10 +290,12 @@ def _(t):
 
 
 # ---- samples ----------------------------------------------------------------------------------
-@query("smp1_quota_sample", f"""WITH {SQL_UNITS}, b AS (SELECT CASE WHEN type = 'normatives-locals' THEN 'normative' ELSE 'non_normative' END AS bucket, gaz AS in_gazette, count(*) AS n FROM u GROUP BY 1, 2)
-SELECT bucket, in_gazette, least(n, CASE WHEN bucket = 'normative' AND in_gazette THEN 9 WHEN bucket = 'normative' THEN 21 WHEN in_gazette THEN 21 ELSE 49 END) AS n FROM b""")
+@query("smp1_quota_sample", f"""WITH {SQL_UNITS}, i AS (SELECT CASE WHEN type = 'normatives-locals' THEN 'normative' ELSE 'non_normative' END AS bucket, gaz AS in_gazette, institucio, count(*) AS k FROM u GROUP BY 1, 2, 3),
+b AS (SELECT bucket, in_gazette, sum(k) AS n, sum(least(k, 2)) AS under_cap, CASE WHEN bucket = 'normative' AND in_gazette THEN 9 WHEN bucket = 'normative' THEN 21 WHEN in_gazette THEN 21 ELSE 49 END AS quota FROM i GROUP BY 1, 2)
+SELECT bucket, in_gazette, CAST(least(n, quota) AS BIGINT) AS n, least(n, quota) <= under_cap AS within_cap FROM b""")
 def _(t):
-    return sample.quota_sample(units(t)).groupBy("bucket", "in_gazette").agg(F.count(F.lit(1)).alias("n"))
+    per = sample.quota_sample(units(t)).groupBy("bucket", "in_gazette", "institucio").agg(F.count(F.lit(1)).alias("k"))
+    return per.groupBy("bucket", "in_gazette").agg(F.sum("k").alias("n"), (F.max("k") <= 2).alias("within_cap"))
 
 
 @query("smp2_valid_pool", f"""WITH {SQL_UNITS}, b AS (SELECT CASE WHEN type = 'normatives-locals' THEN 'normative' ELSE 'non_normative' END AS bucket, gaz AS in_gazette, count(*) FILTER (WHERE reachable AND pages <= 2) AS n FROM u GROUP BY 1, 2)

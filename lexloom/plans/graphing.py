@@ -154,7 +154,7 @@ def _(t):
     return traverse.bfs_sized(t.graph_edges, start, info, 200_000, 50_000).select("id", "level", "is_section", "n_bytes")
 
 
-@query("grf4_induced_subgraph", """WITH c AS (SELECT id FROM graph_nodes WHERE document_id % 4 = 1) SELECT src, dst, type FROM graph_edges WHERE src IN (SELECT id FROM c) AND dst IN (SELECT id FROM c) AND type <> 'HAS_SECTION'""")
+@query("grf4_induced_subgraph", """WITH c AS (SELECT DISTINCT id FROM graph_nodes WHERE document_id % 4 = 1) SELECT e.src, e.dst, e.type FROM graph_edges e JOIN c a ON a.id = e.src JOIN c b ON b.id = e.dst WHERE e.type <> 'HAS_SECTION'""")
 def _(t):
     chosen = t.graph_nodes.filter("document_id % 4 = 1").select("id")
     return traverse.subgraph(t.graph_nodes, t.graph_edges, chosen, ["HAS_SECTION"])[1].select("src", "dst", "type")

@@ -271,7 +271,7 @@ def _(t):
 @query("jon20_resolve_titles", """
 WITH q AS (SELECT e.vec_id AS query_id, e.embedding, CASE e.vec_id % 3 WHEN 0 THEN lower(d.title) WHEN 1 THEN concat('vegeu el dogc nº ', d.dogc_number) ELSE concat('un altre text ', CAST(e.vec_id AS VARCHAR)) END AS t, CASE WHEN e.vec_id % 3 = 1 THEN d.dogc_number END AS g FROM embeddings e JOIN legal_docs d ON d.document_id = e.vec_id),
 a AS (SELECT lower(title) AS t, arg_min(document_id, ingest_ord) AS id FROM legal_docs GROUP BY 1), b AS (SELECT dogc_number AS g, arg_min(document_id, ingest_ord) AS id FROM legal_docs GROUP BY 1),
-v AS (SELECT e.* FROM embeddings e JOIN legal_docs d ON d.document_id = e.vec_id WHERE e.vec_id % 2 = 1),
+v AS (SELECT e.* FROM embeddings e JOIN legal_docs d ON d.document_id = e.vec_id),
 n AS (SELECT q.query_id, arg_max(v.vec_id, (list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])), -v.vec_id)) AS id, max(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[]))) AS s FROM q, v GROUP BY 1)
 SELECT q.query_id, CASE WHEN a.id IS NOT NULL THEN a.id WHEN b.id IS NOT NULL THEN b.id WHEN n.s >= 0.75 THEN n.id END AS target_id,
   CASE WHEN a.id IS NOT NULL THEN 'title' WHEN b.id IS NOT NULL THEN 'gazette_number' WHEN n.s >= 0.75 THEN 'vector' END AS found_by
@@ -281,16 +281,16 @@ def _(t):
     title = (F.when(F.col("vec_id") % 3 == 0, F.concat(F.lit(" "), F.upper("title"))).when(F.col("vec_id") % 3 == 1, F.concat(F.lit("Vegeu el DOGC nº "), "dogc_number"))
              .otherwise(F.concat(F.lit("Un altre text "), F.col("vec_id").cast("string"))))
     queries = e.join(d, F.col("vec_id") == F.col("document_id")).select(F.col("vec_id").alias("query_id"), title.alias("title"), "embedding")
-    targets = d.join(e.filter("vec_id % 2 = 1"), F.col("vec_id") == F.col("document_id"), "left").select(F.col("document_id").alias("target_id"), "ingest_ord", "title", "dogc_number", "embedding")
+    targets = d.join(e, F.col("vec_id") == F.col("document_id"), "left").select(F.col("document_id").alias("target_id"), "ingest_ord", "title", "dogc_number", "embedding")
     return match.resolve_titles(queries, targets).select("query_id", "target_id", "found_by")
 
 
 @query("jon21_span_in_section", """
 SELECT s.annotation_id, CASE WHEN d.document_id IS NULL THEN 'Body' WHEN s.start_offset <= 19 + length(d.title) + 1 THEN 'Article 1. Objecte' ELSE concat('Article 2 ', d.organisme) END AS section_title
-FROM spans s LEFT JOIN (SELECT * FROM legal_docs WHERE document_id % 2 = 0) d ON d.document_id = s.doc_id""")
+FROM spans s LEFT JOIN legal_docs d ON d.document_id = s.doc_id""")
 def _(t):
     text = F.concat(F.lit("Article 1. Objecte\n"), "title", F.lit("\nArticle 2 "), "organisme", F.repeat(F.lit("\nuna linia de text."), 30))
-    secs = segment.offset_sections(t.legal_docs.filter("document_id % 2 = 0").select(F.col("document_id").alias("doc_id"), text.alias("text")))
+    secs = segment.offset_sections(t.legal_docs.select(F.col("document_id").alias("doc_id"), text.alias("text")))
     return match.locate_spans(t.spans, secs).select("annotation_id", "section_title")
 
 
@@ -327,6 +327,6 @@ def _(t):
     return match.not_yet_done(t.legal_docs, t.lineitem.select(F.col("l_orderkey").alias("document_id")), "document_id").select("document_id")
 
 
-@query("jon26_valid_endpoints", """SELECT src, dst, type FROM graph_edges WHERE src IN (SELECT id FROM graph_nodes) AND dst IN (SELECT id FROM graph_nodes WHERE document_id % 2 = 0) AND src IN (SELECT id FROM graph_nodes WHERE document_id % 2 = 0)""")
+@query("jon26_valid_endpoints", """WITH n AS (SELECT DISTINCT id FROM graph_nodes WHERE document_id % 2 = 0) SELECT e.src, e.dst, e.type FROM graph_edges e JOIN n a ON a.id = e.src JOIN n b ON b.id = e.dst""")
 def _(t):
     return match.induced_edges(t.graph_edges, t.graph_nodes.filter("document_id % 2 = 0")).select("src", "dst", "type")

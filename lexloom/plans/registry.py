@@ -141,7 +141,7 @@ def with_views(text: str) -> str:
                 todo.append(VIEWS[n])
     if not need:
         return text
-    ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in VIEWS if n in need)
+    ctes = ",\n".join(f"{n} AS MATERIALIZED ({VIEWS[n]})" for n in VIEWS if n in need)
     body = text.strip()
     low = body.lower()
     if low.startswith("with recursive"):

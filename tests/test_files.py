@@ -80,6 +80,29 @@ def test_refresh_is_idempotent(spark, tmp_path):
     assert run("c2").count() == 10  # a lost checkpoint replays everything and adds nothing
 
 
+def test_refresh_work_follows_the_batch(spark, tmp_path):
+    b = str(tmp_path)
+    schema = "id bigint, title string, n int"
+    d = lambda rows: spark.createDataFrame(rows, schema)
+    run = lambda ck: {r["id"]: r["title"] for r in refresh.refresh_table(spark, f"{b}/feed", d([]).schema, f"{b}/table", f"{b}/{ck}", "id", "n").collect()}
+    d([(i, f"first {i}", 1) for i in range(50)]).write.parquet(f"{b}/feed")
+    first = run("c1")
+    assert first == {i: f"first {i}" for i in range(50)}
+    # known keys, new ones, and one that arrives three times
+    d([(i, "again", 2) for i in range(40, 50)] + [(60, "later", 5), (60, "earliest", 3), (60, "last", 9), (None, "no id", 1)]).write.mode("append").parquet(f"{b}/feed")
+    want = {**first, 60: "earliest", None: "no id"}
+    assert run("c1") == want
+    folders = sorted(x.name for x in (tmp_path / "table").iterdir() if x.is_dir())
+    assert spark.read.parquet(f"{b}/table/{folders[-1]}").count() == 2 and len(folders) == 2
+    # the last batch is lost after it was written: its folder is written again
+    commits = sorted((x for x in (tmp_path / "c1" / "commits").iterdir() if x.name.isdigit()), key=lambda x: int(x.name))
+    for f in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        f.unlink(missing_ok=True)
+    assert run("c1") == want and spark.read.option("recursiveFileLookup", True).schema(schema).parquet(f"{b}/table").count() == 52
+    # a lost checkpoint replays all deliveries, and starts from the keys of the table
+    assert run("c2") == want and spark.read.option("recursiveFileLookup", True).schema(schema).parquet(f"{b}/table").count() == 52
+
+
 def test_bulk_csv_files_encode_lists_and_objects(spark, tmp_path):
     n = spark.createDataFrame([(1, ["A", "B"], (["x, y", 'z"'], None, 5, None)), (2, ["A"], (None, {"k": "v"}, None, None))], "id int, labels array<string>, props struct<tags:array<string>,more:map<string,string>,n:int,unused:string>")
     e = spark.createDataFrame([(1, 2, "X", {"l": [1, 2]})], "src int, dst int, type string, props map<string,array<int>>")

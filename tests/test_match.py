@@ -46,7 +46,7 @@ def _alike(a, b):
 def test_clusters_end_without_a_phase(spark):
     rows = [(1, None, i, f"aprovacio definitiva numero{i % 3}") for i in range(6)] + [(1, "", 6, "aprovacio definitiva"), (None, "a", 7, "aprovacio definitiva"), (1, None, 8, None)]
     df = spark.createDataFrame(rows, "record_id int, fase string, ingest_ord bigint, descripcio string")
-    got = {r["ingest_ord"]: r["cluster"] for r in dedupe.cluster_publications(df, ["record_id", "fase"], "descripcio", block=2).collect()}
+    got = {r["ingest_ord"]: r["cluster"] for r in dedupe.cluster_publications(df, ["record_id", "fase"], "descripcio").collect()}
     assert got == {**{i: 0 for i in range(7)}, 7: 7, 8: 8}
 
 
@@ -67,9 +67,22 @@ def test_cluster_publications_is_the_sequential_greedy(spark):
                 rep = o
             want[o] = rep
     df = spark.createDataFrame(rows, "record_id int, fase string, ingest_ord bigint, descripcio string")
-    for block in (7, 64):
-        got = {r["ingest_ord"]: r["cluster"] for r in dedupe.cluster_publications(df, ["record_id", "fase"], "descripcio", block=block).collect()}
-        assert got == want
+    got = {r["ingest_ord"]: r["cluster"] for r in dedupe.cluster_publications(df, ["record_id", "fase"], "descripcio").collect()}
+    assert got == want
+
+
+def test_ten_thousand_clusters_in_one_group(spark, monkeypatch):
+    """Every description shares words with all, and its two long ones with one other: rounds and pairs don't follow the clusters."""
+    n = 10_000
+    name = lambda i: f"expedient{i:05d}"
+    rows = [(1, "f", i, f"acte {i % n} de la taxa {name(i % n)} anunciada") for i in range(2 * n)]
+    df = spark.createDataFrame(rows, "record_id int, fase string, ingest_ord bigint, descripcio string")
+    d = df.select(F.struct("record_id").alias("_g"), F.col("ingest_ord").alias("_o"), F.regexp_replace("descripcio", "acte", "acta").alias("_t")).filter(F.col("_o") < n)
+    assert dedupe.alike_by_words(d).count() < 10 * n
+    rounds, cut = [], dedupe.cut
+    monkeypatch.setattr(dedupe, "cut", lambda x: rounds.append(1) or cut(x))
+    got = {r["ingest_ord"]: r["cluster"] for r in dedupe.cluster_publications(df.withColumn("descripcio", F.when(F.col("ingest_ord") >= n, F.concat("descripcio", F.lit(" bis"))).otherwise(F.col("descripcio"))), ["record_id", "fase"], "descripcio").collect()}
+    assert got == {i: i % n for i in range(2 * n)} and len(rounds) < 20
 
 
 def test_similarity_column_agrees_with_python(spark):
@@ -140,6 +153,29 @@ def test_candidate_targets_scores(spark):
     assert sorted(got[2]) == [(1, 3, 95)] and sorted(got[3]) == [(1, 2, 65)] and 4 not in got
 
 
+def test_a_number_on_very_many_titles(spark):
+    """100,000 titles under one number: few pairs are read, and the best are those of reading all."""
+    rnd = random.Random(11)
+    topics = [f"tema{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(676)]
+    rows = [(i, i, "5/2020", str(9000 + i % 7), f"Llei de {rnd.choice(topics)} general {rnd.choice(topics)} publica{'' if i % 2 else ' reformada'} lot {i}", f"01/02/{2000 + i % 3}") for i in range(100_000)]
+    docs = spark.createDataFrame(rows, "document_id int, ingest_ord int, document_number string, dogc_number string, title string, date_dogc string")
+    texts = spark.createDataFrame([(0, f"segons la llei 5/2020 de {topics[3]} i {topics[9]} general"), (1, "la llei 5/2020 reformada, DOGC nº 9003, de 2001"), (2, "vist el 5/2020"), (3, f"{rows[4321][4]} (5/2020)")], "text_id int, text string")
+    seen = {}
+    read, match_pairs = [], match.candidate_pairs
+    for hot in (1 << 40, 1000):
+        def pairs(sigs, index, k, hot=hot):
+            out = match_pairs(sigs, index, k, hot)
+            read.append(out.count())
+            return out
+        match.candidate_pairs = pairs
+        try:
+            seen[hot] = sorted(map(tuple, match.candidate_targets(texts, docs, k=15).collect()))
+        finally:
+            match.candidate_pairs = match_pairs
+    assert seen[1000] == seen[1 << 40] and len(seen[1000]) == 60
+    assert read[0] >= 400_000 and read[1] < read[0] / 20
+
+
 def test_catalogue_merge(spark):
     feed = spark.createDataFrame([("u1", "Llei", "2000", "10", "LLEI 1", 0), ("u1", "Decret", "2001", "", "", 1), (None, "x", "", "", "", 2)], "url string, type string, year string, dogc_number string, title string, ingest_ord int")
     manual = spark.createDataFrame([("u1",), ("u2",)], "url string")

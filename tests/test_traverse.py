@@ -53,8 +53,28 @@ def test_budget_selection_is_the_sequential_greedy(spark):
                 left, have, want[c] = left - inc, have | new, inc / 10
         s = spark.createDataFrame(stats, "component string, size bigint, n_citations bigint").withColumns(
             {"has_citation": F.col("n_citations") > 0, "section_tenths": F.col("size") * 10, "fixed_tenths": F.col("size") * 10 + F.col("n_citations") * 2500})
-        got = traverse.select_components(s, spark.createDataFrame(sorted(need), "component string, document string"), spark.createDataFrame(docs, "document string, n_chars bigint"), target)
-        assert {r["component"]: r["bytes"] for r in got.collect()} == want
+        for limit in (1, 7, 1000):  # rows of a block
+            got = traverse.select_components(s, spark.createDataFrame(sorted(need), "component string, document string"), spark.createDataFrame(docs, "document string, n_chars bigint"), target, limit)
+            assert {r["component"]: r["bytes"] for r in got.collect()} == want
+
+
+def test_budget_rounds_follow_blocks(spark, monkeypatch):
+    """Many components that don't fit, in between: no round for each, and a document that all share is paid once."""
+    n = 3000
+    stats = spark.range(n).select(F.format_string("c%05d", "id").alias("component"), F.lit(True).alias("has_citation"), (F.lit(n) - F.col("id")).alias("n_citations"),
+                                  F.lit(100).alias("section_tenths"), F.when(F.col("id") % 3 == 1, 60_000).otherwise(30).cast("long").alias("fixed_tenths"))
+    need = stats.select("component", F.lit("hub").alias("document")).unionByName(stats.select("component", F.concat(F.lit("d"), F.substring("component", 2, 4)).alias("document")))
+    docs = need.select("document").distinct().withColumn("n_chars", F.lit(10).cast("long"))
+    blocks, greedy = [], traverse.global_scan
+    monkeypatch.setattr(traverse, "global_scan", lambda *a, **k: blocks.append(1) or greedy(*a, **k))
+    got = {r["component"]: r["bytes"] for r in traverse.select_components(stats, need, docs, 20_000, limit=2000).collect()}
+    left, have, want = 200_000, set(), {}
+    for i in range(n):
+        new = {"hub", f"d{i // 10:04d}"} - have
+        inc = (60_000 if i % 3 == 1 else 30) + len(new) * (10 * 13 + 4000)
+        if inc <= left:
+            left, have, want[f"c{i:05d}"] = left - inc, have | new, inc / 10
+    assert got == want and len(blocks) == 1
 
 
 def test_bfs_levels_and_limits(spark):
