@@ -104,14 +104,13 @@ def _fingerprint(pairs):
     return tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def components(nodes, edges, ident="id"):
-    """GRF5: component of every node (its smallest member); lone nodes included.
+def roots(edges):
+    """Smallest member of its component for every end of an edge (src, dst) that isn't it: id, component.
 
     Alternating large-star and small-star rounds: each is a minimum per node joined back on
     a unique key, so a hub with a third of the edges is one aggregate row on that side.
     """
-    e = induced_edges(edges.select("src", "dst"), nodes, ident).filter("src <> dst")
-    pairs = cut(e.select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b")).distinct())
+    pairs = cut(edges.filter("src <> dst").select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b")).distinct())
     mark = _fingerprint(pairs)
     while mark[0]:
         both = pairs.select(F.inline(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))))
@@ -124,8 +123,13 @@ def components(nodes, edges, ident="id"):
         if now == mark:
             break
         mark = now
-    return nodes.select(F.col(ident)).distinct().join(pairs.select(F.col("a").alias(ident), F.col("b").alias("_c")), ident, "left").select(
-        ident, F.coalesce("_c", ident).alias("component"))
+    return pairs.select(F.col("a").alias("id"), F.col("b").alias("component"))
+
+
+def components(nodes, edges, ident="id"):
+    """GRF5: component of every node (its smallest member); lone nodes included."""
+    found = roots(induced_edges(edges.select("src", "dst"), nodes, ident)).select(F.col("id").alias(ident), F.col("component").alias("_c"))
+    return nodes.select(F.col(ident)).distinct().join(found, ident, "left").select(ident, F.coalesce("_c", ident).alias("component"))
 
 
 def topology(nodes, edges):

@@ -8,6 +8,8 @@ from lexloom.operators.ordered import top_k
 from lexloom.plans.extraction import SQL_CITES, citations
 from lexloom.plans.projections import sql_title_key
 from lexloom.plans.registry import query
+from lexloom.session import scratch_path
+from lexloom.sources import bucketed
 
 
 # ---- duplicates -----------------------------------------------------------------------------
@@ -123,8 +125,11 @@ def _(t):
     s = t.spans.select("annotation_id", "category", "ingest_ord")
     changed = s.filter("ingest_ord % 4 = 0").withColumn("category", F.lit("changed"))
     new = s.filter("ingest_ord % 100 = 1").withColumns({"annotation_id": F.concat(F.lit("new"), "annotation_id"), "category": F.lit("changed"), "ingest_ord": F.lit(1).cast("long")})
-    base = dedupe.upsert(s, changed.unionByName(new), "annotation_id")
-    return dedupe.delete_by(base, s.filter("ingest_ord % 7 = 0"), "annotation_id").select("annotation_id", "category")
+    path = scratch_path(t.spark, "spans")
+    bucketed.create(s, path, "annotation_id")
+    bucketed.upsert(path, changed.unionByName(new), "annotation_id")
+    bucketed.delete_by(path, s.schema, s.filter("ingest_ord % 7 = 0").select("annotation_id"), "annotation_id")
+    return bucketed.read(t.spark, path, s.schema).select("annotation_id", "category")
 
 
 # ---- audits -----------------------------------------------------------------------------------
