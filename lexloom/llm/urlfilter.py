@@ -26,9 +26,10 @@ def url_path(url):
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def _suffixes(host):
-    parts = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+def _suffixes(host, labels):
+    """The ends of a host with as many labels as given, where it has so many."""
+    n = F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+    return F.array_compact(F.array(*[F.when(n >= m, F.substring_index(host, ".", -m)) for m in labels]))
 
 
 def judge(pages, rules, default=DEFAULT):
@@ -39,12 +40,13 @@ def judge(pages, rules, default=DEFAULT):
     URLs have an empty host and path and fit no rule. Repeated rows are judged each; repeated rules count once.
 
     Distinct (host, cut path) pairs are expanded, so a URL or host shared by a third of the rows is expanded once. Only the
-    path lengths that rules have are tried: their list is bounded by the longest rule. Spark broadcasts the rules if their
-    size allows, else it sorts and merges.
+    numbers of host labels and the path lengths that rules have are tried, however long a URL is: these lists are bounded
+    by the longest rule. Spark broadcasts the rules if their size allows, else it sorts and merges.
     """
     spark = tune(pages.sparkSession)
     rules = rules.select(F.lower("host").alias("rh"), F.col("path").alias("rp"), F.col("verdict").alias("rv")).na.drop().distinct()
     lengths = sorted(r[0] for r in rules.select(F.length("rp")).distinct().collect())
+    labels = sorted(r[0] for r in rules.select(F.size(F.split("rh", r"\."))).distinct().collect())
     judged = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     if not lengths:
         return judged.select("*", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
@@ -52,7 +54,7 @@ def judge(pages, rules, default=DEFAULT):
     judged = judged.withColumn("cut", F.substring("path", 1, longest))
     keys = judged.select("host", "cut").filter("host <> ''").distinct()
     paths = F.array(*[F.lit(n) for n in lengths])
-    asked = (keys.withColumn("s", F.explode(_suffixes(F.col("host")))).withColumn("n", F.explode(F.filter(paths, lambda n: n <= F.length("cut"))))
+    asked = (keys.withColumn("s", F.explode(_suffixes(F.col("host"), labels))).withColumn("n", F.explode(F.filter(paths, lambda n: n <= F.length("cut"))))
              .select("host", "cut", F.sha2(F.concat("s", F.substring(F.col("cut"), F.lit(1), F.col("n"))).cast("binary"), 256).alias("digest"))
              .withColumn("short", F.substring("digest", 1, PREFIX)))
     held = rules.select("*", F.concat("rh", "rp").alias("expression")).withColumn("rd", F.sha2(F.col("expression").cast("binary"), 256)).withColumn("short", F.substring("rd", 1, PREFIX))

@@ -232,6 +232,12 @@ def test_url_rules(spark):
     assert {r["verdict"] for r in urlfilter.judge(pages, rules.limit(0)).collect()} == {"allow"}
 
 
+def test_url_with_a_very_long_host(spark):
+    pages = spark.createDataFrame([(1, f"http://{'a.' * 200_000}x.bad.example/p"), (2, f"http://{'b.' * 200_000}example/p"), (3, "http://bad.example")], "page_id long, url string")
+    rules = spark.createDataFrame([("x.bad.example", "/", "block"), ("bad.example", "", "block"), ("example", "/q", "block")], "host string, path string, verdict string")
+    assert {r["page_id"]: r["rule"] for r in urlfilter.judge(pages, rules).select("page_id", "rule").collect()} == {1: "x.bad.example/", 2: None, 3: "bad.example"}
+
+
 def test_top_k(spark):
     v = [(0, [1.0, 0.5]), (50, [1.0, 0.5]), (1, [1.0, 0.5]), (2, [1.0, 0.5]), (3, [0.25]), (4, None), (5, [float("nan"), 1.0]), (6, [None, 1.0]), (7, [1e9, -1e9 - 1 / 256]), (8, []), (100, None), (None, [1.0, 1.0]), (1, [1.0, 0.5]), (9, [-1.0, -0.5])]
     table = spark.createDataFrame([(i, e, i) for i, e in v], "vec_id long, embedding array<double>, rank long")
