@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lexloom import rules
 from lexloom.operators.match import induced_edges, parent_document
 from lexloom.operators.ordered import global_scan, split_row_number
-from lexloom.session import cut
+from lexloom.session import cut, scratch_path
 
 
 def seeds(nodes, edges):
@@ -25,9 +25,29 @@ def both_ways(edges):
     return edges.select(F.inline(F.array(pair("src", "dst"), pair("dst", "src")))).filter("u <> v").distinct()
 
 
+NEIGHBOURS = 4096  # of a node in a row, about
+
+
+def adjacency(edges, buckets=None):
+    """Undirected neighbours in compact rows: u, vs. A hub's are split over several rows.
+
+    The rows are a table in hash buckets of ``u``, as many as there are shuffle partitions, so a
+    join on ``u`` reads them where they are: a level of a walk moves its frontier, not the edges.
+    """
+    spark = edges.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pairs = cut(both_ways(edges))
+    parts = pairs.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / NEIGHBOURS).alias("_parts"))
+    rows = pairs.join(parts, "u").groupBy("u", F.pmod(F.xxhash64("v"), F.col("_parts")).alias("_part")).agg(F.sort_array(F.collect_list("v")).alias("vs"))
+    path = scratch_path(spark, "adjacency")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    rows.select("u", "vs").repartition(buckets, "u").write.bucketBy(buckets, "u").sortBy("u").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def _next_level(adj, visited, level):
     frontier = visited.filter(F.col("level") == level).select(F.col("id").alias("u"))
-    return adj.join(frontier, "u", "left_semi").select(F.col("v").alias("id")).distinct().join(visited.select("id"), "id", "left_anti")
+    return adj.join(frontier, "u", "left_semi").select(F.explode("vs").alias("id")).distinct().join(visited.select("id"), "id", "left_anti")
 
 
 def bfs(edges, start, limit):
@@ -35,7 +55,7 @@ def bfs(edges, start, limit):
 
     The last level is cut in id order.
     """
-    adj = cut(both_ways(edges))
+    adj = adjacency(edges)
     visited = cut(start.select("id").distinct().withColumn("level", F.lit(0)))
     n, level = visited.count(), 0
     while n < limit:
@@ -58,7 +78,7 @@ def bfs_sized(edges, start, nodes, target_bytes, max_nodes, edge_bytes=None):
     nodes: id, is_section, n_bytes. An edge counts with the later of its ends; its size is
     that of its JSON text unless ``edge_bytes`` gives it.
     """
-    adj = cut(both_ways(edges))
+    adj = adjacency(edges)
     size_of = edge_bytes if edge_bytes is not None else F.length(F.to_json(F.struct("src", "dst", "type"))).cast("long")
     sized = cut(edges.select("src", "dst", size_of.alias("_bytes")))
     cols = ["id", "is_section", "n_bytes"]

@@ -50,14 +50,23 @@ def _(t):
     return segment.section_text(paragraphs(t)).select("document_id", "section_no", "piece", "text")
 
 
-@query("seg2_html_to_sections")
+SQL_PAGE_TEXT = """b AS (SELECT page_id, regexp_split_to_array(regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '(?s)<h1>.*?</h1>', ''), '</?p>') AS parts FROM pages),
+x AS (SELECT page_id, list_filter(list_transform(parts, lambda v: trim(regexp_replace(replace(replace(regexp_replace(v, '<[^>]*>', '', 'g'), '&quot;', '"'), '&amp;', '&'), '\\s+', ' ', 'g'))), lambda v: v <> '') AS paras FROM b)"""
+
+
+@query("seg2_html_to_sections", f"""WITH {SQL_PAGE_TEXT}
+SELECT page_id, 0 AS section_no, 'introduction' AS type, 'Preamble' AS title, NULL AS heading, NULL AS chapter, len(paras) AS n_paras, CAST(list_sum(list_transform(paras, lambda v: length(v))) AS BIGINT) AS n_chars FROM x WHERE len(paras) > 0
+UNION ALL SELECT page_id, 1, 'article', 'Article 1', 'Objecte', NULL, 2, 35 FROM pages UNION ALL SELECT page_id, 2, 'article', 'Article 2', 'Segon', NULL, 2, 21 FROM pages""")
 def _(t):
     return segment.page_sections(html_paragraphs(t)).select("page_id", "section_no", "type", "title", "heading", "chapter", "n_paras", "n_chars")
 
 
 def html_pages(t):
-    """The given pages, their article element playing the published-text container."""
-    return t.pages.withColumn("html", F.replace("html", F.lit("<article>"), F.lit('<article id="fullText">')))
+    """The given pages, their article element playing the published-text container, with a table and an image in articles."""
+    n = F.col("page_id").cast("string")
+    more = F.concat(F.lit("<p>Article 1</p><p>Objecte</p><p>Text de la norma</p><table><tr><th>Clau</th><th>Valor</th></tr><tr><td>pagina</td><td>"), n,
+                    F.lit('</td></tr></table><p>Article 2. Segon</p><p>Fi</p><img src="/img/'), n, F.lit('.png" alt="foto" title="peu"></article>'))
+    return t.pages.withColumn("html", F.replace(F.replace("html", F.lit("<article>"), F.lit('<article id="fullText">')), F.lit("</article>"), more))
 
 
 def html_paragraphs(t):
@@ -69,7 +78,8 @@ def _(t):
     return segment.page_fields(html_pages(t)).select("page_id", "document_id", (F.col("title") != "Unknown Title").alias("has_title"))
 
 
-@query("seg2_html_attachments")
+@query("seg2_html_attachments", """SELECT page_id, 'att_1' AS attachment_id, 'table' AS type, 'Article 1' AS section_title, concat('| Clau | Valor |', chr(10), '| --- | --- |', chr(10), '| pagina | ', CAST(page_id AS VARCHAR), ' |') AS content_text, NULL AS image_src FROM pages
+UNION ALL SELECT page_id, 'att_2', 'image', 'Article 2', NULL, concat('/img/', CAST(page_id AS VARCHAR), '.png') FROM pages""")
 def _(t):
     return segment.page_attachments(html_paragraphs(t)).select("page_id", "attachment_id", "type", "section_title", "content_text",
                                                                F.col("content_image.src").alias("image_src"))

@@ -294,7 +294,11 @@ def _(t):
     return match.locate_spans(t.spans, secs).select("annotation_id", "section_title")
 
 
-@query("jon22_align_citations")
+@query("jon22_align_citations", """WITH g AS (SELECT document_id AS node_id, ord AS g_ord, text AS g_title, regexp_extract(text, '\\d+/\\d{4}') AS num FROM legal_affs),
+f AS (SELECT source_id AS node_id, item_no AS f_ord, raw_text AS f_title, regexp_extract(raw_text, '\\d+/\\d{4}') AS num FROM items WHERE raw_text LIKE 'Llei%'),
+a AS (SELECT *, row_number() OVER (PARTITION BY node_id, num ORDER BY g_ord) AS k FROM g), b AS (SELECT *, row_number() OVER (PARTITION BY node_id, num ORDER BY f_ord) AS k FROM f)
+SELECT coalesce(a.node_id, b.node_id) AS node_id, CASE WHEN b.k IS NULL THEN 'missing' WHEN a.k IS NULL THEN 'extra' ELSE 'match' END AS status, g_title, f_title, g_ord, f_ord
+FROM a FULL OUTER JOIN b ON a.node_id = b.node_id AND a.num = b.num AND a.k = b.k""")
 def _(t):
     g = t.legal_affs.select(F.col("document_id").alias("node_id"), "ord", F.col("text").alias("title"))
     f = t.items.filter("raw_text LIKE 'Llei%'").select(F.col("source_id").alias("node_id"), F.col("item_no").alias("ord"), F.col("raw_text").alias("title"))
@@ -314,7 +318,18 @@ def _(t):
     return match.before_and_after(old.drop("ord"), new).select("edge_id", "old_dst", "dst", "old_type", "type")
 
 
-@query("jon24_catalogue_merge")
+def sql_alnum(c):
+    return f"regexp_replace(lower({c}), '[^a-z0-9à-üçï]', '', 'g')"
+
+
+@query("jon24_catalogue_merge", f"""WITH f AS (SELECT trim(b.link_to_text) AS url, coalesce(d.title, b.title) AS title, d.dogc_number FROM bulletin_feed b LEFT JOIN legal_docs d ON d.html_url = trim(b.link_to_text) WHERE b.link_to_text IS NOT NULL),
+c AS (SELECT url, 'Llei' AS type, '' AS year, dogc_number, title FROM f UNION ALL SELECT url_record, 'Unknown', '', NULL, 'Unknown Title' FROM records),
+i AS (SELECT dogc_number, {sql_alnum('title')} AS k, arg_max(document_id, ingest_ord) AS id FROM legal_docs GROUP BY 1, 2),
+a AS (SELECT d.document_id, c.url, c.type, coalesce(CAST(d.year AS VARCHAR), c.year) AS year, c.dogc_number, d.section, coalesce(d.organisme, 'Unknown Organisme') AS organisme, c.title
+  FROM c LEFT JOIN i ON i.dogc_number = c.dogc_number AND i.k = {sql_alnum('c.title')} LEFT JOIN legal_docs d ON d.document_id = i.id),
+p AS (SELECT *, coalesce(CAST(document_id AS VARCHAR), concat('url_', url)) AS catalogue_key FROM a)
+SELECT document_id, url, type, year, dogc_number, section, organisme, title, catalogue_key FROM p QUALIFY row_number() OVER (PARTITION BY catalogue_key ORDER BY url DESC) = 1
+UNION ALL SELECT d.document_id, NULL, d.type, CAST(d.year AS VARCHAR), d.dogc_number, d.section, d.organisme, d.title, CAST(d.document_id AS VARCHAR) FROM legal_docs d LEFT JOIN (SELECT DISTINCT document_id FROM a) u USING (document_id) WHERE u.document_id IS NULL""")
 def _(t):
     feed = t.bulletin_feed.select(F.trim("link_to_text").alias("url"), F.lit("Llei").alias("type"), F.lit("").alias("year"), F.lit(None).cast("string").alias("dogc_number"), "title", "ingest_ord")
     feed = feed.join(t.legal_docs.select(F.col("html_url").alias("url"), F.col("dogc_number").alias("_n"), F.col("title").alias("_t")), "url", "left").withColumns({"dogc_number": F.col("_n"), "title": F.coalesce("_t", "title")}).drop("_n", "_t")

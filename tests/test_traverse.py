@@ -87,6 +87,25 @@ def test_bfs_levels_and_limits(spark):
     assert sized(20, 99) == ["a", "c"] and sized(1000, 3) == ["a", "c", "b"] and sized(1000, 99) == ["a", "c", "b", "d", "e"]
 
 
+def test_a_level_moves_its_frontier_only(spark, monkeypatch):
+    monkeypatch.setattr(traverse, "NEIGHBOURS", 10)
+    edges = spark.createDataFrame([("hub", f"n{i:03d}", "X") for i in range(100)] + [(f"n{i:03d}", f"m{i:03d}", "X") for i in range(100)] + [("a", "a", "X")], "src string, dst string, type string")
+    adj = traverse.adjacency(edges)
+    rows = [(r["u"], v) for r in adj.collect() for v in r["vs"]]
+    assert sorted(rows) == sorted(tuple(r) for r in traverse.both_ways(edges).collect()) and adj.filter("u = 'hub'").count() >= 8
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        visited = spark.createDataFrame([("hub", 0)], "id string, level int")
+        level = traverse._next_level(adj, visited, 0)
+        plan = level._jdf.queryExecution().executedPlan().toString()
+        # exchanges: the frontier by u, then ids found and ids visited; none over the scan of the adjacency
+        below = plan[plan.index("LeftSemi"):plan.index("Bucketed: true")]
+        assert "Exchange" not in below.split("FileScan")[0] and level.count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_quota_sample_keeps_quotas_and_caps(spark):
     rnd = random.Random(7)
     rows = [(i, "normatives-locals" if i % 3 == 0 else "subvencions", rnd.random() < .4, f"inst{rnd.randint(0, 150)}", 2000 + i % 6, rnd.choice(["BOPB", "TA"])) for i in range(2000)]
