@@ -5,15 +5,14 @@ from pyspark.sql import functions as F
 from lexloom import rules
 from lexloom.functions.text import capitalise, col, nonblank
 
-_KNOWN = rf"(?iU)^({rules.longest_first(rules.TITLE_TYPES)})\b"
 _CAPS = r"^((?:[A-ZÀ-ÜÇÏ]+(?:['\-][A-ZÀ-ÜÇÏ]+)*[,.:;()\[\]\"]*\s+)*[A-ZÀ-ÜÇÏ]+(?:['\-][A-ZÀ-ÜÇÏ]+)*)(?=[,.:;()\[\]\"]*(?:\s|$))"
 
 
-def type_from_title(c):
-    """PRJ16: known leading type, else the leading run of capitals, else 'Other'."""
-    c = col(c)
+def type_from_title(c, types=rules.TITLE_TYPES):
+    """PRJ16: known leading type (of ``types``), else the leading run of capitals, else 'Other'."""
+    c, leading = col(c), rf"(?iU)^({rules.longest_first(types)})\b"
     t = F.regexp_replace(F.trim(c), "^[ '\"\\-]+", "")
-    known = F.upper(F.regexp_extract(t, _KNOWN, 1))
+    known = F.upper(F.regexp_extract(t, leading, 1))
     caps = F.trim(F.regexp_replace(F.regexp_extract(t, _CAPS, 1), r"[,.:;()\[\]\"]+(\s|$)", "$1"))
     return (F.when(nonblank(c).isNull(), "Unknown").when(known != "", known)
             .when(caps != "", F.upper(F.regexp_replace(caps, r"\s+", " "))).otherwise("Other"))
@@ -25,21 +24,21 @@ def filled_type(type_col, title, force=False):
     return F.when(keep, col(type_col)).otherwise(type_from_title(title))
 
 
-def type_from_text(c):
-    """PRJ17: first matching rule over free text, NULL when none matches."""
+def type_from_text(c, kinds=rules.TEXT_TYPE_RULES):
+    """PRJ17: first matching rule (pattern, type) over free text, NULL when none matches."""
     c, out = col(c), None
-    for pattern, name in rules.TEXT_TYPE_RULES:
+    for pattern, name in kinds:
         hit = c.rlike(pattern)
         out = F.when(hit, name) if out is None else out.when(hit, name)
     return out
 
 
-def type_from_prefix(c):
-    """PRJ18: archived rules on how the title starts, first word otherwise."""
+def type_from_prefix(c, kinds=rules.PREFIX_TYPE_RULES):
+    """PRJ18: archived rules (beginnings, type) on how the title starts, first word otherwise."""
     c = col(c)
     t = F.upper(F.trim(c))
     out = F.when(nonblank(c).isNull(), "Unknown")
-    for starts, name in rules.PREFIX_TYPE_RULES:
+    for starts, name in kinds:
         hit = F.lit(False)
         for s in starts:
             hit = hit | t.startswith(s)

@@ -194,7 +194,10 @@ def _named_refs(c):
     return F.array_distinct(F.flatten(F.transform(found, lambda r: F.transform(F.sequence(head(r) + 1, F.length(r)), lambda k: F.substring(r, F.lit(1), k)))))
 
 
-def section_tokens(sections, links, key="document_id", no="section_no"):
+SECTION_WEIGHTS = {"title": 40, "heading": 30, "text": 15, "article": 15}  # fixed values
+
+
+def section_tokens(sections, links, key="document_id", no="section_no", weights=SECTION_WEIGHTS):
     """(document, section, token, weight): what editorial links can find in a section.
 
     Number tokens weigh 40 in the title, 30 in the heading, 15 in the text; whole-number
@@ -205,10 +208,10 @@ def section_tokens(sections, links, key="document_id", no="section_no"):
     def tokens(docs, pick, digits):
         s = sections.join(docs.select(F.col("doc").alias(key)).distinct(), key, "left_semi")
         ti, he, te = (F.lower(tx.or_empty(c)) for c in ("title", "heading", "text"))
-        entries = [F.transform(pick(c), _weigh("R:", w)) for c, w in ((ti, 40), (he, 30), (te, 15))]
+        entries = [F.transform(pick(c), _weigh("R:", w)) for c, w in ((ti, weights["title"]), (he, weights["heading"]), (te, weights["text"]))]
         if digits:
             found = F.array_distinct(F.regexp_extract_all(F.concat_ws(" ", he, te, ti), F.lit(r"(?U)\b(\d+)\b"), F.lit(1)))
-            entries.append(F.transform(found, _weigh("D:", 15)))
+            entries.append(F.transform(found, _weigh("D:", weights["article"])))
         df = s.select(F.col(key).alias("doc"), F.col(no).alias("section_no"), F.explode(F.concat(*entries)).alias("x"))
         # title beats heading beats text: the best place counts once
         return df.groupBy("doc", "section_no", F.col("x.token").alias("token")).agg(F.max("x.w").alias("w"))
@@ -221,7 +224,7 @@ def _weigh(prefix, w):
     return lambda t: F.struct(F.concat(F.lit(prefix), t).alias("token"), F.lit(w).alias("w"))
 
 
-def best_source_section(affs, sections, key="document_id", no="section_no"):
+def best_source_section(affs, sections, key="document_id", no="section_no", weights=SECTION_WEIGHTS, penalised=rules.PENALISED_TITLES):
     """JON4: highest-scoring section of each acting document, where the score reaches 10.
 
     Sections without any hit score at most 0, so only token hits are joined. Links with the
@@ -238,11 +241,11 @@ def best_source_section(affs, sections, key="document_id", no="section_no"):
     wanted = F.concat(F.when(F.col("_ref") != "", F.array(F.concat(F.lit("R:"), "_ref"))).otherwise(F.array().cast("array<string>")),
                       F.transform(F.filter(F.transform("_arts", lambda x: F.regexp_replace(x, r"[^\p{Nd}]", "")), lambda x: x != ""), lambda x: F.concat(F.lit("D:"), x)))
     want = sigs.select("sig", "doc", F.explode(wanted).alias("token")).groupBy("sig", "doc", "token").agg(F.count(F.lit(1)).alias("times"))
-    hits = want.join(section_tokens(sections, sigs, key, no), ["doc", "token"])
+    hits = want.join(section_tokens(sections, sigs, key, no, weights), ["doc", "token"])
     score = F.sum(F.col("w") * F.when(F.col("token").startswith("D:"), F.col("times")).otherwise(1))
     scored = hits.groupBy("sig", "doc", "section_no").agg(score.alias("score"))
     title = F.lower(tx.or_empty("title"))
-    low = sections.select(F.col(key).alias("doc"), F.col(no).alias("section_no"), F.when(cite._any_word(title, rules.PENALISED_TITLES), 10).otherwise(0).alias("cost"))
+    low = sections.select(F.col(key).alias("doc"), F.col(no).alias("section_no"), F.when(cite._any_word(title, list(penalised)), 10).otherwise(0).alias("cost"))
     scored = scored.join(low.filter("cost > 0"), ["doc", "section_no"], "left").withColumn("score", F.col("score") - F.coalesce("cost", F.lit(0)))
     best = scored.groupBy("sig").agg(F.max(F.struct(F.col("score"), (-F.col("section_no")).alias("n"))).alias("m")).filter("m.score >= 10")
     return a.select("aff_id", "sig").join(best, "sig").select("aff_id", (-F.col("m.n")).alias("section_no"), F.col("m.score").alias("score"))

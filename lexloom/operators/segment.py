@@ -16,25 +16,30 @@ def _chapter_label(title, heading):
     return F.when(heading != "", full).otherwise(title)
 
 
-def classify(df, text="text", html=False):
-    """Header kind, title, heading and chapter label of each paragraph, in fixed priority."""
-    c = F.col(text)
-    article = rules.ARTICLE_HEADER_HTML if html else rules.ARTICLE_HEADER
-    signature = rules.SIGNATURE_HEADER_HTML if html else rules.SIGNATURE_HEADER
-    kind = F.when(c.rlike(rules.CHAPTER_HEADER), "chapter").when(c.rlike(article), "article")
+def header_patterns(html=False):
+    """The header patterns of each kind, with the groups that `classify` reads, in order of priority."""
+    found = {"chapter": rules.CHAPTER_HEADER, "article": rules.ARTICLE_HEADER_HTML if html else rules.ARTICLE_HEADER}
     if html:
-        kind = kind.when(c.rlike(rules.RESOLUTION_HEADER), "resolution")
-    kind = (kind.when(c.rlike(rules.DISPOSITION_HEADER), "disposition").when(c.rlike(rules.ANNEX_HEADER), "annex")
-            .when(c.rlike(signature), "signature"))
+        found["resolution"] = rules.RESOLUTION_HEADER
+    return {**found, "disposition": rules.DISPOSITION_HEADER, "annex": rules.ANNEX_HEADER, "signature": rules.SIGNATURE_HEADER_HTML if html else rules.SIGNATURE_HEADER}
+
+
+def classify(df, text="text", html=False, patterns=None):
+    """Header kind, title, heading and chapter label of each paragraph, in the priority of ``patterns``.
+
+    patterns: kind to pattern, as ``header_patterns`` gives them; some or all can be replaced by own ones.
+    """
+    c, patterns = F.col(text), patterns or header_patterns(html)
+    kind = F.lit(None).cast("string")
+    for name, pattern in reversed(patterns.items()):
+        kind = F.when(c.rlike(pattern), name).otherwise(kind)
     df = df.withColumn("kind", kind)
     k = F.col("kind")
-    patterns = {"chapter": rules.CHAPTER_HEADER, "article": article, "resolution": rules.RESOLUTION_HEADER,
-                "disposition": rules.DISPOSITION_HEADER, "annex": rules.ANNEX_HEADER}
 
     def group(wanted):
         out = F.when(k.isNull(), F.lit(None).cast("string"))
         for name, n in wanted.items():
-            out = out.when(k == name, _ex(c, patterns[name], n))
+            out = out.when(k == name, _ex(c, patterns[name], n)) if name in patterns else out
         return out
 
     # captured pieces become columns first, so each regex runs once per header
@@ -52,13 +57,13 @@ def classify(df, text="text", html=False):
     return df.withColumn("chapter_label", F.when(k == "chapter", _chapter_label(F.col("title"), F.coalesce("heading", F.lit("")))))
 
 
-def section_paragraphs(paras, key="document_id", ord_col="ord", text="text"):
+def section_paragraphs(paras, key="document_id", ord_col="ord", text="text", patterns=None):
     """SEG1: every paragraph with its section number, kind and running chapter.
 
     Section 0 is the implicit preamble. Long documents are scanned in chunks.
     """
     p = paras.select(key, F.col(ord_col).alias("ord"), tx.squeeze(text).alias("text")).filter(F.col("text") != "")
-    p = classify(p).withColumns({"_head": F.col("kind").isNotNull().cast("long"), "_one": F.lit(1)})
+    p = classify(p, patterns=patterns).withColumns({"_head": F.col("kind").isNotNull().cast("long"), "_one": F.lit(1)})
     p = scan(p, [key], "ord", sums={"section_no": "_head", "para_no": "_one"}, carries={"chapter": "chapter_label"})
     content = F.col("kind").isNull() | (F.col("kind") == "signature")
     return p.withColumn("content", content).drop("_head", "_one", "chapter_label")

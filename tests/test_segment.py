@@ -87,3 +87,14 @@ def test_untagged_reference_context(spark):
 def test_span_patterns_compile():
     for _, p in rules.SPAN_HEADERS:
         re.compile(p, re.IGNORECASE)
+
+
+def test_own_rule_sets(spark):
+
+    df = spark.createDataFrame([(1, 0, "Teil I Vorwort"), (1, 1, "§ 5. Zweck"), (1, 2, "Text"), (1, 3, "Article 7. Altra")], "document_id int, ord int, text string")
+    own = {**segment.header_patterns(), "article": r"^(§)\s*(\d+)\.?\s*(.*)$"}
+    rows = segment.section_paragraphs(df, patterns=own).orderBy("ord").collect()
+    assert [(r["section_no"], r["kind"], r["heading"]) for r in rows] == [(0, None, None), (1, "article", "Zweck"), (1, None, None), (1, None, None)]
+    t = spark.createDataFrame([("Verordnung über Wasser",), ("LLEI 3/2000",)], "t string")
+    assert [r[0] for r in t.select(doctype.type_from_title("t", ["verordnung"])).collect()] == ["VERORDNUNG", "LLEI"]
+    assert [r[0] for r in t.select(doctype.type_from_text("t", [("Wasser", "W")])).collect()] == ["W", None]
