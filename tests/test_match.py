@@ -141,6 +141,16 @@ def test_best_section_prefers_title_then_order(spark):
     assert {r["aff_id"]: (r["section_no"], r["score"]) for r in match.best_source_section(affs, secs).collect()} == {"x": (1, 40), "y": (2, 60), "w": (2, 15)}
 
 
+def test_sections_keep_the_tokens_that_links_look_for(spark):
+    text = "vist el Decret 17/20001 i la Llei 123/1999, articles 4 i 5"
+    secs = spark.createDataFrame([(d, n, "", "", text) for d in (1, 2) for n in range(3)], "document_id int, section_no int, title string, heading string, text string")
+    want = spark.createDataFrame([(1, "R:7/2000"), (1, "D:5"), (1, "D:77"), (2, "R:llei 123/1999"), (2, "R:la llei")], "doc int, token string")
+    found = {(1, "R:7/2000", 15), (1, "D:5", 15)}
+    for most, more in ((256, False), (1, True)):
+        out = {tuple(r) for r in match.section_tokens(secs, want, most=most).drop("section_no").distinct().collect()}
+        assert found <= out and (len(out) > len(found)) == more
+
+
 def test_candidate_targets_scores(spark):
     docs = spark.createDataFrame([(1, 0, "5/2020", "9001", "Llei 5/2020 de pressupostos generals", "01/02/2020"), (2, 1, "5/2020", "9002", "Decret 5/2020 de residus", "01/02/2019"), (3, 2, "8/1999", "9003", "Ordre de pesca fluvial", "")],
                                  "document_id int, ingest_ord int, document_number string, dogc_number string, title string, date_dogc string")

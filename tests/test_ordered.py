@@ -29,6 +29,22 @@ def test_split_row_number_matches_window(spark):
         _same(ordered.split_row_number(df, ["k"], [F.floor(F.col("o") / chunk)], ["o"]), want)
 
 
+def test_hot_keys_are_numbered_in_pieces(spark):
+    df, w = _skewed(spark).withColumn("k", F.nullif("k", F.lit(7))), Window.partitionBy("k").orderBy("o")
+    want = df.withColumn("rn", F.row_number().over(w).cast("long"))
+    for hot in (10, 500, 10**9):
+        _same(ordered.split_row_number(df, ["k"], [F.floor(F.col("o") / 64)], ["o"], hot=hot), want)
+
+
+def test_cold_keys_are_shuffled_once(spark):
+    """Rows move once, to the window; counts and hot keys are small beside them."""
+    df = spark.range(20000).select((F.col("id") % 500).alias("k"), F.col("id").alias("o"), F.lit(1).alias("one"))
+    for out in (ordered.split_row_number(df, ["k"], [F.floor(F.col("o") / 64)], ["o"]), ordered.scan(df, ["k"], "o", {"n": "one"})):
+        plan = out._jdf.queryExecution().executedPlan()
+        assert len(out.collect()) == 20000
+        assert plan.toString().split("Initial Plan")[0].count("Exchange hashpartitioning") <= 2
+
+
 def test_global_scan_is_one_total_order(spark):
     df = _skewed(spark).select("o", "one")
     got = ordered.global_scan(df, [F.col("o").desc()], {"cum": "one"})
