@@ -2,6 +2,7 @@
 
 import re
 
+from pyspark.sql import functions as F
 
 from lexloom import rules
 from lexloom.functions import doctype, text as tx
@@ -54,6 +55,16 @@ def test_offset_sections_tile_the_text(spark):
     assert [(r["type"], r["end_offset"]) for r in got if r["doc_id"] != 1] == [("body", 0), ("body", 3)]
 
 
+def test_texts_are_searched_once_and_spread(spark):
+    """No text or pattern is left in the plan behind the one search, which runs on all cores however few splits the input has."""
+    text = F.concat(F.lit("Article 1. Objecte\n"), F.col("id").cast("string"), F.lit("\nAnnex 2"))
+    docs = spark.range(40).coalesce(1).select(F.col("id").alias("doc_id"), text.alias("text"))
+    out = segment.offset_sections(docs)
+    assert out.count() == 80 and "regexp_extract_all" not in out._jdf.queryExecution().optimizedPlan().toString()
+    one = docs.withColumns({"title": F.lit("LLEI de mesures"), "number": F.lit("1/2000")})
+    assert "repartition_by_num" in segment.isolate(one)._jdf.queryExecution().executedPlan().toString().lower()
+
+
 def test_isolate_picks_the_best_window(spark):
     text = "altres 5/2020 res " + "x" * 900 + " LLEI de mesures fiscals 5/2020 " + "y" * 900 + "\nDECRETO 9/2020"
     r = segment.isolate(spark.createDataFrame([(1, text, "LLEI de mesures fiscals", "05/2020")], "doc_id bigint, text string, title string, number string")).first()
