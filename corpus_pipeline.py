@@ -4,6 +4,7 @@
    labelled documents give. With too few labelled documents for that, only documents without a letter go.
 2. line_dedup: later copies of repeated line runs are cut out; documents of which nothing but blanks is left go.
 3. simhash: one document of each group of near copies stays: five-word shingle sets with a similarity of 0.8 or more.
+   Texts whose SimHash fingerprints are linked are checked on whole sets, as are those that share a segment of minima.
 4. decontaminate: documents that hold a benchmark item go.
 5. pack: the token pieces of what is left, packed into sequences.
 
@@ -18,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from lexloom.llm import decontaminate, langid, linededup, neardup, packing  # noqa: E402
+from lexloom.llm import decontaminate, langid, linededup, neardup, packing, simhash  # noqa: E402
 from lexloom.llm.base import own_name, table  # noqa: E402
 from lexloom.session import scratch_path  # noqa: E402
 
@@ -42,7 +43,7 @@ def line_dedup(spark, docs, sf_dir):
 
 
 def near_dedup(spark, docs, sf_dir):
-    return neardup.survivors(docs)
+    return neardup.survivors(docs, simhash.near_texts(docs.select("doc_id", "text")))
 
 
 def decontaminated(spark, docs, sf_dir):

@@ -110,24 +110,37 @@ def across(wide, sets):
     return pairs.select(F.col("a_fp").alias("a"), F.col("b_fp").alias("b"), "a_component", "b_component").distinct()
 
 
-def groups(docs):
+def _named_pairs(named, nodes, marked):
+    """Pairs (a, b) of shingle sets of near sizes, from pairs of text keys."""
+    of = lambda c: marked.select(F.col("text_key").alias(c), F.col("fp").alias(f"{c}_fp")).distinct()
+    size = lambda c: nodes.select(F.col("fp").alias(f"{c}_fp"), F.col("n").alias(f"{c}_n"))
+    pairs = named.join(of("a"), "a").join(of("b"), "b").filter("a_fp <> b_fp").join(size("a"), "a_fp").join(size("b"), "b_fp")
+    return pairs.filter(_near_sizes(F.col("a_n"), F.col("b_n"))).select(F.least("a_fp", "b_fp").alias("a"), F.greatest("a_fp", "b_fp").alias("b")).distinct()
+
+
+def groups(docs, named=None):
     """doc_id, text_key, fp and component_id (the smallest doc_id reachable over similar pairs) for every row of docs.
 
     Rows with one shingle set are one node, as are all texts without words: they form a group. Repeated rows stay, a NULL
     text is empty, a NULL doc_id belongs to its group but doesn't name it unless there is no other; an empty table gives
     none. A segment's bucket is linked through its smallest member first. What that leaves in other components, and all
     that shares a bucket with it, is searched by `across`. So every similar pair of a bucket is linked or lies in one
-    component, and a large group of copies is never paired.
+    component, and a large group of copies is never paired. named: pairs (a, b) of text keys that are tested as well, such
+    as those of ``simhash.near_texts``.
     """
     marked = cut(fingerprints(docs))
     nodes = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("text_key").alias("text_key"), F.first("n").alias("n"), F.first("segments").alias("segments")))
     rows = nodes.select("fp", "n", F.posexplode("segments").alias("i", "v")).select("fp", "n", F.shiftleft(F.col("i").cast("long"), 32).bitwiseOR(F.col("v").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("segment"))
     firsts = rows.groupBy("segment").agg(F.min(F.struct("fp", "n")).alias("head"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("segment", F.col("head.fp").alias("head"), F.col("head.n").alias("head_n"))
     held = cut(rows.join(firsts, "segment"))
-    wanted = nodes.join(held.select("fp").distinct(), "fp", "left_semi").select("fp", "text_key")
+    asked = cut(_named_pairs(named, nodes, marked)) if named is not None else None
+    used = held.select("fp") if asked is None else held.select("fp").unionByName(asked.select(F.explode(F.array("a", "b")).alias("fp")))
+    wanted = nodes.join(used.distinct(), "fp", "left_semi").select("fp", "text_key")
     sets = cut(_sets(docs, wanted))
 
     pairs = held.filter((F.col("head") != F.col("fp")) & _near_sizes(F.col("n"), F.col("head_n"))).select(F.col("head").alias("a"), F.col("fp").alias("b")).distinct()
+    if asked is not None:
+        pairs = pairs.unionByName(asked).distinct()
     linked = cut(_similar(pairs, sets))
     named = cut(_labelled(nodes.select("fp"), "fp", roots(linked.select(F.col("a").alias("src"), F.col("b").alias("dst")))))
     of = lambda c, name: named.select(F.col("fp").alias(c), F.col("component").alias(name))
@@ -147,6 +160,6 @@ def _labelled(rows, of, found):
     return rows.join(found, of, "left").select("fp", F.coalesce("_root", of).alias("component"))
 
 
-def survivors(docs):
+def survivors(docs, named=None):
     """docs without near copies: of each component the row with the smallest doc_id stays, ties as in simhash.survivors."""
-    return first_of_component(docs, groups(docs.select("doc_id", "text")))
+    return first_of_component(docs, groups(docs.select("doc_id", "text"), named))

@@ -87,6 +87,19 @@ def groups(marked, radius=RADIUS):
     return marked.join(named, "fp")
 
 
+def near_texts(docs, shingle=SHINGLE, radius=RADIUS):
+    """Pairs (a, b) of text keys: each text with the first of its fingerprint, and the first texts of linked fingerprints.
+
+    They connect all texts whose fingerprints are linked, without pairing a large group.
+    """
+    marked = cut(fingerprints(docs, shingle).select("fp", "text_key").distinct())
+    firsts = marked.groupBy("fp").agg(F.min("text_key").alias("first"))
+    same = marked.join(firsts, "fp").filter("first <> text_key").select(F.col("first").alias("a"), F.col("text_key").alias("b"))
+    of = lambda c: firsts.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_first"))
+    near = links(firsts.select("fp"), radius).join(of("a"), "a").join(of("b"), "b").select(F.col("a_first").alias("a"), F.col("b_first").alias("b"))
+    return same.unionByName(near)
+
+
 def survivors(docs, shingle=SHINGLE, radius=RADIUS):
     """docs without near-duplicates: of each component the row with the smallest doc_id stays, with all its columns.
 

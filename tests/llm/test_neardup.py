@@ -55,6 +55,17 @@ def test_pipeline_stage_drops_far_near_copies(spark):
     assert sorted(r["doc_id"] for r in out.collect()) == sorted(set(least(docs, similar_pairs(docs)).values())) == [0, 3]
 
 
+def test_pipeline_stage_links_by_simhash(spark, monkeypatch):
+    """Without any table of minima the stage still joins what SimHash links, checked on whole sets."""
+    monkeypatch.setattr(corpus_pipeline.neardup, "segments", lambda found: [])
+    words = [f"word{i}" for i in range(3000)]
+    near = [f"new{i}" if i == 1500 else w for i, w in enumerate(words)]
+    docs = [(0, " ".join(words)), (1, " ".join(near)), (2, "altre text"), (3, None)]
+    assert 0 < (plain.fingerprint(docs[0][1]) ^ plain.fingerprint(docs[1][1])).bit_count() <= 3 or plain.fingerprint(docs[0][1]) == plain.fingerprint(docs[1][1])
+    out = corpus_pipeline.near_dedup(spark, spark.createDataFrame(docs, "doc_id long, text string"), None)
+    assert sorted(r["doc_id"] for r in out.collect()) == [0, 2, 3]
+
+
 def test_edge_rows(spark, edge, none):
     found = neardup.groups(edge).collect()
     assert len(found) == len(EDGE) and neardup.groups(none).count() == 0 and neardup.survivors(none).count() == 0
