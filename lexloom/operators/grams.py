@@ -4,9 +4,13 @@ Of every window of ``w`` neighbouring q-grams the one with the smallest hash is
 A title that stands in a text makes the same windows there, so each of its samples is one of the text's. The title is
 looked up by the sample that the texts hold least often; both positions give the only place where it can start, and the
 characters there are compared. So neither a group that holds most rows nor words that all titles share make pairs.
+
+Groups of up to ``COLD`` characters are searched so inside one task, all their rows having come there in one shuffle, and
+only pairs leave it. Larger groups, and searches without groups, shuffle the samples.
 """
 
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +21,9 @@ from lexloom.session import cut
 # (least length, characters of a gram, grams of a window); shorter titles are looked up by the texts' substrings
 TIERS = [(11, 6, 6), (4, 4, 1)]
 PIECE = 4096  # characters of a text that are fetched for a comparison, at least
+COLD = 1 << 22  # characters of a group's texts and titles that one task searches, at most
 _STEP = 1 << 18  # characters hashed at once
+_PLACES = 1 << 20  # places compared at once
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
@@ -115,20 +121,165 @@ def _substrings(texts, sizes):
 
 def key_of(text):
     """How `contained` names a text or a title."""
-    return F.md5(F.col(text) if isinstance(text, str) else text)
+    return F.unhex(F.md5(F.col(text) if isinstance(text, str) else text))
 
 
-def contained(texts, titles, text, title, group=()):
+def contained(texts, titles, text, title, group=(), either=False):
     """Distinct (group, _tk, _nk): titles that stand anywhere in texts of their group, character by character.
 
-    ``_tk`` and ``_nk`` are ``key_of`` text and title. Empty and NULL texts, titles and groups have no pairs. Titles come
-    in three kinds by length, each searched only if there are any; the shortest are compared with the texts' distinct
-    substrings of their few lengths.
+    ``_tk`` and ``_nk`` are ``key_of`` text and title. Empty and NULL texts, titles and groups have no pairs. With
+    ``either``, titles in which a text stands are found as well.
     """
     group = list(group)
-    spark = texts.sparkSession
-    t = texts.select(*group, F.col(text).alias("_text"), key_of(text).alias("_tk")).filter("_text <> ''").dropDuplicates([*group, "_tk"])
-    n = titles.select(*group, F.col(title).alias("_title"), key_of(title).alias("_nk")).filter("_title <> ''").dropDuplicates([*group, "_nk"])
+    side = lambda df, c, mark: df.select(*group, F.lit(mark).alias("_mark"), key_of(c).alias("_key"), F.col(c).alias("_string")).filter("_string <> ''")
+    t, n = side(texts, text, False), side(titles, title, True)
+    if not group:
+        return _by_samples(t, n, group, either)
+    rows = cut(t.unionByName(n).dropna(subset=group).repartition(*group).sortWithinPartitions(*group))
+    # fewer than all characters / COLD
+    hot = cut(rows.groupBy(*group).agg(F.sum(F.length("_string")).alias("_size")).filter(F.col("_size") > COLD).select(*group))
+    if hot.isEmpty():
+        return _in_tasks(rows, group, either)
+    large = rows.join(F.broadcast(hot), group, "left_semi")
+    return _in_tasks(rows.join(F.broadcast(hot), group, "left_anti"), group, either).unionByName(_by_samples(large.filter("NOT _mark"), large.filter("_mark"), group, either))
+
+
+def _in_tasks(rows, group, either):
+    """``contained`` for rows that are sorted by group, each group in one task."""
+    keys = [T.StructField(c, T.BinaryType()) for c in ("_tk", "_nk")]
+    return rows.mapInArrow(lambda batches: _searched(batches, group, either), T.StructType([*rows.select(*group).schema.fields, *keys]))
+
+
+class _Rows:
+    """Distinct strings of some groups: number of the group, key and string of each."""
+
+    def __init__(self):
+        self.seen, self.of, self.keys, self.strings = set(), [], [], []
+
+    def add(self, no, key, string):
+        if (no, key) not in self.seen:
+            self.seen.add((no, key))
+            self.of.append(no)
+            self.keys.append(key)
+            self.strings.append(string)
+
+    def arrays(self):
+        """Group, length and start in the joined strings of each, and (sum of code times power of its place) up to each place."""
+        size = np.array([len(x) for x in self.strings], np.int64)
+        codes = np.frombuffer("".join(self.strings).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * _powers(len(codes)), dtype=np.uint64)])
+        return np.array(self.of, np.int64), size, np.cumsum(size) - size, sums
+
+
+def _powers(n):
+    out = np.full(n, _MIX[0])
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def _searched(batches, group, either):
+    """Pairs of rows sorted by group. Small groups are searched together."""
+    groups, texts, titles, size, schema = [], _Rows(), _Rows(), 0, None
+    for b in batches:
+        schema = b.schema
+        for at, mark, key, string in zip(zip(*(b.column(c).to_pylist() for c in group)), *(b.column(c).to_pylist() for c in ("_mark", "_key", "_string"))):
+            if not groups or groups[-1] != at:
+                if size >= _STEP:
+                    yield from _pairs(groups, texts, titles, group, schema, either)
+                    groups, texts, titles, size = [], _Rows(), _Rows(), 0
+                groups.append(at)
+            (titles if mark else texts).add(len(groups) - 1, key, string)
+            size += len(string)
+    if groups:
+        yield from _pairs(groups, texts, titles, group, schema, either)
+
+
+def _pairs(groups, texts, titles, group, schema, either):
+    if not texts.of or not titles.of:
+        return
+    found = _places(texts, titles)
+    if either:
+        # equal strings are found already
+        back = ([(i, j) for j, i in zip(*pairs) if texts.keys[i] != titles.keys[j]] for pairs in _places(titles, texts))
+        found = chain(found, (list(zip(*pairs)) for pairs in back if pairs))
+    known = [pa.array(c, schema.field(g).type) for g, c in zip(group, zip(*groups))]
+    for i, j in found:
+        of = pa.array([texts.of[x] for x in i], pa.int64())
+        yield pa.RecordBatch.from_arrays([*(c.take(of) for c in known), pa.array([texts.keys[x] for x in i], pa.binary()), pa.array([titles.keys[x] for x in j], pa.binary())],
+                                         names=[*group, "_tk", "_nk"])
+
+
+def _places(texts, titles):
+    """(numbers of texts, numbers of the titles in them), each pair once."""
+    here, there = texts.arrays(), titles.arrays()
+    powers = _powers(max(len(here[3]), len(there[3])))
+    for (a, b), (_, q, w) in zip(_ranges(), TIERS):
+        some = np.flatnonzero((there[1] >= a) & (there[1] < b))
+        if len(some):
+            yield from _looked_up(texts, titles, here, there, powers, some, q, w)
+    short = {}
+    for j in np.flatnonzero(there[1] < TIERS[-1][0]).tolist():
+        short.setdefault(titles.of[j], {})[titles.strings[j]] = j
+    sizes = {no: sorted({len(x) for x in of}) for no, of in short.items()}
+    for i, (no, t) in enumerate(zip(texts.of, texts.strings)):
+        if no in short:
+            found = {short[no].get(t[x:x + n]) for n in sizes[no] for x in range(len(t) - n + 1)} - {None}
+            if found:
+                yield [i] * len(found), sorted(found)
+
+
+def _gathered(strings, of, q, w):
+    """String, gram hash (of a gram and its group) and position of all samples."""
+    parts = list(samples(strings, q, w))
+    at, h, pos = (np.concatenate([p[x] for p in parts]) if parts else np.zeros(0, np.int64) for x in range(3))
+    return at, h.view(np.uint64) ^ (of[at].astype(np.uint64) * _MIX[1]), pos
+
+
+def _looked_up(texts, titles, here, there, powers, some, q, w):
+    """The titles ``some``, each compared where the texts of its group hold its rarest sample."""
+    (t_of, t_size, t_start, t_sums), (n_of, n_size, n_start, n_sums) = here, there
+    n_at, n_gram, n_pos = _gathered([titles.strings[j] for j in some], n_of[some], q, w)
+    t_at, t_gram, t_pos = _gathered(texts.strings, t_of, q, w)
+    order = np.argsort(t_gram, kind="stable")
+    grams = t_gram[order]
+    low = np.searchsorted(grams, n_gram)
+    often = np.searchsorted(grams, n_gram, side="right") - low
+    by = np.lexsort((often, n_at))
+    first = by[np.flatnonzero(np.diff(n_at[by], prepend=-1))]
+    first = first[often[first] > 0]
+    ends = np.cumsum(often[first])
+    begin = 0
+    while begin < len(first):
+        # whole titles, about _PLACES places
+        end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + _PLACES, side="right")))
+        one, n = first[begin:end], often[first[begin:end]]
+        rows = np.repeat(one, n)
+        hit = order[np.repeat(low[one] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        i, j, at = t_at[hit], some[n_at[rows]], t_pos[hit] - n_pos[rows]
+        fits = (at >= 0) & (at + n_size[j] <= t_size[i]) & (t_of[i] == n_of[j])
+        i, j, at = i[fits], j[fits], at[fits]
+        x, y = t_start[i] + at, n_start[j]
+        same = (t_sums[x + n_size[j]] - t_sums[x]) * powers[y] == (n_sums[y + n_size[j]] - n_sums[y]) * powers[x]
+        found = sorted({(a, b) for a, b, c in zip(i[same].tolist(), j[same].tolist(), at[same].tolist()) if texts.strings[a].startswith(titles.strings[b], c)})
+        if found:
+            yield [a for a, _ in found], [b for _, b in found]
+        begin = end
+
+
+def _by_samples(texts, titles, group, either=False):
+    """``contained`` by shuffles of the samples. texts, titles: group, _key, _string."""
+    found = _held(texts, titles, group)
+    if not either:
+        return found
+    back = _held(titles, texts, group).select(*group, F.col("_nk").alias("_tk"), F.col("_tk").alias("_nk"))
+    return found.unionByName(back.filter("_tk <> _nk"))
+
+
+def _held(texts, titles, group):
+    """Titles in texts. They come in three kinds by length, each searched only if there are any; the shortest are compared
+    with the texts' distinct substrings of their few lengths."""
+    t = texts.select(*group, F.col("_string").alias("_text"), F.col("_key").alias("_tk")).dropDuplicates([*group, "_tk"])
+    n = titles.select(*group, F.col("_string").alias("_title"), F.col("_key").alias("_nk")).dropDuplicates([*group, "_nk"])
     if group:
         t = t.join(n.select(*group).distinct(), group, "left_semi")
     n = cut(n.withColumn("_len", F.length("_title").cast("long")))
@@ -145,7 +296,7 @@ def contained(texts, titles, text, title, group=()):
         found = _exploded(t, [*group, "_tk"], "_text", _SHORT, lambda held: _substrings(held, short))
         out.append(found.join(n.filter(F.col("_len") < least).select(*group, "_title", "_nk"), [*group, "_title"]).select(*group, "_tk", "_nk").distinct())
     if not out:
-        return spark.createDataFrame([], t.select(*group, "_tk", F.lit("").alias("_nk")).schema)
+        return texts.sparkSession.createDataFrame([], t.select(*group, "_tk", F.col("_tk").alias("_nk")).schema)
     return reduce(lambda x, y: x.unionByName(y), out)
 
 

@@ -55,6 +55,31 @@ def test_equals_brute_force(spark, group, monkeypatch):
     assert pairs(spark, texts, [], group) == pairs(spark, [], titles, group) == []
 
 
+@pytest.mark.parametrize("cold", [-1, 400, 1 << 22])
+def test_groups_in_tasks_and_by_samples(spark, cold, monkeypatch):
+    """Groups over and under the limit of a task, repeated rows, titles of every kind of length."""
+    rnd = random.Random(11)
+    monkeypatch.setattr(grams, "COLD", cold)
+    word = lambda n: "".join(rnd.choices("abç 😀", k=n))
+    texts = [(min(i % 9, 4), word(rnd.randint(1, 60))) for i in range(80)]
+    titles = [(g, t[a:a + n]) for g, t in texts for a, n in [(rnd.randint(0, 30), rnd.randint(1, 30))]] + [(i % 6, word(rnd.randint(1, 12))) for i in range(40)]
+    assert pairs(spark, texts + texts[:9], titles + titles[:9]) == sorted(set(brute(texts, titles)))
+    t, n = spark.createDataFrame(texts, "g int, text string"), spark.createDataFrame(titles, "g int, title string")
+    found = grams.contained(t, n, "text", "title", ["g"], either=True)
+    key = lambda df, c, k: df.select("g", c, grams.key_of(c).alias(k)).distinct()
+    got = sorted(tuple(r) for r in found.join(key(t, "text", "_tk"), ["g", "_tk"]).join(key(n, "title", "_nk"), ["g", "_nk"]).select("g", "text", "title").collect())
+    assert got == sorted(set(brute(texts, titles)) | {(g, b, a) for g, a, b in brute(titles, texts)})
+
+
+def test_small_groups_take_one_shuffle(spark):
+    """Only pairs leave the task that a group's rows come to: neither samples nor places are shuffled."""
+    t = spark.createDataFrame([(i % 3, f"es publica la llei {i}/2001 de residus") for i in range(30)], "g int, text string")
+    n = spark.createDataFrame([(i % 3, f"llei {i}/2001 de residus") for i in range(30)], "g int, title string")
+    found = grams.contained(t, n, "text", "title", ["g"])
+    assert found.count() == 30
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 0  # the rows lie where they were shuffled to
+
+
 def test_hot_group_makes_no_pairs(spark):
     """One issue with 20,000 titles that begin and end alike: places looked at follow the texts, not texts x titles."""
     title = lambda i: f"resolucio de concessio de llicencia a l'expedient {i * 7919 % 100003:06d} del municipi de referencia"
