@@ -34,6 +34,30 @@ def test_align_citations_is_the_sequential_greedy(spark):
     assert sum(r["status"] == "missing" for r in out) == len(g) - len(want) and sum(r["status"] == "extra" for r in out) == len(f) - len(want)
 
 
+def test_align_citations_in_tasks_and_in_rounds(spark, monkeypatch):
+    """Nodes over and under the limit of a task, repeated and unordered rows, titles without a node or a text."""
+    rnd = random.Random(3)
+    title = lambda: rnd.choice([None, "", "Llei 1/2001", "la llei  1/2001 de taxes", "Decret 2/2001", "Decret 2/2001 bis", "Decret", "llei 11/2001"])
+    side = lambda n: [(rnd.choice([0, 0, 0, 1, 2, 3, None]), i, title()) for i in range(n)]
+    g, f = side(90), side(110)
+    sch = "node_id bigint, ord bigint, title string"
+    run = lambda: sorted(map(str, match.align_citations(spark.createDataFrame(g + g[:5], sch), spark.createDataFrame(f + f[:5], sch)).collect()))
+    got = []
+    for most in (1 << 20, 60, 0):
+        monkeypatch.setattr(match, "TOGETHER", most)
+        got.append(run())
+    assert got[0] == got[1] == got[2] and len({x.split("status=")[1].split(",")[0] for x in got[0]}) == 3
+
+
+def test_align_citations_makes_no_keys_of_small_nodes(spark):
+    """A long title used to travel once for each run of its words; now every title does once."""
+    sch = "node_id bigint, ord bigint, title string"
+    long = " ".join(f"paraula{i}" for i in range(60))
+    out = match.align_citations(spark.createDataFrame([(1, 1, long)], sch), spark.createDataFrame([(1, 1, "paraula7 paraula8")], sch))
+    assert [(r["status"], r["g_ord"], r["f_ord"]) for r in out.collect()] == [("match", 1, 1)]
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def _alike(a, b):
     """The similarity rule over word sets, written apart from the operator."""
     left, right = set(a.split()), set(b.split())
