@@ -139,15 +139,18 @@ def groups(docs, named=None):
     sets = cut(_sets(docs, wanted))
 
     pairs = held.filter((F.col("head") != F.col("fp")) & _near_sizes(F.col("n"), F.col("head_n"))).select(F.col("head").alias("a"), F.col("fp").alias("b")).distinct()
-    if asked is not None:
-        pairs = pairs.unionByName(asked).distinct()
     linked = cut(_similar(pairs, sets))
     named = cut(_labelled(nodes.select("fp"), "fp", roots(linked.select(F.col("a").alias("src"), F.col("b").alias("dst")))))
     of = lambda c, name: named.select(F.col("fp").alias(c), F.col("component").alias(name))
     here = cut(held.join(of("fp", "component"), "fp").join(of("head", "head_component"), "head"))
     split = here.filter("component <> head_component").select("segment").distinct()
     wide = cut(here.join(split, "segment", "left_semi").select("fp", "component").distinct())
-    more = _similar(across(wide, sets), sets).select(F.col("a_component").alias("src"), F.col("b_component").alias("dst"))
+    more = across(wide, sets)
+    if asked is not None:
+        # of the named pairs those that the buckets leave apart; a pair's sets travel for each test
+        apart = asked.join(of("a", "a_component"), "a").join(of("b", "b_component"), "b").filter("a_component <> b_component")
+        more = more.unionByName(apart.select(more.columns)).distinct()
+    more = _similar(more, sets).select(F.col("a_component").alias("src"), F.col("b_component").alias("dst"))
     whole = _labelled(named, "component", roots(more))
     nodes = nodes.join(whole, "fp")
     ids = nodes.join(nodes.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("fp", "component_id")

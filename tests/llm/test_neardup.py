@@ -89,3 +89,21 @@ def test_large_group_makes_no_pairs(spark):
     apart = marked.select("fp", F.col("fp").alias("component"))
     linked = len(similar_pairs(docs))
     assert linked <= neardup.across(apart, sets).count() < 600 * 599 / 2 / 4
+
+
+def test_named_pairs_that_buckets_link_are_not_tested(spark, monkeypatch):
+    """In a group of near copies SimHash links nearly every pair; only those that the buckets leave apart are compared."""
+    words = [f"word{i}" for i in range(400)]
+    docs = [(k, " ".join([*words, f"tail{k}"])) for k in range(12)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    keys = [r["k"] for r in df.select(F.xxhash64("text").alias("k")).collect()]
+    named = spark.createDataFrame([(a, b) for i, a in enumerate(keys) for b in keys[i + 1:]], "a long, b long")
+    tested, similar = [], neardup._similar
+
+    def counted(pairs, sets):
+        tested.append(pairs.count())
+        return similar(pairs, sets)
+
+    monkeypatch.setattr(neardup, "_similar", counted)
+    found = {r["component_id"] for r in neardup.groups(df, named).collect()}
+    assert found == {0} and sum(tested) < 66
