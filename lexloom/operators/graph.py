@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions import doctype, ids, text as tx
 from lexloom.operators import cite, dedupe
-from lexloom.operators.ordered import first_row, global_scan
+from lexloom.operators.ordered import first_row, global_scan, lookup_join
 
 PAGE = "https://dogc.gencat.cat/ca/document-del-dogc/index.html"
 
@@ -87,7 +87,7 @@ def _placed(docs, pubs):
     y, m, day = ids.issue_year("date_dogc", "year")
     known = first_row(docs.select(F.col("document_id").cast("string").alias("_d"), ids.eli_path("doc", (y, m, day), "document_id").alias("_eli"), "ingest_ord"), ["_d"], ["ingest_ord"], last=True).drop("ingest_ord")
     local = F.concat_ws("/", F.lit("eli/es-cat/doc/local"), F.col("record_id").cast("string"), F.col("pos").cast("string"))
-    return pubs.join(known, F.col("dogc_document_id") == F.col("_d"), "left").withColumn("_local", local)
+    return lookup_join(pubs, known, "dogc_document_id", "_d").withColumn("_local", local)
 
 
 def _publication_properties(p):

@@ -58,3 +58,21 @@ def test_first_row_and_top_k(spark):
     first = ordered.first_row(df, ["k"], ["o"])
     assert first.filter("k = 0").first()["o"] == 0
     assert ordered.top_k(df, ["k"], [F.col("o").desc()], 2).filter("k = 0").count() == 2
+
+
+def test_lookup_join_spreads_rows_without_a_key(spark):
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(8000).select("id", F.when(F.col("id") % 10 == 0, F.col("id") % 7).cast("string").alias("k"), F.create_map(F.lit("a"), "id").alias("m"))
+        table = spark.createDataFrame([("0", "x"), ("3", "y"), (None, "z")], "t string, v string")
+        got = ordered.lookup_join(df, table, "k", "t").withColumn("p", F.spark_partition_id())
+        sizes = [r["count"] for r in got.groupBy("p").count().collect()]
+        assert sum(sizes) == 8000 and max(sizes) < 4000
+        want = [(i, {"0": "x", "3": "y"}.get(str(i % 7)) if i % 10 == 0 else None) for i in range(8000)]
+        assert sorted(tuple(r) for r in got.select("id", "v").collect()) == want
+        assert got.columns == ["id", "k", "m", "t", "v", "p"]
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
