@@ -60,3 +60,16 @@ def test_blocks_out_of_reach_are_skipped(spark, small):
     assert share < 0.4, share
     got, want = found(index.search(frame(spark, q), 3, 0.9)), plain(q, c, 3, 0.9)
     assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+
+
+def test_a_group_is_moved_once_to_a_shelf_of_blocks(spark, small, monkeypatch):
+    monkeypatch.setattr(nearest, "SHELF", 4)
+    m = np.random.default_rng(6).normal(size=(200, 6))
+    index = nearest.Index(frame(spark, m))
+    groups = index.groups(frame(spark, m), "vec_id", "embedding")
+    needs = index.needs(groups, spark.range(200).select(F.col("id").alias("query_id"), F.lit(-1.0).alias("low")))
+    blocks, n_groups = index.blocks.count(), groups.count()
+    assert needs.count() == n_groups * blocks  # nothing is skipped
+    moved = index.moves(needs, groups)
+    assert moved.count() == n_groups * -(-blocks // 4)
+    assert moved.select(F.sum(F.size("wanted"))).first()[0] == n_groups * blocks
