@@ -210,6 +210,27 @@ def test_a_number_on_very_many_titles(spark):
     assert read[0] >= 400_000 and read[1] < read[0] / 20
 
 
+def test_texts_that_ask_the_same_share_a_scoring(spark, monkeypatch):
+    """Words that no candidate has tell texts apart, but not what is asked of a number."""
+    docs = spark.createDataFrame([(i, i, f"{i % 3}/2020", str(9000 + i), f"Llei de pesca {'fluvial' if i % 2 else 'marina'}", "01/02/2020") for i in range(12)],
+                                 "document_id int, ingest_ord int, document_number string, dogc_number string, title string, date_dogc string")
+    texts = spark.createDataFrame([(i, f"paraula{chr(97 + i)} {'fluvial' if i % 2 else 'cap'} 1/2020 i 2/2020") for i in range(20)], "text_id int, text string")
+    asked, match_pairs = [], match.candidate_pairs
+    monkeypatch.setattr(match, "candidate_pairs", lambda sigs, *rest: asked.append(sigs.count()) or match_pairs(sigs, *rest))
+    got = {}
+    for r in match.candidate_targets(texts, docs, k=3).collect():
+        got.setdefault(r["text_id"], []).append((r["rank"], r["document_id"], r["score"]))
+    assert asked == [4] and len(got) == 20
+    # number 100, year 5, and 5 for the word
+    assert sorted(got[0]) == [(1, 1, 105), (2, 2, 105), (3, 4, 105)] and sorted(got[1]) == [(1, 1, 110), (2, 5, 110), (3, 7, 110)]
+
+
+def test_issue_keys_are_made_once(spark):
+    docs = spark.createDataFrame([("9", 1, 0, "ANUNCI de licitacio d'obres", "Ajuntament de Vic", "", "obres")], "issue string, document_id int, ord int, title string, organisme string, cve string, text string")
+    t = spark.createDataFrame([(1, "9", "Anunci de licitacio d'obres", "", "")], "target_id int, issue string, text string, record_title string, institucio string")
+    assert "regexp_replace" not in match.issue_match(t, docs)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_catalogue_merge(spark):
     feed = spark.createDataFrame([("u1", "Llei", "2000", "10", "LLEI 1", 0), ("u1", "Decret", "2001", "", "", 1), (None, "x", "", "", "", 2)], "url string, type string, year string, dogc_number string, title string, ingest_ord int")
     manual = spark.createDataFrame([("u1",), ("u2",)], "url string")
