@@ -87,6 +87,23 @@ def test_bfs_levels_and_limits(spark):
     assert sized(20, 99) == ["a", "c"] and sized(1000, 3) == ["a", "c", "b"] and sized(1000, 99) == ["a", "c", "b", "d", "e"]
 
 
+def test_small_levels_read_the_edges_where_they_are(spark, monkeypatch):
+    """A walk of few nodes collects no neighbours of others; a larger one does and finds the same."""
+    edges = [(f"n{i}", f"n{(i * 3 + 1) % 50}", "X") for i in range(50)] + [("n1", "n1", "X"), (None, "n3", "X"), ("n3", None, "X")]
+    edges = spark.createDataFrame(edges + edges[:9], "src string, dst string, type string")
+    start = spark.createDataFrame([("n1",), ("n2",)], "id string")
+    info = spark.createDataFrame([(f"n{i}", i % 3 == 0, 10 + i) for i in [*range(50), 4]], "id string, is_section boolean, n_bytes bigint")
+    made, adjacency = [], traverse.adjacency
+    monkeypatch.setattr(traverse, "adjacency", lambda *a: made.append(1) or adjacency(*a))
+    seen = []
+    for small in (traverse.SMALL, 0):
+        monkeypatch.setattr(traverse, "SMALL", small)
+        walks = [traverse.bfs(edges, start, k) for k in (9, 99)]
+        assert len(made) == (2 if small == 0 else 0)
+        seen.append([sorted(map(tuple, w.collect())) for w in [*walks, *[traverse.bfs_sized(edges, start, info, b, 99) for b in (300, 10_000)]]])
+    assert seen[0] == seen[1] and len(made) == 2 and [len(w) for w in seen[0]][0] == 9
+
+
 def test_a_level_moves_its_frontier_only(spark, monkeypatch):
     monkeypatch.setattr(traverse, "NEIGHBOURS", 10)
     edges = spark.createDataFrame([("hub", f"n{i:03d}", "X") for i in range(100)] + [(f"n{i:03d}", f"m{i:03d}", "X") for i in range(100)] + [("a", "a", "X")], "src string, dst string, type string")
