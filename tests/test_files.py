@@ -112,3 +112,12 @@ def test_bulk_csv_files_encode_lists_and_objects(spark, tmp_path):
         {"id:ID": "1", ":LABEL": "A;B", "more": None, "n": "5", "tags": json.dumps(["x, y", 'z"'], separators=(",", ":"))},
         {"id:ID": "2", ":LABEL": "A", "more": '{"k":"v"}', "n": None, "tags": None}]
     assert read("relationships") == [{":START_ID": "1", ":END_ID": "2", ":TYPE": "X", "l": "[1,2]"}]
+
+
+def test_graph_load_joins_each_end_once(spark):
+    n = spark.createDataFrame([("a", "X", "1", 1), ("a", "Y", "2", 2), ("b", "X", "3", 1), (None, "X", "4", 1)], "id string, label string, title string, ingest_ord int")
+    e = spark.createDataFrame([("a", "b", "T", "old", 1), ("a", "b", "T", "new", 2), ("a", "c", "T", "", 1), (None, "b", "T", "", 1), ("b", None, "T", "", 1)], "src string, dst string, type string, details string, ingest_ord int")
+    nodes, edges = writers.prepare_graph_load(n, e)
+    assert edges._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
+    assert [tuple(r) for r in edges.select("src", "dst", "type", "details", "src_type", "dst_type").collect()] == [("a", "b", "T", "new", "Y", "X")]
+    assert {(r["id"], r["label"]) for r in nodes.collect()} == {("a", "Y"), ("b", "X"), (None, "X")}
