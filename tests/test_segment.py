@@ -109,3 +109,13 @@ def test_own_rule_sets(spark):
     t = spark.createDataFrame([("Verordnung über Wasser",), ("LLEI 3/2000",)], "t string")
     assert [r[0] for r in t.select(doctype.type_from_title("t", ["verordnung"])).collect()] == ["VERORDNUNG", "LLEI"]
     assert [r[0] for r in t.select(doctype.type_from_text("t", [("Wasser", "W")])).collect()] == ["W", None]
+
+
+def test_isolate_searches_a_text_once_for_its_number(spark):
+    one = spark.createDataFrame([(1, "x", "LLEI de taxes", "5/2020")], "doc_id bigint, text string, title string, number string")
+    # the words of the title and the headers are extracted; the places of the number come from one split
+    assert segment.isolate(one)._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(") == 2
+    text = "LLEI 15/2020 i 5/20201\n" + "a" * 900 + "LLEI 5/2020 de taxes" + "b" * 900 + "\n\n # decreto x"
+    at = spark.createDataFrame([(1, text, "LLEI de taxes", "05/2020"), (3, "", "", "5/2020"), (4, None, None, None)], "doc_id bigint, text string, title string, number string")
+    place = text.index(" 5/2020 de") + 1
+    assert sorted(map(tuple, segment.isolate(at).collect())) == [(1, place - 100, text.index("\n\n #")), (3, 0, 0), (4, 0, 0)]
