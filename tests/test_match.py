@@ -225,6 +225,20 @@ def test_texts_that_ask_the_same_share_a_scoring(spark, monkeypatch):
     assert sorted(got[0]) == [(1, 1, 105), (2, 2, 105), (3, 4, 105)] and sorted(got[1]) == [(1, 1, 110), (2, 5, 110), (3, 7, 110)]
 
 
+def test_links_are_read_once_for_their_sections(spark):
+    """What a link's text says is found once, not again by each join that needs it."""
+    affs = spark.createDataFrame([(1, 0, "active", 2, "Deroga l'article 3 de la Llei 5/2020"), (1, 1, "passive", 2, "Modifica l'article 1")], "document_id int, ord int, direction string, target_document_id int, text string")
+    secs = spark.createDataFrame([(1, 0, "Article 3", "", "de la Llei 15/20201 i 5/202"), (1, 1, "Article 1", "", "vist 25/2020"), (2, 0, "Article 1", "", "segons 7/1999")], "document_id int, section_no int, title string, heading string, text string")
+    docs = spark.createDataFrame([(1, "7/1999", "Llei 7/1999"), (2, "5/2020", "Llei 5/2020")], "document_id int, document_number string, title string")
+    a = match.cite.classify_affectations(affs).select("ord", "document_id", "doc_ref", "affected").toDF("aff_id", "acting_doc", "doc_ref", "affected")
+    best = match.best_source_section(a, secs)
+    assert "de la Llei" not in best._jdf.queryExecution().optimizedPlan().toString() and "regexp_extract" not in best._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
+    # the number stands in '15/20201'; the article's own number is in the title
+    assert sorted(map(tuple, best.collect())) == [(0, 0, 30), (1, 1, 15)]
+    edges = {(r["aff_id"], r["acting_doc"], r["source_section"], r["affected_doc"], r["target_section"], r["mapped_section"]) for r in match.affectation_edges(affs, docs, secs).collect()}
+    assert {e[:4] for e in edges} == {("1:active:0", 1, 0, 2), ("1:passive:1", 2, 0, 1)}
+
+
 def test_issue_keys_are_made_once(spark):
     docs = spark.createDataFrame([("9", 1, 0, "ANUNCI de licitacio d'obres", "Ajuntament de Vic", "", "obres")], "issue string, document_id int, ord int, title string, organisme string, cve string, text string")
     t = spark.createDataFrame([(1, "9", "Anunci de licitacio d'obres", "", "")], "target_id int, issue string, text string, record_title string, institucio string")
