@@ -17,6 +17,7 @@ from lexloom.session import cut
 
 LISTS = 2
 BLOCK = 4096  # vectors, and queries, in a block
+SHELF = 8  # blocks of vectors that a block of queries meets in one place, at most
 MOST = 1 << 62  # no list's part of a score may reach it, so that sums of bounds stay longs
 
 
@@ -120,7 +121,8 @@ def search(vectors, queries, k, lists=LISTS, block=BLOCK):
     id. Fewer than k others give fewer rows; an empty table gives none.
 
     Equal vectors are one class for which the k + 1 smallest ids stand: no query needs more. Blocks of queries meet blocks
-    of classes, so a task holds one pair of blocks, and each list of it.
+    of classes, so a task holds one pair of blocks, and each list of it. A block of queries is moved once to each shelf of
+    blocks of classes; the number of partitions follows the cores, not the blocks.
     """
     spark = small_batches(vectors.sparkSession, rows=1)
     whole = vectors.selectExpr("CAST(vec_id AS LONG) AS vec_id", "CAST(embedding AS ARRAY<DOUBLE>) AS embedding").mapInArrow(_quantise_task, "vec_id long, vector binary").groupBy("vec_id").agg(F.min("vector").alias("vector"))
@@ -132,11 +134,14 @@ def search(vectors, queries, k, lists=LISTS, block=BLOCK):
     asked = cut(asked)
     heads = classes.join(asked.select("cls").distinct(), "cls")
     n_c, n_q = (max(1, -(-d.count() // block)) for d in (classes, heads))
-    corpus = cut(_blocks(classes, "cls", n_c, "c"))
+    cores = spark.sparkContext.defaultParallelism
+    shelves = min(n_c, max(2 * cores, -(-n_c // SHELF)))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * cores)
+    corpus = cut(_blocks(classes, "cls", n_c, "c").withColumn("shelf", F.pmod("c_block", F.lit(shelves))).repartition(parts, "shelf"))
 
     def pairs(heads, *more):
-        q = _blocks(heads, "cls", n_q, "q", *more).withColumn("c_block", F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))))
-        return q.repartition(n_q * n_c, "c_block", "q_block").join(corpus, "c_block")
+        q = _blocks(heads, "cls", n_q, "q", *more).withColumn("shelf", F.explode(F.sequence(F.lit(0), F.lit(shelves - 1))))
+        return q.repartition(parts, "shelf").join(corpus, "shelf")
 
     best = Window.partitionBy("q").orderBy(F.desc("score"), "c")
     # a class can stand for the query's own row alone, so one more class than k bounds the k-th other row

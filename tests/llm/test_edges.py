@@ -1,5 +1,6 @@
 """NULLs, empty and long texts, ties, repeated rows, empty tables and clashing column names."""
 
+import re
 import zlib
 
 import numpy as np
@@ -298,3 +299,14 @@ def test_chat_in_parts(spark):
     assert parts.count() > 1
     r = chat.read_back(parts).collect()
     assert len(r) == 1 and r[0]["n_turns"] == 5000 and r[0]["loss_chars"] == sum(len(f"turn {i} <|end|>") for i in range(1, 5000, 2))
+
+
+def test_search_partitions_follow_the_cores(spark):
+    """Many blocks of vectors and queries make no more partitions than few; results don't depend on the blocks."""
+    rng = np.random.default_rng(3)
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(200, 4)))], "vec_id long, embedding array<float>")
+    found = topk.search(table, table.filter("vec_id % 2 = 0"), 3, block=4)
+    sizes = [int(n) for n in re.findall(r"hashpartitioning\([^()]*, (\d+)\)", found._jdf.queryExecution().executedPlan().toString())]
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    assert sizes and max(sizes) <= most
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, topk.search(table, table.filter("vec_id % 2 = 0"), 3).collect()))
